@@ -35,29 +35,43 @@ GATE_TERMS = [
 MIN_TEXT_CHARS = 100
 SENTENCE_CHARS = 500
 
-GUIDANCE_VERB_PATTERN = (
-    r"(?:expect(?:s|ing)?|anticipate(?:s|d|ing)?|project(?:s|ed|ing)?|forecast(?:s|ed|ing)?"
-    r"|guid(?:e[sd]?|ance|ing)|target(?:s|ed|ing)?|estimat(?:e[sd]?|ing)|see(?:s|ing)?"
-    r"|call(?:s|ed|ing)?\s+for|rais(?:e[sd]?|ing)|lower(?:s|ed|ing)?|narrow(?:s|ed|ing)?"
-    r"|reaffirm(?:s|ed|ing)?|reiterat(?:e[sd]?|ing)|confirm(?:s|ed|ing)?"
-    r"|maintain(?:s|ed|ing)?|introduc(?:e[sd]?|ing)|initiat(?:e[sd]?|ing)"
-    r"|provid(?:e[sd]?|ing)|issu(?:e[sd]?|ing)|updat(?:e[sd]?|ing)|revis(?:e[sd]?|ing))\s"
-)
+# A guidance verb is one of these with white space behind it.
+GUIDANCE_VERBS = [
+    r"expect(?:s|ing)?", r"anticipate(?:s|d|ing)?", r"project(?:s|ed|ing)?",
+    r"forecast(?:s|ed|ing)?", r"guid(?:e[sd]?|ance|ing)", r"target(?:s|ed|ing)?",
+    r"estimat(?:e[sd]?|ing)", r"see(?:s|ing)?", r"call(?:s|ed|ing)?\s+for",
+    r"rais(?:e[sd]?|ing)", r"lower(?:s|ed|ing)?", r"narrow(?:s|ed|ing)?",
+    r"reaffirm(?:s|ed|ing)?", r"reiterat(?:e[sd]?|ing)", r"confirm(?:s|ed|ing)?",
+    r"maintain(?:s|ed|ing)?", r"introduc(?:e[sd]?|ing)", r"initiat(?:e[sd]?|ing)",
+    r"provid(?:e[sd]?|ing)", r"issu(?:e[sd]?|ing)", r"updat(?:e[sd]?|ing)",
+    r"revis(?:e[sd]?|ing)",
+]
 
-# Order matters: records of one sentence follow it.
-METRIC_PATTERNS = {
-    "EPS": r"earnings?\s+per\s+(?:diluted\s+)?share|diluted\s+(?:earnings?\s+per\s+share|EPS)"
-           r"|EPS|(?:net\s+)?(?:income|earnings?)\s+per\s+(?:common\s+)?share",
-    "Revenue": r"(?:total\s+|net\s+)?(?:revenues?|sales)|top(?:\s|-)line",
-    "Net_Income": r"net\s+(?:income|earnings?)|bottom(?:\s|-)line",
-    "EBITDA": r"(?:adjusted\s+)?EBIT",
-    "Operating_Income": r"operating\s+(?:income|profit|earnings?)"
-                        r"|(?:income|profit)\s+from\s+operations",
-    "FFO": r"(?:adjusted\s+)?(?:funds?\s+from\s+operation|FFO)",
-    "Cash_Flow": r"(?:free\s+|operating\s+)?cash\s+flow|FCF",
-    "Capex": r"capital\s+expenditure|capex|cap(?:\s|-)ex",
-    "Gross_Margin": r"gross\s+(?:margin|profit)",
-    "Tax_Rate": r"(?:effective\s+)?tax\s+rate",
+# Alternatives per metric. Order matters: records of one sentence follow it.
+METRICS = {
+    "EPS": [
+        r"earnings?\s+per\s+(?:diluted\s+|common\s+)?share",
+        r"diluted\s+(?:earnings?\s+per\s+share|EPS)", r"EPS",
+        r"net\s+(?:income|earnings?)\s+per\s+(?:common\s+)?share",
+        r"income\s+per\s+(?:common\s+)?share",
+    ],
+    "Revenue": [
+        r"total\s+(?:revenue|sales)", r"net\s+(?:revenue|sales)", r"revenue", r"sales",
+        r"top(?:\s|-)line",
+    ],
+    "Net_Income": [r"net\s+(?:income|earning)", r"bottom(?:\s|-)line"],
+    "EBITDA": [r"adjusted\s+EBIT", r"EBIT"],
+    "Operating_Income": [
+        r"operating\s+(?:income|profit|earning)", r"income\s+from\s+operations",
+        r"profit\s+from\s+operations",
+    ],
+    "FFO": [r"adjusted\s+(?:funds?\s+from\s+operation|FFO)", r"funds?\s+from\s+operation", r"FFO"],
+    "Cash_Flow": [
+        r"free\s+cash\s+flow", r"operating\s+cash\s+flow", r"cash\s+flow", r"FCF",
+    ],
+    "Capex": [r"capital\s+expenditure", r"capex", r"cap(?:\s|-)ex"],
+    "Gross_Margin": [r"gross\s+(?:margin|profit)"],
+    "Tax_Rate": [r"effective\s+tax\s+rate", r"tax\s+rate"],
 }
 
 # Windows in characters: before and after the point of interest.
@@ -81,29 +95,40 @@ RANGE_LINK_PATTERN = r"\)?\s*(?:to|through|and|-|–|—)\s*\(?"
 
 # --- labels (first match in this order wins) -------------------------------
 
-PERIOD_PATTERNS = {
-    "Q1": r"first(?:\s|-)quarter|Q1|1st\s+quarter",
-    "Q2": r"second(?:\s|-)quarter|Q2|2nd\s+quarter",
-    "Q3": r"third(?:\s|-)quarter|Q3|3rd\s+quarter",
-    "Q4": r"fourth(?:\s|-)quarter|Q4|4th\s+quarter",
-    "FY": r"full(?:\s|-)year|fiscal(?:\s|-)year|annual|FY\s*[0-9]{2}|year\s+(?:ending|ended)"
-          r"|for\s+the\s+year|twelve(?:\s|-)month",
-    "H1": r"first(?:\s|-)half|1st\s+half|H1",
-    "H2": r"second(?:\s|-)half|2nd\s+half|H2",
+PERIODS = {
+    "Q1": [r"first(?:\s|-)quarter", r"Q1", r"1st\s+quarter"],
+    "Q2": [r"second(?:\s|-)quarter", r"Q2", r"2nd\s+quarter"],
+    "Q3": [r"third(?:\s|-)quarter", r"Q3", r"3rd\s+quarter"],
+    "Q4": [r"fourth(?:\s|-)quarter", r"Q4", r"4th\s+quarter"],
+    "FY": [
+        r"full(?:\s|-)year", r"fiscal(?:\s|-)year", r"annual", r"FY\s*[0-9]{2}",
+        r"year\s+(?:ending|ended)", r"for\s+the\s+year", r"twelve(?:\s|-)month",
+    ],
+    "H1": [r"first(?:\s|-)half", r"1st\s+half", r"H1"],
+    "H2": [r"second(?:\s|-)half", r"2nd\s+half", r"H2"],
 }
 PERIOD_DEFAULT = "Unknown"
 FISCAL_YEAR_PATTERN = r"20[0-9]{2}"
 
-ACTION_PATTERNS = {
-    "raises": r"\b(?:rais(?:e[sd]?|ing)|increas(?:e[sd]?|ing)|upward)\b",
-    "lowers": r"\b(?:lower(?:s|ed|ing)?|reduc(?:e[sd]?|ing)|decreas(?:e[sd]?|ing)|downward|cut)\b",
-    "narrows": r"\b(?:narrow(?:s|ed|ing)?|tighten(?:s|ed|ing)?)\b",
-    "reaffirms": r"\b(?:reaffirm(?:s|ed|ing)?|reiterat(?:e[sd]?|ing)|confirm(?:s|ed|ing)?"
-                 r"|maintain(?:s|ed|ing)?)\b",
-    "initiates": r"\b(?:initiat(?:e[sd]?|ing)|introduc(?:e[sd]?|ing)"
-                 r"|provid(?:e[sd]?|ing)\s+(?:initial|new|first))\b",
-    "withdraws": r"\b(?:withdraw(?:s|n|ing)?|suspend(?:s|ed|ing)?|eliminat(?:e[sd]?|ing)"
-                 r"|discontinu(?:e[sd]?|ing))\b",
+# Whole words.
+ACTIONS = {
+    "raises": [r"rais(?:e[sd]?|ing)", r"increas(?:e[sd]?|ing)", r"upward"],
+    "lowers": [
+        r"lower(?:s|ed|ing)?", r"reduc(?:e[sd]?|ing)", r"decreas(?:e[sd]?|ing)", r"downward", r"cut",
+    ],
+    "narrows": [r"narrow(?:s|ed|ing)?", r"tighten(?:s|ed|ing)?"],
+    "reaffirms": [
+        r"reaffirm(?:s|ed|ing)?", r"reiterat(?:e[sd]?|ing)", r"confirm(?:s|ed|ing)?",
+        r"maintain(?:s|ed|ing)?",
+    ],
+    "initiates": [
+        r"initiat(?:e[sd]?|ing)", r"introduc(?:e[sd]?|ing)",
+        r"provid(?:e[sd]?|ing)\s+(?:initial|new|first)",
+    ],
+    "withdraws": [
+        r"withdraw(?:s|n|ing)?", r"suspend(?:s|ed|ing)?", r"eliminat(?:e[sd]?|ing)",
+        r"discontinu(?:e[sd]?|ing)",
+    ],
 }
 ACTION_DEFAULT = "issues"
 

@@ -7,19 +7,25 @@ from pyspark.sql import functions as F
 
 from augury.functions import fixed_values as fixed
 from augury.functions.text import (
-    first_offset, let, match_offset, pattern, slice_text, split_sentences, truncate_sentence,
+    any_of, first_offset, fold, folded_pattern, let, match_offset, pattern, slice_text,
+    split_sentences, truncate_sentence,
 )
 
-VERB = pattern(fixed.GUIDANCE_VERB_PATTERN)
-METRICS = {name: pattern(regex) for name, regex in fixed.METRIC_PATTERNS.items()}
-AMOUNT = pattern(fixed.AMOUNT_PATTERN)
-RANGE = pattern(fixed.AMOUNT_PATTERN + fixed.RANGE_LINK_PATTERN + fixed.AMOUNT_PATTERN)
-ANY_AMOUNT = pattern(r"\$\s*[0-9]", fold=False)
-FISCAL_YEAR = pattern(fixed.FISCAL_YEAR_PATTERN, fold=False)
+# All but the last two are for folded text.
+VERB = folded_pattern(any_of(fixed.GUIDANCE_VERBS) + r"\s")
+METRICS = {name: folded_pattern(any_of(forms)) for name, forms in fixed.METRICS.items()}
+PERIODS = {name: folded_pattern(any_of(forms)) for name, forms in fixed.PERIODS.items()}
+ACTIONS = {
+    name: folded_pattern(any_of(forms, whole_words=True)) for name, forms in fixed.ACTIONS.items()
+}
+AMOUNT = folded_pattern(fixed.AMOUNT_PATTERN)
+RANGE = folded_pattern(fixed.AMOUNT_PATTERN + fixed.RANGE_LINK_PATTERN + fixed.AMOUNT_PATTERN)
+ANY_AMOUNT = pattern(r"\$\s*[0-9]")
+FISCAL_YEAR = pattern(fixed.FISCAL_YEAR_PATTERN)
 
 
 def has_guidance_verb(sentence: Column) -> Column:
-    return sentence.rlike(VERB)
+    return fold(sentence).rlike(VERB)
 
 
 def has_amount(text: Column) -> Column:
@@ -29,21 +35,24 @@ def has_amount(text: Column) -> Column:
 
 def metric_mentions(sentence: Column) -> Column:
     """Array of (metric_ord, metric, metric_offset): first mention of each metric found."""
-    found = [
-        F.struct(
-            F.lit(i).alias("metric_ord"),
-            F.lit(name).alias("metric"),
-            match_offset(sentence, regex).alias("metric_offset"),
-        )
-        for i, (name, regex) in enumerate(METRICS.items())
-    ]
-    return F.filter(F.array(*found), lambda m: m["metric_offset"].isNotNull())
 
+    def find(folded: Column) -> Column:
+        looked_for = [
+            F.struct(
+                F.lit(i).alias("metric_ord"),
+                F.lit(name).alias("metric"),
+                match_offset(folded, regex).alias("metric_offset"),
+            )
+            for i, (name, regex) in enumerate(METRICS.items())
+        ]
+        return F.filter(F.array(*looked_for), lambda m: m["metric_offset"] >= 0)
+
+    return let(fold(sentence), find)
 
-def scale_amount(number: Column, scale: Column) -> Column:
-    """``1,234.5`` and a scale word to a full amount."""
+
+def scale_amount(number: Column, word: Column) -> Column:
+    """``1,234.5`` and a lower-case scale word to a full amount."""
     value = F.replace(number, F.lit(","), F.lit("")).try_cast("double")
-    word = F.lower(scale)
     factor = F.lit(1.0)
     for size in sorted(set(fixed.SCALE_FACTORS.values())):
         words = [w for w, f in fixed.SCALE_FACTORS.items() if f == size]
@@ -84,29 +93,33 @@ def _single_amount(snippet: Column) -> Column:
 def read_amounts(snippet: Column) -> Column:
     """Struct (val1, val2, is_range): the first range, else the first single amount."""
     return let(
-        F.regexp_extract(snippet, RANGE, 0),
-        lambda found: F.when(found != "", _range_amounts(found)).otherwise(
-            F.when(has_amount(snippet), _single_amount(snippet))
+        fold(snippet),
+        lambda folded: let(
+            F.regexp_extract(folded, RANGE, 0),
+            lambda found: F.when(found != "", _range_amounts(found)).otherwise(
+                F.when(has_amount(folded), _single_amount(folded))
+            ),
         ),
     )
 
 
-def detect_period(around: Column) -> Column:
-    label = F.lit(fixed.PERIOD_DEFAULT)
-    for name, regex in reversed(fixed.PERIOD_PATTERNS.items()):
-        label = F.when(around.rlike(pattern(regex)), F.lit(name)).otherwise(label)
+def _first_label(folded: Column, patterns: dict[str, str], default: str) -> Column:
+    label = F.lit(default)
+    for name, regex in reversed(patterns.items()):
+        label = F.when(folded.rlike(regex), F.lit(name)).otherwise(label)
     return label
 
 
+def detect_period(around: Column) -> Column:
+    return let(fold(around), lambda w: _first_label(w, PERIODS, fixed.PERIOD_DEFAULT))
+
+
 def detect_fiscal_year(around: Column) -> Column:
     return F.nullif(F.regexp_extract(around, FISCAL_YEAR, 0), F.lit("")).cast("int")
 
 
 def detect_action(around: Column) -> Column:
-    label = F.lit(fixed.ACTION_DEFAULT)
-    for name, regex in reversed(fixed.ACTION_PATTERNS.items()):
-        label = F.when(around.rlike(pattern(regex)), F.lit(name)).otherwise(label)
-    return label
+    return let(fold(around), lambda w: _first_label(w, ACTIONS, fixed.ACTION_DEFAULT))
 
 
 # --- windows ----------------------------------------------------------------
@@ -151,45 +164,39 @@ def action_window(context: Column, context_start: Column, at: Column) -> Column:
 # --- whole document ---------------------------------------------------------
 
 
-def _sentence_records(text: Column, numbered: Column) -> Column:
-    """Records of one numbered sentence that carry a value."""
-    sentence = numbered["sentence"]
-
-    def build(place: Column) -> Column:
-        mentions = F.transform(
-            metric_mentions(sentence),
-            lambda m: F.struct(
+def _sentence_records(located: Column) -> Column:
+    """Records of one located sentence that carry a value."""
+    sentence, place = located["sentence"], located["place"]
+    mentions = F.transform(
+        metric_mentions(sentence),
+        lambda m: F.struct(
+            m["metric_ord"].alias("metric_ord"),
+            m["metric"].alias("metric"),
+            value_window(
+                place["context"], place["context_start"], place["sent_start"] + m["metric_offset"]
+            ).alias("snippet"),
+        ),
+    )
+    return F.transform(
+        F.filter(mentions, lambda m: has_amount(m["snippet"])),
+        lambda m: let(
+            read_amounts(m["snippet"]),
+            # Sort keys first: see first_of_each_key.
+            lambda v: F.struct(
                 m["metric_ord"].alias("metric_ord"),
+                v["val1"].alias("val1"),
+                v["val2"].alias("val2"),
+                located["sent_ord"].alias("sent_ord"),
                 m["metric"].alias("metric"),
-                value_window(
-                    place["context"], place["context_start"],
-                    place["sent_start"] + m["metric_offset"],
-                ).alias("snippet"),
+                v["is_range"].alias("is_range"),
+                truncate_sentence(sentence, fixed.SENTENCE_CHARS).alias("sentence"),
+                period_window(
+                    place["context"], place["context_start"], place["sent_start"]
+                ).alias("around"),
+                (place["sent_start"] - place["context_start"]).alias("lead"),
             ),
-        )
-        valued = F.filter(mentions, lambda m: has_amount(m["snippet"]))
-        around = period_window(place["context"], place["context_start"], place["sent_start"])
-        lead = (place["sent_start"] - place["context_start"]).alias("lead")
-        return F.transform(
-            valued,
-            lambda m: let(
-                read_amounts(m["snippet"]),
-                # Sort keys first: see document_records.
-                lambda v: F.struct(
-                    m["metric_ord"].alias("metric_ord"),
-                    v["val1"].alias("val1"),
-                    v["val2"].alias("val2"),
-                    numbered["sent_ord"].alias("sent_ord"),
-                    m["metric"].alias("metric"),
-                    v["is_range"].alias("is_range"),
-                    truncate_sentence(sentence, fixed.SENTENCE_CHARS).alias("sentence"),
-                    around.alias("around"),
-                    lead,
-                ),
-            ),
-        )
-
-    return let(locate_sentence(text, sentence), build)
+        ),
+    )
 
 
 def guidance_sentences(text: Column) -> Column:
@@ -220,10 +227,18 @@ def first_of_each_key(records: Column) -> Column:
 
         return F.filter(ordered, differs)
 
-    return let(F.array_sort(records), keep)
+    return let(F.sort_array(records), keep)
 
 
 def document_records(text: Column) -> Column:
     """All guidance records of one text, each (metric, val1, val2) once."""
-    per_sentence = F.transform(guidance_sentences(text), lambda n: _sentence_records(text, n))
-    return first_of_each_key(F.flatten(per_sentence))
+    located = F.transform(
+        guidance_sentences(text),
+        lambda n: F.struct(
+            n["sent_ord"].alias("sent_ord"),
+            n["sentence"].alias("sentence"),
+            locate_sentence(text, n["sentence"]).alias("place"),
+        ),
+    )
+    priced = F.filter(located, lambda s: F.contains(s["place"]["context"], F.lit("$")))
+    return first_of_each_key(F.flatten(F.transform(priced, _sentence_records)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -14,15 +15,22 @@ WHITE = (
 )
 
 
-def pattern(text: str, fold: bool = True) -> str:
-    """A fixed pattern made ready for Spark: wide white space, Unicode case folding."""
-    wide = text.replace(r"\s", WHITE)
-    return f"(?iu){wide}" if fold else wide
+def pattern(text: str) -> str:
+    """A fixed pattern made ready for Spark: white space of every kind."""
+    return text.replace(r"\s", WHITE)
 
 
-SENTENCE_BREAK = pattern(r"(?<=[.!?])\s+", fold=False)
-WORD_BREAK = pattern(r"\s+", fold=False)
-ENDS = pattern(r"^\s+|\s+\z", fold=False)
+def folded_pattern(text: str) -> str:
+    """The same for text that went through :func:`fold`."""
+    return pattern(text.lower())
+
+
+SENTENCE_BREAK = pattern(r"(?<=[.!?])\s+")
+WORD_BREAK = pattern(r"\s+")
+WHITE_CHARACTERS = "".join(
+    chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                     0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -32,7 +40,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove white space at both ends, of every kind."""
-    return F.regexp_replace(text, ENDS, "")
+    return F.btrim(text, F.lit(WHITE_CHARACTERS))
 
 
 def split_sentences(text: Column) -> Column:
@@ -45,12 +53,40 @@ def first_offset(text: Column, part: Column) -> Column:
     return F.instr(text, part) - 1
 
 
-def match_offset(text: Column, regex: str) -> Column:
-    """Code points before the first match; NULL without one.
+def any_of(alternatives: list[str], whole_words: bool = False) -> str:
+    """Alternatives behind a look at their first letters.
 
-    ``regexp_instr`` counts UTF-16 units, so measure the text in front instead.
+    Most positions fail the look, which is several times cheaper than trying every
+    alternative there. All alternatives begin with two literal letters at least.
     """
-    return F.when(text.rlike(regex), F.length(F.split(text, regex, 2)[0]))
+    starts = [re.match(r"\w*", a.lower()).group() for a in alternatives]
+    letters = min(3, min(len(start) for start in starts))
+    look = "".join("[" + "".join(sorted({s[i] for s in starts})) + "]" for i in range(letters))
+    group = f"(?:{'|'.join(alternatives)})"
+    return rf"(?={look})\b{group}\b" if whole_words else f"(?={look}){group}"
+
+
+# Letters that equal an ASCII letter when case is ignored, and how to spell them.
+_ODD_LETTERS = ("\u0130\u0131\u017f\u212a", "iisk")
+_ASTRAL = r"[\x{10000}-\x{10FFFF}]"
+_ODD = rf"[\x{{130}}\x{{131}}\x{{17F}}\x{{212A}}\x{{10000}}-\x{{10FFFF}}]"
+
+
+def fold(text: Column) -> Column:
+    """Lower case for matching, code point by code point.
+
+    Plain patterns on folded text run several times faster than case-blind ones.
+    Characters beyond the basic plane become one unit, so that ``regexp_instr``, which
+    counts UTF-16 units, counts code points here.
+    """
+    ascii_only = F.octet_length(text) == F.length(text)
+    odd = F.translate(F.regexp_replace(text, _ASTRAL, "\ufffd"), *_ODD_LETTERS)
+    return F.lower(F.when(ascii_only | ~text.rlike(_ODD), text).otherwise(odd))
+
+
+def match_offset(folded: Column, regex: str) -> Column:
+    """Code points before the first match in folded text; -1 without one."""
+    return F.regexp_instr(folded, F.lit(regex)) - 1
 
 
 def slice_text(text: Column, start: Column, end: Column) -> Column:

@@ -78,12 +78,15 @@ def dedup_in_document(df: DataFrame, document: str = "accession_number") -> Data
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 
+def _able(df: DataFrame, text: str) -> DataFrame:
+    # A record needs an amount, so texts without a dollar sign are left out early.
+    return filter_min_length(df, text).filter(F.contains(F.col(text), F.lit("$")))
+
+
 def document_records(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds ``records``, the array of a text's records. No shuffle."""
     others = [c for c in df.columns if c != text]
-    # A record needs an amount, so texts without a dollar sign are left out early.
-    able = filter_min_length(df, text).filter(F.contains(F.col(text), F.lit("$")))
-    return able.select(*others, g.document_records(F.col(text)).alias("records"))
+    return _able(df, text).select(*others, g.document_records(F.col(text)).alias("records"))
 
 
 def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
@@ -92,7 +95,9 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
     One narrow stage. Labels are read after the in-document dedup, for records only.
     """
     others = [c for c in df.columns if c != text]
-    rows = document_records(df, text).select(*others, F.inline("records"))
+    # The expression is inlined itself, not a column of it: from a column Spark infers
+    # "not empty" filters, pushes them below, and reads every text again for each.
+    rows = _able(df, text).select(*others, F.inline(g.document_records(F.col(text))))
     lead = fixed.ACTION_WINDOW[0]
     action_from = F.greatest(F.col("lead") - lead, F.lit(0))
     action_text = F.substring(

@@ -24,13 +24,18 @@ def rx(text: str, fold: bool = True) -> str:
     return q(f"(?i){wide}" if fold else wide)
 
 
+def one_of(forms: list[str]) -> str:
+    return f"(?:{'|'.join(forms)})"
+
+
 def strip(expr: str) -> str:
     return f"regexp_replace({expr}, {rx(r'^\s+|\s+\z', False)}, '', 'g')"
 
 
-def first_label(expr: str, patterns: dict[str, str], default: str) -> str:
+def first_label(expr: str, labels: dict[str, list[str]], default: str, edge: str = "") -> str:
     arms = " ".join(
-        f"WHEN regexp_matches({expr}, {rx(p)}) THEN '{name}'" for name, p in patterns.items()
+        f"WHEN regexp_matches({expr}, {rx(edge + one_of(forms) + edge)}) THEN '{name}'"
+        for name, forms in labels.items()
     )
     return f"CASE {arms} ELSE '{default}' END"
 
@@ -58,6 +63,8 @@ def chain(*named: tuple[str, str]) -> str:
     return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in named) + "\n"
 
 
+VERB = rx(one_of(fixed.GUIDANCE_VERBS) + r"\s")
+
 # --- guidance steps as named queries --------------------------------------------
 
 RANGE = fixed.AMOUNT_PATTERN + fixed.RANGE_LINK_PATTERN + fixed.AMOUNT_PATTERN
@@ -77,9 +84,9 @@ def split_sql(source: str, key: str) -> str:
 def mention_sql(source: str) -> str:
     return " UNION ALL ".join(
         f"SELECT *, '{name}' AS metric, {i} AS metric_ord, "
-        f"length(regexp_extract(sentence, {rx(f'(?s)^(.*?)(?:{p})')}, 1)) AS metric_offset "
-        f"FROM {source} WHERE regexp_matches(sentence, {rx(p)})"
-        for i, (name, p) in enumerate(fixed.METRIC_PATTERNS.items())
+        f"length(regexp_extract(sentence, {rx('(?s)^(.*?)' + one_of(p))}, 1)) AS metric_offset "
+        f"FROM {source} WHERE regexp_matches(sentence, {rx(one_of(p))})"
+        for i, (name, p) in enumerate(fixed.METRICS.items())
     )
 
 
@@ -105,10 +112,10 @@ def label_sql(source: str) -> str:
     around = window("text", "sent_start", *fixed.PERIOD_WINDOW)
     near = window("text", "sent_start", *fixed.ACTION_WINDOW)
     return f"""
-SELECT *, {first_label(around, fixed.PERIOD_PATTERNS, fixed.PERIOD_DEFAULT)} AS pdicity,
+SELECT *, {first_label(around, fixed.PERIODS, fixed.PERIOD_DEFAULT)} AS pdicity,
   TRY_CAST(nullif(regexp_extract({around}, {rx(fixed.FISCAL_YEAR_PATTERN, False)}, 0), '') AS INTEGER)
     AS fiscal_year,
-  {first_label(near, fixed.ACTION_PATTERNS, fixed.ACTION_DEFAULT)} AS action
+  {first_label(near, fixed.ACTIONS, fixed.ACTION_DEFAULT, chr(92) + "b")} AS action
 FROM {source}"""
 
 
@@ -137,7 +144,7 @@ def guidance_steps(source_sql: str, key: str = "accession_number") -> list[tuple
         ("texts", source_sql),
         ("able", long_enough("texts")),
         ("sentences", split_sql("able", key)),
-        ("spoken", f"SELECT * FROM sentences WHERE regexp_matches(sentence, {rx(fixed.GUIDANCE_VERB_PATTERN)})"),
+        ("spoken", f"SELECT * FROM sentences WHERE regexp_matches(sentence, {VERB})"),
         ("mentions", mention_sql("spoken")),
         ("valued", value_sql("mentions")),
         ("labelled", label_sql("valued")),
