@@ -228,7 +228,7 @@ def cost_cap(usage: DataFrame, max_cost: float, model: str = fixed.DEFAULT_MODEL
         ahead("tokens_out", over).alias("block_out"),
     )
     within = W.partitionBy("block").orderBy("chunk_no").rowsBetween(W.unboundedPreceding, -1)
-    spent = chunks.join(broadcast_if_small(before), "block").select(
+    spent = chunks.join(before, "block").select(
         "chunk_no",
         (
             (F.col("block_in") + ahead("tokens_in", within)) / 1e6 * price_in
@@ -236,7 +236,7 @@ def cost_cap(usage: DataFrame, max_cost: float, model: str = fixed.DEFAULT_MODEL
         ).alias("spent"),
     )
     allowed = spent.filter(F.col("spent") < max_cost).select("chunk_no")
-    return usage.join(broadcast_if_small(allowed), "chunk_no", "left_semi")
+    return usage.join(allowed, "chunk_no", "left_semi")
 
 
 # --- fallback ---------------------------------------------------------------

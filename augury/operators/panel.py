@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from augury.functions import fixed_values as fixed
-from augury.session import broadcast_if_small, freeze
+from augury.session import freeze
 
 DEDUP_KEY = ["cik_padded", "date_filed", "metric", "val1", "val2"]
 # Input order, made explicit: filing, sentence, metric, ticker.
@@ -68,7 +68,8 @@ def number_rows(df: DataFrame, key: list[str], partitions: int | None = None) ->
     """``row_no`` from 0 in key order, without pulling all rows into one task.
 
     Range-partition on the key, freeze, number within each range and add the rows of
-    the ranges in front. Only the per-range counts meet in one task.
+    the ranges in front. Only the per-range counts meet in one task, and only they are
+    broadcast: there are as many as ``partitions``.
     """
     order = [F.col(c).asc_nulls_last() for c in key]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -83,7 +84,7 @@ def number_rows(df: DataFrame, key: list[str], partitions: int | None = None) ->
     within = F.row_number().over(W.partitionBy("_range").orderBy(*order))
     return (
         ranged.withColumn("_within", within)
-        .join(broadcast_if_small(offsets), "_range")
+        .join(F.broadcast(offsets), "_range")
         .withColumn("row_no", F.col("_ahead") + F.col("_within") - 1)
         .drop("_range", "_within", "_ahead")
     )

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 # A dimension below both bounds is sent to every executor.
-BROADCAST_MAX_ROWS = 200_000
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+BROADCAST_MAX_ROWS = 100_000
+BROADCAST_MAX_BYTES = 32 * 1024 * 1024
 
 
 def settings(**extra: str) -> dict[str, str]:
@@ -23,6 +23,8 @@ def settings(**extra: str) -> dict[str, str]:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Long expressions are built call by call; do not record a stack for each.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     return {**base, **extra}
 
@@ -63,17 +65,34 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(
-    df: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> DataFrame:
-    """Hint a broadcast only when a bounded look proves the side small.
+def is_small(
+    df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
+) -> bool:
+    """Whether a table is within both bounds, by a bounded look at its row widths.
 
-    Reads at most ``max_rows + 1`` rows. Beyond either bound the side comes back
-    unhinted: the join is then a shuffle join, which AQE splits on skewed keys.
+    ``take`` opens a few partitions at a time and stops at ``max_rows + 1`` rows, so a
+    large table costs no more than that. Meant for tables as read, not for results of
+    large joins or aggregates.
     """
-    width = F.octet_length(F.to_json(F.struct("*")))
-    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("b")).first()
-    small = seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
-    return F.broadcast(df) if small else df
+    width = F.octet_length(F.to_json(F.struct("*"))).alias("width")
+    seen = df.select(width).take(max_rows + 1)
+    return len(seen) <= max_rows and sum(row["width"] or 0 for row in seen) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, **bounds: int) -> DataFrame:
+    """Hint a broadcast only for a side proven small.
+
+    Any other side comes back unhinted: the join is then a shuffle join whose form AQE
+    picks from measured sizes, and whose skewed keys it splits.
+    """
+    return F.broadcast(df) if is_small(df, **bounds) else df
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a small scan as many tasks as there are cores.
+
+    For thin rows in few file splits that feed costly expressions. A scan with more
+    splits than cores, which is any large one, comes back as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -81,13 +81,19 @@ TEXT = f"""CASE
       CASE WHEN {KEY} % 19 = 0 THEN '😀 ' ELSE '' END,
       c_name, ' reports results', chr(10), chr(10),
       CASE WHEN {KEY} % 3 = 0 THEN concat('{NEUTRAL}', chr(10)) ELSE '' END,
-      {STATEMENT},
+      statement,
       CASE WHEN {KEY} % 17 = 0 THEN chr(160) ELSE ' ' END,
       CASE WHEN {KEY} % 4 = 1 THEN {SECOND} ELSE '' END,
-      CASE WHEN {KEY} % 5 = 0 THEN concat(' ', {STATEMENT}) ELSE '' END,
+      CASE WHEN {KEY} % 5 = 0 THEN concat(' ', statement) ELSE '' END,
       ' Sales increased to $', {_s(N)}, ' million.')
   END"""
 
+
+def with_text(source: str) -> str:
+    """``source`` (orders joined to customers) with the press release as ``text``."""
+    return f"SELECT *, {TEXT} AS text FROM (SELECT *, {STATEMENT} AS statement FROM ({source}) s) t"
+
+
 ACCESSION = (
     f"concat(lpad({_s('c_custkey')}, 10, '0'), '-', substr({_s('year(o_orderdate)')}, 3, 2), "
     f"'-', lpad({_s(KEY)}, 10, '0'))"
@@ -97,21 +103,17 @@ ACCESSION_KEY = ACCESSION.replace("'-', ", "")
 ORDERS = "orders JOIN customer ON o_custkey = c_custkey"
 
 # Every sixth filing is filed again as an amendment: same firm, date and text.
+_FILED = f"""
+SELECT *, '8-K' AS form_type, '' AS suffix FROM {ORDERS}
+UNION ALL
+SELECT *, '8-K/A' AS form_type, '9' AS suffix FROM {ORDERS} WHERE {KEY} % 6 = 0"""
 PRESS = f"""
-SELECT cik, company_name, concat(accession, suffix) AS accession_number, date_filed, form_type,
-  concat('https://www.sec.gov/Archives/edgar/data/', cik, '/', accession_key, suffix,
+SELECT {_s('c_custkey')} AS cik, c_name AS company_name,
+  concat({ACCESSION}, suffix) AS accession_number,
+  CAST(CAST(o_orderdate AS DATE) AS STRING) AS date_filed, form_type,
+  concat('https://www.sec.gov/Archives/edgar/data/', {_s('c_custkey')}, '/', {ACCESSION_KEY}, suffix,
          '/ex991.htm') AS exhibit_url, text
-FROM (
-  SELECT {_s('c_custkey')} AS cik, c_name AS company_name, {ACCESSION} AS accession,
-    {ACCESSION_KEY} AS accession_key, '' AS suffix,
-    CAST(CAST(o_orderdate AS DATE) AS STRING) AS date_filed, '8-K' AS form_type, {TEXT} AS text
-  FROM {ORDERS}
-  UNION ALL
-  SELECT {_s('c_custkey')} AS cik, c_name AS company_name, {ACCESSION} AS accession,
-    {ACCESSION_KEY} AS accession_key, '9' AS suffix,
-    CAST(CAST(o_orderdate AS DATE) AS STRING) AS date_filed, '8-K/A' AS form_type, {TEXT} AS text
-  FROM {ORDERS} WHERE {KEY} % 6 = 0
-) filed"""
+FROM ({with_text(_FILED)}) filed"""
 
 # --- index lines -------------------------------------------------------------
 
@@ -188,21 +190,18 @@ LISTINGS = LISTINGS.replace(f"({KEY} // 2) % 8", f"CAST(floor({KEY} / 2) AS BIGI
 
 # Bodies for the names the listings choose; every ninth order reports nothing.
 _BODY_NAMES = ["ex991.htm", "Press.HTML", "exhibit 99.txt", "more.txt", "EX991.HTM?a=1&b=2"]
-_PLAIN = f"coalesce({TEXT}, '')"
-_BODY_TEXT = (
-    f"CASE WHEN {KEY} % 9 = 4 THEN concat('{NEUTRAL}', ' It is ', {_s(N)}, ' miles away.') ELSE {_PLAIN} END"
-)
-BODIES = "\nUNION ALL\n".join(
-    f"SELECT {_s('c_custkey')} AS cik, {ACCESSION_KEY} AS accession_key, '{name}' AS filename, "
-    + (
-        f"concat('<html><head><title>R</title><style>p {{x}}</style></head><body><div><p>', {_BODY_TEXT}, "
-        f"'</p><!-- note --><p>R&amp;D &#150; all</p>', chr(10), chr(10), '</div><script>if (a<b) go();</script>"
-        f"</body></html>')"
-        if name.lower().endswith((".htm", ".html")) else _BODY_TEXT
-    )
-    + f" AS value FROM {ORDERS}"
-    for name in _BODY_NAMES
-)
+_NAMED = " UNION ALL ".join(f"SELECT *, '{name}' AS filename FROM {ORDERS}" for name in _BODY_NAMES)
+_BODY_TEXT = f"""SELECT *, CASE WHEN {KEY} % 9 = 4
+    THEN concat('{NEUTRAL}', ' It is ', {_s(N)}, ' miles away.') ELSE coalesce(text, '') END AS plain
+  FROM ({with_text(_NAMED)}) w"""
+BODIES = f"""
+SELECT {_s('c_custkey')} AS cik, {ACCESSION_KEY} AS accession_key, filename,
+  CASE WHEN lower(filename) LIKE '%.htm' OR lower(filename) LIKE '%.html'
+    THEN concat('<html><head><title>R</title><style>p {{x}}</style></head><body><div><p>', plain,
+      '</p><!-- note --><p>R&amp;D &#150; all</p>', chr(10), chr(10),
+      '</div><script>if (a<b) go();</script></body></html>')
+    ELSE plain END AS value
+FROM ({_BODY_TEXT}) b"""
 
 # --- dimensions --------------------------------------------------------------
 
