@@ -29,7 +29,9 @@ def settings(**extra: str) -> dict[str, str]:
     return {**base, **extra}
 
 
-def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: str | int = "*", shuffle_partitions: int = 8, **more: str
+) -> SparkSession:
     """A session on this machine, for tests and for the bench."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("augury")
     extra = {
@@ -37,7 +39,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         "spark.driver.memory": "12g",
         "spark.ui.enabled": "false",
     }
-    for key, value in settings(**extra).items():
+    for key, value in settings(**extra, **more).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -642,23 +642,25 @@ def u2_union_batches(spark: SparkSession, d: str) -> DataFrame:
 # --- model path ---------------------------------------------------------------------
 
 
-class EchoClient:
+def echo_client() -> type:
     """Offline stand-in: answers with one item that measures its request."""
+    import json
 
-    def complete(self, instructions: str, request: str) -> tuple[str, int, int]:
-        import json
-
-        size = len(request)
-        if size % 13 == 0:
-            raise RuntimeError("no answer")
-        item = {
-            "forecast_metric": "Revenue", "time_horizon": "FY", "fiscal_year": 2025,
-            "estimate_type": "point", "value_low": None, "value_high": None,
-            "value_point": float(size), "unit": "dollars", "direction": "issues",
-            "confidence_language": "expects", "is_adjusted": False,
-            "context_sentence": request[:20],
-        }
-        return json.dumps({"guidance_items": [item]}), size, 10
+    class EchoClient:  # local, so that it travels to the tasks by value
+        def complete(self, instructions: str, request: str) -> tuple[str, int, int]:
+            size = len(request)
+            if size % 13 == 0:
+                raise RuntimeError("no answer")
+            item = {
+                "forecast_metric": "Revenue", "time_horizon": "FY", "fiscal_year": 2025,
+                "estimate_type": "point", "value_low": None, "value_high": None,
+                "value_point": float(size), "unit": "dollars", "direction": "issues",
+                "confidence_language": "expects", "is_adjusted": False,
+                "context_sentence": request[:20],
+            }
+            return json.dumps({"guidance_items": [item]}), size, 10
+
+    return EchoClient
 
 
 def x1_prefilter_text(spark: SparkSession, d: str) -> DataFrame:
@@ -681,7 +683,7 @@ def x4_map_to_guidance(spark: SparkSession, d: str) -> DataFrame:
 
 def x5_extract_with_model(spark: SparkSession, d: str) -> DataFrame:
     texts = press(spark, d).filter(F.col("text").isNotNull())
-    answers = model.extract_with_model(model.render_requests(texts), EchoClient, wait=0.0)
+    answers = model.extract_with_model(model.render_requests(texts), echo_client(), wait=0.0)
     return answers.select("accession_number", "status", "tokens_in", "tokens_out")
 
 
@@ -728,7 +730,7 @@ def z3_guidance_from_bodies(spark: SparkSession, d: str) -> DataFrame:
 def z4_build_guidance_model(spark: SparkSession, d: str) -> DataFrame:
     texts = press(spark, d).filter(F.col("text").isNotNull())
     records = model_guidance.build_guidance_model(
-        texts, EchoClient, fresh_folder(spark, "outcomes"), ledger=ledger(spark, d),
+        texts, echo_client(), fresh_folder(spark, "outcomes"), ledger=ledger(spark, d),
         fallback=True, wait=0.0,
     )
     return records.select("accession_number", "metric", "val1", "val2", "pdicity", "action")
