@@ -71,10 +71,12 @@ def number_rows(df: DataFrame, key: list[str], partitions: int | None = None) ->
     the ranges in front. Only the per-range counts meet in one task, and only they are
     broadcast: there are as many as ``partitions``.
     """
-    order = [F.col(c).asc_nulls_last() for c in key]
+    # The tie-breaker lets ranges split a key that holds many rows.
+    tied = df.withColumn("_tie", F.xxhash64(*df.columns))
+    order = [F.col(c).asc_nulls_last() for c in key] + [F.col("_tie")]
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = freeze(
-        df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
+        tied.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
     )
     counts = ranged.groupBy("_range").count()
     ahead = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
@@ -86,7 +88,7 @@ def number_rows(df: DataFrame, key: list[str], partitions: int | None = None) ->
         ranged.withColumn("_within", within)
         .join(F.broadcast(offsets), "_range")
         .withColumn("row_no", F.col("_ahead") + F.col("_within") - 1)
-        .drop("_range", "_within", "_ahead")
+        .drop("_range", "_within", "_ahead", "_tie")
     )
 
 

@@ -117,6 +117,14 @@ def test_numbering_is_whole_and_in_order(spark):
     assert [tuple(r) for r in chunks] == [(0, 300), (1, 300), (2, 300), (3, 100)]
 
 
+def test_numbering_splits_a_key_that_holds_many_rows(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, "z").alias("k"), "id")
+    ranged = panel.number_rows(df, ["k"], partitions=6)
+    assert sorted(r["row_no"] for r in ranged.collect()) == list(range(3000))
+    missing = [r["row_no"] for r in ranged.filter("k IS NULL").collect()]
+    assert min(missing) == 2000
+
+
 def test_limits_and_counts(spark):
     df = spark.createDataFrame(
         [("2", "2025-01-02", "f"), ("10", "2025-01-02", "g"), ("1", None, "h")], "cik string, date_filed string, filename string"
