@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from augury.functions import fixed_values as fixed
 from augury.functions.text import (
-    any_of, first_offset, fold, folded_pattern, let, match_offset, pattern, slice_text,
+    any_of, first_offset, fold, folded_pattern, in_basic_plane, let, match_offset, pattern, slice_text,
     split_sentences, truncate_sentence,
 )
 
@@ -127,8 +127,11 @@ def detect_action(around: Column) -> Column:
 # text never travels with its sentences.
 
 
-def locate_sentence(text: Column, sentence: Column) -> Column:
-    """Struct (sent_start, context_start, context) for a sentence of ``text``."""
+def locate_sentence(text: Column, sentence: Column, basic: Column) -> Column:
+    """Struct (sent_start, context_start, context) for a sentence of ``text``.
+
+    ``basic`` is :func:`augury.functions.text.in_basic_plane` of the text, bound once.
+    """
     before, after = fixed.PERIOD_WINDOW
     reach = fixed.VALUE_WINDOW[1]
 
@@ -141,7 +144,7 @@ def locate_sentence(text: Column, sentence: Column) -> Column:
             slice_text(text, first, last).alias("context"),
         )
 
-    return let(first_offset(text, sentence), cut)
+    return let(first_offset(text, sentence, basic), cut)
 
 
 def _window(context: Column, context_start: Column, at: Column, size: tuple[int, int]) -> Column:
@@ -231,14 +234,21 @@ def first_of_each_key(records: Column) -> Column:
 
 
 def document_records(text: Column) -> Column:
-    """All guidance records of one text, each (metric, val1, val2) once."""
-    located = F.transform(
-        guidance_sentences(text),
-        lambda n: F.struct(
-            n["sent_ord"].alias("sent_ord"),
-            n["sentence"].alias("sentence"),
-            locate_sentence(text, n["sentence"]).alias("place"),
-        ),
-    )
-    priced = F.filter(located, lambda s: F.contains(s["place"]["context"], F.lit("$")))
-    return first_of_each_key(F.flatten(F.transform(priced, _sentence_records)))
+    """All guidance records of one text, each (metric, val1, val2) once.
+
+    The text is bound once too: its length and whether it is ASCII are then found once.
+    """
+
+    def read(whole: Column, basic: Column) -> Column:
+        located = F.transform(
+            guidance_sentences(whole),
+            lambda n: F.struct(
+                n["sent_ord"].alias("sent_ord"),
+                n["sentence"].alias("sentence"),
+                locate_sentence(whole, n["sentence"], basic).alias("place"),
+            ),
+        )
+        priced = F.filter(located, lambda s: F.contains(s["place"]["context"], F.lit("$")))
+        return first_of_each_key(F.flatten(F.transform(priced, _sentence_records)))
+
+    return let(text, lambda whole: let(in_basic_plane(whole), lambda basic: read(whole, basic)))

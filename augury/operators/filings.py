@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,9 +12,20 @@ from augury.functions import fixed_values as fixed
 from augury.functions import keys
 
 
+def _spellings(word: str) -> list[str]:
+    """All mixtures of upper and lower case."""
+    choices = [sorted({c.upper(), c.lower()}) for c in word]
+    return ["".join(letters) for letters in product(*choices)]
+
+
 def filter_form_type(df: DataFrame) -> DataFrame:
-    """the two forms, in any case; the original spelling is kept."""
-    return df.filter(F.upper("form_type").isin(fixed.FORM_TYPES))
+    """the two forms, in any case; the original spelling is kept.
+
+    Listing the six spellings instead of upper-casing the column lets the filter reach
+    a Parquet scan.
+    """
+    names = [s for form in fixed.FORM_TYPES for s in _spellings(form)]
+    return df.filter(F.col("form_type").isin(names))
 
 
 def extract_accession(df: DataFrame, accession_pattern: str = fixed.ACCESSION_PATTERN) -> DataFrame:

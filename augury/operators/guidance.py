@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from augury.functions import fixed_values as fixed
 from augury.functions import guidance as g
+from augury.functions.text import in_basic_plane, let
 from augury.functions.text import split_sentences as pieces_of
 from augury.functions.text import truncate_sentence as truncated
 from augury.operators.derive import add_parse_midpoint, add_range_width
@@ -16,14 +17,19 @@ from augury.operators.filings import filter_min_length
 
 def split_sentences(df: DataFrame, text: str = "text") -> DataFrame:
     """G1: one row per sentence with its place and a bounded context; the text stays behind."""
-    place = F.transform(
-        pieces_of(F.col(text)),
-        lambda s, i: F.struct(
-            i.alias("sent_ord"), s.alias("sentence"), g.locate_sentence(F.col(text), s).alias("at")
+    pieces = let(
+        in_basic_plane(F.col(text)),
+        lambda basic: F.transform(
+            pieces_of(F.col(text)),
+            lambda s, i: F.struct(
+                i.alias("sent_ord"),
+                s.alias("sentence"),
+                g.locate_sentence(F.col(text), s, basic).alias("at"),
+            ),
         ),
     )
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.inline(place)).select(*others, "sent_ord", "sentence", "at.*")
+    return df.select(*others, F.inline(pieces)).select(*others, "sent_ord", "sentence", "at.*")
 
 
 def filter_guidance_sentences(df: DataFrame) -> DataFrame:

@@ -47,9 +47,11 @@ def local_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a fresh one only where none is named (tests)."""
+    """The cluster's shared folder; a fresh one only in local sessions that name none."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="augury-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)

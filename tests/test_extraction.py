@@ -103,3 +103,12 @@ def test_order_of_input_does_not_matter(texts):
 def test_long_text_with_many_copies(texts):
     many = "We expect revenue of $10 to $12 million. Something else stands here. " * 2000
     assert len(records(texts(many))) == 1
+
+
+def test_places_of_odd_sentences(spark):
+    text = r"We see \E and \Q twice (a+b). " + "\U0001f600 x. (a+b). \\E and. $1\\2. x. " + "é. "
+    for body in (text, text.replace("\U0001f600", "o")):
+        df = spark.createDataFrame([("k", body)], "accession_number string, text string")
+        for row in ops.split_sentences(df).collect():
+            assert row["sent_start"] == body.find(row["sentence"]), row["sentence"]
+            assert row["context"] == body[row["context_start"]:][: len(row["context"])]
