@@ -55,8 +55,9 @@ def first_offset(text: Column, part: Column, basic: Column) -> Column:
     every character: long texts with many parts would take quadratic time. It counts
     UTF-16 units, so it serves texts of the basic plane only (``basic``); and preparing
     it can take the square of the part's length, so not for the few very long parts.
+    Short texts do not repay the preparation.
     """
-    quick = basic & (F.length(part) <= 1000)
+    quick = basic & (F.length(part) <= 1000) & (F.length(text) > 4000)
     quoted = F.concat(
         F.lit(r"\Q"), F.replace(part, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")
     )

@@ -107,7 +107,8 @@ def test_long_text_with_many_copies(texts):
 
 def test_places_of_odd_sentences(spark):
     text = r"We see \E and \Q twice (a+b). " + "\U0001f600 x. (a+b). \\E and. $1\\2. x. " + "é. "
-    for body in (text, text.replace("\U0001f600", "o")):
+    plain = text.replace("\U0001f600", "o")
+    for body in (text, plain, plain + "Filler words stand here. " * 300 + "(a+b). " + "z" * 1500):
         df = spark.createDataFrame([("k", body)], "accession_number string, text string")
         for row in ops.split_sentences(df).collect():
             assert row["sent_start"] == body.find(row["sentence"]), row["sentence"]
