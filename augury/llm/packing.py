@@ -50,7 +50,7 @@ class WordTokenizer:
         except KeyError:
             if len(self.known) > self.remember:
                 self.known.clear()
-            self.learn(list(set(chunks) - self.known.keys()))
+            self.learn([c for c in set(chunks) if c not in self.known])
             return b"".join(map(self.known.__getitem__, chunks))
 
 
