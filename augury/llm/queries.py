@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from augury.llm.byte_bpe import encode_and_decode
+from augury.llm.host_rules import host_quality
 from augury.llm.packing import pack
 from augury.llm.radix_dedup import radix_dedup
 from augury.llm.shared import reachable
@@ -23,10 +25,19 @@ def op1_best_two_fit_packing(spark: SparkSession, d: str) -> DataFrame:
     return pack(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_host_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    return host_quality(table(spark, d, "documents"))
+
+
 def op5_radix_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return radix_dedup(table(spark, d, "documents"))
 
 
+def op9_sentencepiece_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return encode_and_decode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def registry() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))
