@@ -138,7 +138,9 @@ def radix_groups(texts: DataFrame, heads: DataFrame) -> DataFrame:
     """
     least = texts.groupBy("head").agg(
         F.min("uid").alias("gid"), F.count(F.lit(1)).alias("n"), F.sum(F.length("folded")).alias("size")
-    ).join(heads, "head", "left_semi")
+    )
+    # Frozen, so that the join below deals both sides anew and may split a hot head.
+    least = freeze(least.join(heads, "head", "left_semi"))
     open_rows = texts.join(least, "head").select(
         "uid", "folded", "gid", "n", "size", F.lit(FIRST_BYTES).alias("depth"),
         (F.length("head") < FIRST_BYTES).alias("ended"),
@@ -157,9 +159,9 @@ def radix_groups(texts: DataFrame, heads: DataFrame) -> DataFrame:
             break
         cut = F.substring("folded", depth + 1, width)
         far = far.select("uid", "folded", F.col("gid").alias("outer"), cut.alias("cut"))
-        inner = far.groupBy("outer", "cut").agg(
+        inner = freeze(far.groupBy("outer", "cut").agg(
             F.min("uid").alias("gid"), F.count(F.lit(1)).alias("n"), F.sum(F.length("folded")).alias("size")
-        )
+        ))
         depth += width
         open_rows = written(
             far.join(inner, ["outer", "cut"]).select(
