@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from augury.llm.byte_bpe import encode_and_decode
 from augury.llm.host_rules import host_quality
+from augury.llm.ngram_join import similar_documents
 from augury.llm.packing import pack
 from augury.llm.radix_dedup import radix_dedup
 from augury.llm.shared import reachable
@@ -33,6 +34,10 @@ def op5_radix_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return radix_dedup(table(spark, d, "documents"))
 
 
+def op6_vertical_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return similar_documents(table(spark, d, "documents"))
+
+
 def op9_sentencepiece_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode_and_decode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)

@@ -113,8 +113,8 @@ def shingles(words: np.ndarray, per_text: np.ndarray, size: int = SHINGLE) -> It
             np.not_equal(own[1:], own[:-1], out=keep[1:])
             yield own[keep]
         elif n_words:
-            short = (words[word_at : word_at + n_words] * _LAG[:n_words]).sum(dtype=np.uint64)
-            yield mixed(np.array([short + np.uint64(n_words) * _LAG[62]], np.uint64))
+            short = words[word_at : word_at + n_words] * _LAG[:n_words] + _LAG[62]
+            yield mixed(short.sum(keepdims=True, dtype=np.uint64))
         else:
             yield np.zeros(0, np.uint64)
         at += n
