@@ -11,6 +11,7 @@ from augury.llm.byte_bpe import encode_and_decode
 from augury.llm.host_rules import host_quality
 from augury.llm.ngram_join import similar_documents
 from augury.llm.packing import pack
+from augury.llm.pii import digest, find_personal_data
 from augury.llm.radix_dedup import radix_dedup
 from augury.llm.shared import reachable
 
@@ -30,6 +31,10 @@ def op2_host_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return host_quality(table(spark, d, "documents"))
 
 
+def op3_weak_supervision_pii(spark: SparkSession, d: str) -> DataFrame:
+    return digest(find_personal_data(table(spark, d, "documents")))
+
+
 def op5_radix_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return radix_dedup(table(spark, d, "documents"))
 
