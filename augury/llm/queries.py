@@ -14,6 +14,7 @@ from augury.llm.packing import pack
 from augury.llm.pii import digest, find_personal_data
 from augury.llm.radix_dedup import radix_dedup
 from augury.llm.shared import reachable
+from augury.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +49,10 @@ def op9_sentencepiece_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return encode_and_decode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op10_levenshtein_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return score_toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def registry() -> dict[str, Query]:
     found = {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))
