@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,11 +24,26 @@ REMEMBER = 400_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long"
 
 
+#: Chunks of which it is known how the tokenizer's normaliser and splitter treat them: printable
+#: ASCII and the letters of Latin-1, which lower-casing and composing leave single characters.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if printable."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
 class WordTokenizer:
     """Ids of whole texts as packed unsigned 32-bit numbers, by the given tokenizer file.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    chunks between spaces, one after the other; chunks come back often and are remembered.
+    chunks between spaces, one after the other; chunks come back often and are remembered. A
+    plain chunk is split as the tokenizer splits it, and the parts are remembered too; all
+    others go through the whole tokenizer.
     """
 
     def __init__(self, path: str, remember: int = REMEMBER):
@@ -37,10 +53,26 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.letters = _byte_letters()
         self.remember = remember
 
+    def _part(self, part: str) -> bytes:
+        if part not in self.parts:
+            if len(self.parts) > self.remember:
+                self.parts.clear()
+            coded = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
+            self.parts[part] = np.array([token.id for token in coded], "<u4").tobytes()
+        return self.parts[part]
+
     def learn(self, chunks: list[str]) -> None:
-        for chunk, coded in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
+        other = []
+        for chunk in chunks:
+            if _PLAIN.fullmatch(chunk):
+                self.known[chunk] = b"".join(map(self._part, _PARTS.findall(chunk.lower())))
+            else:
+                other.append(chunk)
+        for chunk, coded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             self.known[chunk] = np.array(coded.ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
