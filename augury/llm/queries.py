@@ -15,6 +15,7 @@ from augury.llm.pii import digest, find_personal_data
 from augury.llm.radix_dedup import radix_dedup
 from augury.llm.shared import reachable
 from augury.llm.toxicity import score_toxicity
+from augury.llm.warc import round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,11 @@ def op3_weak_supervision_pii(spark: SparkSession, d: str) -> DataFrame:
     return digest(find_personal_data(table(spark, d, "documents")))
 
 
+def op4_warc_transactions(spark: SparkSession, d: str) -> DataFrame:
+    captures = round_trip(table(spark, d, "pages"), with_payload=False)
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_radix_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return radix_dedup(table(spark, d, "documents"))
 
