@@ -7,12 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from augury.llm.graph import components
-from augury.llm.shared import bit_map, in_map, rows_of, written
+from augury.llm.shared import VECTOR, bit_map, in_map, rows_of, summed, vector_rows, written
 from augury.llm.words import SHINGLE, mixed, text_shingles
 from augury.session import freeze
 
@@ -20,14 +19,12 @@ PERCENT = 75
 #: Counters of how often shingles occur. A larger corpus fills them; the order then says less,
 #: and the join sees more candidates, but no pair is lost.
 COUNTERS = 1 << 20
-BLOCK = 1 << 16
 #: The global order is cut into so many fragments of equal weight.
 FRAGMENTS = 8
 _HASH_BITS = 58
 #: Stands for a missing id, so that it is never the smallest beside others.
 NO_ID = 2**63 - 1
 
-_TALLY = "block int, part int, counts binary"
 _HEAD = "doc_id long, n long, node long, last long, tokens binary"
 
 
@@ -65,33 +62,12 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held, size = [], 0
         if held:
             counts += np.bincount((np.concatenate(held) >> np.uint64(44)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
-    part = TaskContext.get().partitionId() % 64
-    blocks = counts.reshape(-1, BLOCK)
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()),
-            pa.array([b.tobytes() for b in blocks], pa.binary()),
-        ],
-        ["block", "part", "counts"],
-    )
-
-
-def _added(table: pa.Table) -> pa.Table:
-    total = np.zeros(BLOCK, np.uint64)
-    for counts in table.column("counts"):
-        found = np.frombuffer(counts.as_py(), np.uint32 if len(counts.as_py()) == 4 * BLOCK else np.uint64)
-        total += found
-    first = table.slice(0, 1)
-    return pa.table({"block": first.column("block"), "part": first.column("part"), "counts": pa.array([total.tobytes()], pa.binary())})
+    yield vector_rows(counts)
 
 
 def global_order(rows: DataFrame) -> Order:
     """Count every shingle of every document; what comes back is one number per counter."""
-    sums = rows.mapInArrow(_tally, _TALLY).groupBy("block", "part").applyInArrow(_added, _TALLY)
-    sums = sums.withColumn("part", F.lit(0)).groupBy("block").applyInArrow(_added, _TALLY)
-    counts = np.zeros(COUNTERS, np.uint64)
-    for row in sums.select("block", "counts").toLocalIterator():
-        counts[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(bytes(row["counts"]), np.uint64)
+    counts = summed(rows.mapInArrow(_tally, VECTOR), COUNTERS)
     classes = np.log2(counts.astype(np.float64) + 1).astype(np.uint8)
     weight = np.bincount(classes, counts.astype(np.float64), minlength=64)
     ends = np.cumsum(weight)

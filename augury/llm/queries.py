@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from augury.llm.byte_bpe import encode_and_decode
 from augury.llm.host_rules import host_quality
+from augury.llm.lm_score import score_documents
 from augury.llm.ngram_join import similar_documents
 from augury.llm.packing import pack
 from augury.llm.pii import digest, find_personal_data
 from augury.llm.radix_dedup import radix_dedup
 from augury.llm.shared import reachable
+from augury.llm.suffix_dedup import repeated_passages
 from augury.llm.toxicity import score_toxicity
 from augury.llm.warc import round_trip
 
@@ -50,6 +53,17 @@ def op6_vertical_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return similar_documents(table(spark, d, "documents"))
 
 
+def op7_cross_entropy_difference(spark: SparkSession, d: str) -> DataFrame:
+    good = table(spark, d, "labels").filter("quality = 1")
+    return score_documents(table(spark, d, "documents"), good)
+
+
+def op8_sparse_suffix_passages(spark: SparkSession, d: str) -> DataFrame:
+    found = repeated_passages(table(spark, d, "documents"))
+    text = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["stop"].cast("string")))
+    return found.select("doc_id", "n_words", "n_repeated", F.size("spans").alias("n_spans"), F.array_join(text, ",").alias("spans"))
+
+
 def op9_sentencepiece_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode_and_decode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +66,38 @@ def in_map(packed: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     """Which of the hashes (int64, as Spark has them) have their bit set."""
     at = np.mod(hashed.astype(np.int64), np.int64(len(packed) * 8))
     return (packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+# --- long vectors of counts, summed over tasks ------------------------------------
+
+BLOCK = 1 << 16
+VECTOR = "block int, part int, counts binary"
+
+
+def vector_rows(counts: np.ndarray) -> pa.RecordBatch:
+    """A task's counts (uint32), in blocks; adding up starts among a few tasks each."""
+    part = TaskContext.get().partitionId() % 64
+    blocks = [counts[a : a + BLOCK].astype("<u8").tobytes() for a in range(0, len(counts), BLOCK)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())],
+        ["block", "part", "counts"],
+    )
+
+
+def _added(table: pa.Table) -> pa.Table:
+    total: np.ndarray | int = 0
+    for counts in table.column("counts"):
+        total = total + np.frombuffer(counts.as_py(), "<u8")
+    first = table.slice(0, 1)
+    return pa.table({"block": first.column("block"), "part": first.column("part"), "counts": pa.array([total.tobytes()], pa.binary())})
+
+
+def summed(vectors: DataFrame, length: int) -> np.ndarray:
+    """The sum of all tasks' vectors; one vector of a fixed length reaches the driver."""
+    sums = vectors.groupBy("block", "part").applyInArrow(_added, VECTOR)
+    sums = sums.withColumn("part", F.lit(0)).groupBy("block").applyInArrow(_added, VECTOR)
+    out = np.zeros(length, np.uint64)
+    for row in sums.select("block", "counts").toLocalIterator():
+        own = np.frombuffer(bytes(row["counts"]), "<u8")
+        out[row["block"] * BLOCK : row["block"] * BLOCK + len(own)] = own
+    return out
