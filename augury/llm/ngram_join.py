@@ -299,3 +299,15 @@ def similar_documents(
     return some.select("doc_id", "n", "node").join(freeze(best), "node").select(
         real.alias("doc_id"), F.col("n").alias("n_shingles"), own.alias("component_id")
     ).union(empty)
+
+
+def one_of_each_group(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows whose id is the smallest of their component, with all their columns.
+
+    Rows without an id stay: nothing says which of them to keep.
+    """
+    found = similar_documents(docs, percent, id_col=id_col, text_col=text_col)
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    with_id = docs.filter(docs[id_col].isNotNull())
+    stay = with_id.join(kept, with_id[id_col].cast("long") == kept["_kept_id"], "left_semi")
+    return stay.union(docs.filter(docs[id_col].isNull()))

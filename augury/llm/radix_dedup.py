@@ -210,3 +210,28 @@ def radix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return alone.unionByName(
         several.select("doc_id", "keep_id", "group_size", (F.col("holds") & (F.col("place") == 0)).alias("kept"), "text_sha256")
     )
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns; of rows that repeat an id and its text, one.
+
+    Rows are told apart by id and digest of the text; rows without an id by the digest alone.
+    """
+    at = docs.columns.index(text_col)
+    mark = "_copy_digest"
+    schema = docs.withColumn(mark, F.lit("")).schema
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = _folded(batch.column(at)).to_pylist()
+            digest = pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, digest], [*batch.schema.names, mark])
+
+    kept = radix_dedup(docs, id_col, text_col).filter("kept").select(
+        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"), "group_size"
+    )
+    rows = docs.mapInArrow(marked, schema)
+    same = (rows[mark] == kept["_kept_digest"]) & rows[id_col].cast("long").eqNullSafe(kept["_kept_id"])
+    found = rows.join(kept, same)
+    alone = found.filter("group_size = 1").select(*docs.columns)
+    return alone.unionByName(found.filter("group_size > 1").dropDuplicates([id_col, mark]).select(*docs.columns))
