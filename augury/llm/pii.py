@@ -183,7 +183,7 @@ def _features(kind: np.ndarray, vote: np.ndarray) -> np.ndarray:
     out = np.zeros((len(kind), len(KINDS), 1 + len(LABELERS)))
     out[np.arange(len(kind)), kind, 0] = 1
     out[np.arange(len(kind)), kind, 1:] = vote
-    return out.reshape(len(kind), -1)
+    return out.reshape(len(kind), len(KINDS) * (1 + len(LABELERS)))
 
 
 def fit(kind: np.ndarray, vote: np.ndarray, count: np.ndarray) -> SpanModel:
