@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from augury.functions import fixed_values as fixed
 from augury.functions.text import (
-    any_of, first_offset, fold, folded_pattern, in_basic_plane, let, match_offset, pattern, slice_text,
-    split_sentences, truncate_sentence,
+    any_of, fold, folded_pattern, let, match_offset, pattern, slice_text, truncate_sentence,
 )
 
 # All but the last two are for folded text.
@@ -127,26 +126,6 @@ def detect_action(around: Column) -> Column:
 # text never travels with its sentences.
 
 
-def locate_sentence(text: Column, sentence: Column, basic: Column) -> Column:
-    """Struct (sent_start, context_start, context) for a sentence of ``text``.
-
-    ``basic`` is :func:`augury.functions.text.in_basic_plane` of the text, bound once.
-    """
-    before, after = fixed.PERIOD_WINDOW
-    reach = fixed.VALUE_WINDOW[1]
-
-    def cut(start: Column) -> Column:
-        first = F.greatest(start - before, F.lit(0))
-        last = F.greatest(start + after, start + F.length(sentence) + reach)
-        return F.struct(
-            start.alias("sent_start"),
-            first.alias("context_start"),
-            slice_text(text, first, last).alias("context"),
-        )
-
-    return let(first_offset(text, sentence, basic), cut)
-
-
 def _window(context: Column, context_start: Column, at: Column, size: tuple[int, int]) -> Column:
     first = F.greatest(at - size[0], F.lit(0)) - context_start
     return slice_text(context, first, at + size[1] - context_start)
@@ -169,7 +148,7 @@ def action_window(context: Column, context_start: Column, at: Column) -> Column:
 
 def _sentence_records(located: Column) -> Column:
     """Records of one located sentence that carry a value."""
-    sentence, place = located["sentence"], located["place"]
+    sentence, place = located["sentence"], located
     mentions = F.transform(
         metric_mentions(sentence),
         lambda m: F.struct(
@@ -202,15 +181,6 @@ def _sentence_records(located: Column) -> Column:
     )
 
 
-def guidance_sentences(text: Column) -> Column:
-    """Array of (sent_ord, sentence) holding a guidance verb."""
-    numbered = F.transform(
-        split_sentences(text),
-        lambda s, i: F.struct(i.alias("sent_ord"), s.alias("sentence")),
-    )
-    return F.filter(numbered, lambda n: has_guidance_verb(n["sentence"]))
-
-
 def first_of_each_key(records: Column) -> Column:
     """First record per (metric, val1, val2) of a document, without a shuffle.
 
@@ -233,22 +203,7 @@ def first_of_each_key(records: Column) -> Column:
     return let(F.sort_array(records), keep)
 
 
-def document_records(text: Column) -> Column:
-    """All guidance records of one text, each (metric, val1, val2) once.
-
-    The text is bound once too: its length and whether it is ASCII are then found once.
-    """
-
-    def read(whole: Column, basic: Column) -> Column:
-        located = F.transform(
-            guidance_sentences(whole),
-            lambda n: F.struct(
-                n["sent_ord"].alias("sent_ord"),
-                n["sentence"].alias("sentence"),
-                locate_sentence(whole, n["sentence"], basic).alias("place"),
-            ),
-        )
-        priced = F.filter(located, lambda s: F.contains(s["place"]["context"], F.lit("$")))
-        return first_of_each_key(F.flatten(F.transform(priced, _sentence_records)))
-
-    return let(text, lambda whole: let(in_basic_plane(whole), lambda basic: read(whole, basic)))
+def document_records(located: Column) -> Column:
+    """All guidance records of one text's located sentences, each (metric, val1, val2) once."""
+    told = F.filter(located, lambda s: has_guidance_verb(s["sentence"]))
+    return first_of_each_key(F.flatten(F.transform(told, _sentence_records)))

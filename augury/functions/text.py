@@ -1,4 +1,4 @@
-"""Text helpers as column expressions: white space, patterns, sentences, offsets."""
+"""Text helpers as column expressions: white space, patterns, offsets."""
 
 from __future__ import annotations
 
@@ -25,7 +25,6 @@ def folded_pattern(text: str) -> str:
     return pattern(text.lower())
 
 
-SENTENCE_BREAK = pattern(r"(?<=[.!?])\s+")
 WORD_BREAK = pattern(r"\s+")
 WHITE_CHARACTERS = "".join(
     chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
@@ -43,27 +42,6 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_CHARACTERS))
 
 
-def split_sentences(text: Column) -> Column:
-    """Pieces of a text, cut at white space after a full stop, ``!`` or ``?``."""
-    return F.split(text, SENTENCE_BREAK, -1)
-
-
-def first_offset(text: Column, part: Column, basic: Column) -> Column:
-    """Where ``part`` occurs first, counted in code points from 0.
-
-    A quoted pattern skips ahead by the length of the part, where ``instr`` compares at
-    every character: long texts with many parts would take quadratic time. It counts
-    UTF-16 units, so it serves texts of the basic plane only (``basic``); and preparing
-    it can take the square of the part's length, so not for the few very long parts.
-    Short texts do not repay the preparation.
-    """
-    quick = basic & (F.length(part) <= 1000) & (F.length(text) > 4000)
-    quoted = F.concat(
-        F.lit(r"\Q"), F.replace(part, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")
-    )
-    return F.when(quick, F.regexp_instr(text, quoted)).otherwise(F.instr(text, part)) - 1
-
-
 def any_of(alternatives: list[str], whole_words: bool = False) -> str:
     """Alternatives behind a look at their first letters.
 
@@ -83,11 +61,6 @@ _ASTRAL = r"[\x{10000}-\x{10FFFF}]"
 _ODD = rf"[\x{{130}}\x{{131}}\x{{17F}}\x{{212A}}\x{{10000}}-\x{{10FFFF}}]"
 
 
-def in_basic_plane(text: Column) -> Column:
-    """No character takes two UTF-16 units."""
-    return (F.octet_length(text) == F.length(text)) | ~text.rlike(_ASTRAL)
-
-
 def fold(text: Column) -> Column:
     """Lower case for matching, code point by code point.
 

@@ -5,31 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from augury.functions import fixed_values as fixed
 from augury.functions import guidance as g
-from augury.functions.text import in_basic_plane, let
-from augury.functions.text import split_sentences as pieces_of
+from augury.functions.sentences import LOCATED_DDL, locate_batches
 from augury.functions.text import truncate_sentence as truncated
 from augury.operators.derive import add_parse_midpoint, add_range_width
 from augury.operators.filings import filter_min_length
+from augury.session import importable
+
+
+def locate(df: DataFrame, text: str, priced: bool = False) -> DataFrame:
+    """Replaces the text by ``located``, its sentences with their places and bounded contexts."""
+    others = [c for c in df.columns if c != text]
+    importable(df.sparkSession)
+    fields = [f for f in df.schema.fields if f.name != text]
+    schema = T.StructType([*fields, T.StructField("located", T.DataType.fromDDL(LOCATED_DDL))])
+    return df.select(*others, text).mapInArrow(locate_batches(text, priced), schema)
 
 
 def split_sentences(df: DataFrame, text: str = "text") -> DataFrame:
     """G1: one row per sentence with its place and a bounded context; the text stays behind."""
-    pieces = let(
-        in_basic_plane(F.col(text)),
-        lambda basic: F.transform(
-            pieces_of(F.col(text)),
-            lambda s, i: F.struct(
-                i.alias("sent_ord"),
-                s.alias("sentence"),
-                g.locate_sentence(F.col(text), s, basic).alias("at"),
-            ),
-        ),
-    )
     others = [c for c in df.columns if c != text]
-    return df.select(*others, F.inline(pieces)).select(*others, "sent_ord", "sentence", "at.*")
+    return locate(df, text).select(*others, F.inline("located")).select(
+        *others, "sent_ord", "sentence", "sent_start", "context_start", "context"
+    )
 
 
 def filter_guidance_sentences(df: DataFrame) -> DataFrame:
@@ -89,21 +90,18 @@ def _able(df: DataFrame, text: str) -> DataFrame:
     return filter_min_length(df, text).filter(F.contains(F.col(text), F.lit("$")))
 
 
-def document_records(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``records``, the array of a text's records. No shuffle."""
-    others = [c for c in df.columns if c != text]
-    return _able(df, text).select(*others, g.document_records(F.col(text)).alias("records"))
-
-
 def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
     """Texts to guidance records, with the columns that came beside the text.
 
-    One narrow stage. Labels are read after the in-document dedup, for records only.
+    One narrow stage. Sentences are located in time that follows the text's length; those
+    with a dollar sign near go on. Labels are read after the in-document dedup, for records only.
     """
     others = [c for c in df.columns if c != text]
     # The expression is inlined itself, not a column of it: from a column Spark infers
-    # "not empty" filters, pushes them below, and reads every text again for each.
-    rows = _able(df, text).select(*others, F.inline(g.document_records(F.col(text))))
+    # "not empty" filters, pushes them below, and reads every sentence again for each.
+    rows = locate(_able(df, text), text, priced=True).select(
+        *others, F.inline(g.document_records(F.col("located")))
+    )
     lead = fixed.ACTION_WINDOW[0]
     action_from = F.greatest(F.col("lead") - lead, F.lit(0))
     action_text = F.substring(

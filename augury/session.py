@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -92,6 +93,14 @@ def broadcast_if_small(df: DataFrame, **bounds: int) -> DataFrame:
     return F.broadcast(df) if is_small(df, **bounds) else df
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that see this machine's files import the package from where it lies."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
+        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give a small scan as many tasks as there are cores.
 

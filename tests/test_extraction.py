@@ -1,8 +1,12 @@
+import random
+import time
+
+import pytest
 """Texts to records: places, windows, dedup, composition."""
 
 from pyspark.sql import functions as F
 
-from augury.functions.text import split_sentences
+from augury.functions.sentences import FirstPlaces, located, pieces_of
 from augury.operators import guidance as ops
 from augury.operators.filings import filter_min_length
 
@@ -20,7 +24,7 @@ def brief(df):
 
 def test_sentences_are_cut_like_the_definition(spark):
     text = 'One. Two! Three?\n\nFour 1.5 "five." six. '
-    row = spark.createDataFrame([(text,)], "t string").select(split_sentences(F.col("t"))).first()
+    row = [[piece for _, piece in pieces_of(text)]]
     assert row[0] == ["One.", "Two!", "Three?", 'Four 1.5 "five." six.', ""]
 
 
@@ -113,3 +117,27 @@ def test_places_of_odd_sentences(spark):
         for row in ops.split_sentences(df).collect():
             assert row["sent_start"] == body.find(row["sentence"]), row["sentence"]
             assert row["context"] == body[row["context_start"]:][: len(row["context"])]
+
+
+@pytest.mark.parametrize("end", ["", "\U0001f600"])
+def test_places_take_linear_time(end):
+    def seconds(repeats):
+        body = "".join(
+            f"We expect capex of $1.{i % 97} million in Q{i % 4}. Costs of item {i} fell. " for i in range(repeats)
+        ) + end
+        start = time.process_time()
+        assert sum(1 for _ in located(body, priced=True)) > repeats
+        return time.process_time() - start
+
+    seconds(1000)
+    small = min(seconds(6_000) for _ in range(3))
+    assert seconds(60_000) < 25 * max(small, 0.02)
+
+
+def test_first_places_equal_plain_search():
+    r = random.Random(4)
+    for _ in range(3000):
+        body = "".join(r.choice(["a", "b", ". ", "! ", ".", "$1.5", " "]) for _ in range(r.randint(0, 30)))
+        places, pieces = FirstPlaces(body), pieces_of(body)
+        for i, (own, piece) in enumerate(pieces):
+            assert places.find(own, piece, i == len(pieces) - 1) == body.find(piece), (body, piece)
