@@ -25,7 +25,7 @@ _HASH_BITS = 58
 #: Stands for a missing id, so that it is never the smallest beside others.
 NO_ID = 2**63 - 1
 
-_HEAD = "doc_id long, n long, node long, last long, tokens binary"
+_HEAD = "doc_id long, n long, node long, rare long, last long, tokens binary"
 
 
 # --- the global order ---------------------------------------------------------
@@ -95,20 +95,26 @@ def _node(numbers: np.ndarray) -> int:
 
 
 def _heads(order, percent: int, size: int):
-    """Each document's set: its size, its number, and its first shingles in the global order."""
+    """Each document's set: its size, its number, and its first shingles in the global order.
+
+    ``rare`` tells how rare its shingles are on average. Of many near copies, the text they were
+    made from has the least: what they changed is theirs alone.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, node, last, tokens = [], [], [], []
+            n, node, rare, last, tokens = [], [], [], [], []
             for own in text_shingles(batch.column("text"), size=size):
                 numbers = order.value.numbers(own)
                 first = numbers[: prefix_length(len(numbers), percent)]
                 n.append(len(numbers))
                 node.append(_node(numbers))
+                common = (numbers >> np.uint64(_HASH_BITS)).sum(dtype=np.uint64)
+                rare.append(-int(common) * 1000 // max(1, len(numbers)))
                 last.append(int(first[-1:].view(np.int64)[0]) if len(first) else 0)
                 tokens.append(first.tobytes())
-            columns = [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(last, pa.int64()), pa.array(tokens, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "node", "last", "tokens"])
+            columns = [*[pa.array(c, pa.int64()) for c in (n, node, rare, last)], pa.array(tokens, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "node", "rare", "last", "tokens"])
 
     return run
 
@@ -125,7 +131,10 @@ def _postings(packed: np.ndarray | None):
             place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             columns = [tokens, np.repeat(nodes, sizes)]
             names = ["token", "node"]
-            if packed is not None:
+            if packed is None:
+                columns.append(np.repeat(batch.column("rare").to_numpy()[at], sizes))
+                names.append("rare")
+            else:
                 for name in ("n", "last"):
                     columns.append(np.repeat(batch.column(name).to_numpy()[at], sizes))
                 keep = in_map(packed, tokens)
@@ -218,8 +227,9 @@ def similar_documents(
 
     * Shingles are counted over all documents, which gives the global order, rare ones first.
     * Equal sets are one node. Two similar sets share one of their first shingles in the order.
-    * First, every node is compared with the least node of each shingle it shares: few pairs,
-      however many copies there are. Most links are found so, and become components.
+    * First, every node is compared with one leader: of each shingle it shares, the node whose
+      shingles are the most common is a candidate, and the one it shares most with is taken.
+      Most links are found so, however many copies there are, and become components.
     * Then whoever is not in a shingle's largest component is compared with the nodes of other
       components there, unless the shared part of their first shingles rules it out. A pair in
       one component needs no comparison, so no group is expanded into all its pairs, and no
@@ -238,8 +248,9 @@ def similar_documents(
     nodes = written(some.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "nodes")
 
     shared = written(
-        some.mapInArrow(_postings(None), "token long, node long").groupBy("token")
-        .agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("token", "least"),
+        some.mapInArrow(_postings(None), "token long, node long, rare long").groupBy("token")
+        .agg(F.min(F.struct("rare", "node"))["node"].alias("least"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1").select("token", "least"),
         "shared",
     )
     packed = bit_map(shared, F.col("token"))
@@ -254,7 +265,9 @@ def similar_documents(
         return pairs.filter(_ratio("n_a", "n_b", percent)).select("a", "b", "n_a", "n_b")
 
     star = hits.join(shared, "token").filter("node <> least").groupBy(F.col("least").alias("x"), F.col("node").alias("y"), "n")
-    star = star.agg(F.count(F.lit(1)).alias("common")).filter(32 * F.col("common") >= F.col("n")).select("x", "y")
+    # With the one it shares most with: a second leader would mostly say the same.
+    star = star.agg(F.count(F.lit(1)).alias("common")).filter(32 * F.col("common") >= F.col("n"))
+    star = star.groupBy("y").agg(F.max(F.struct("common", (-F.col("x")).alias("x")))["x"].alias("x")).select((-F.col("x")).alias("x"), "y")
     links = written(verified(rows, written(named(star), "star"), order, percent, size), "links")
     found = components(links)
 
