@@ -50,15 +50,60 @@ def enrich_company(df: DataFrame, metadata: DataFrame) -> DataFrame:
     return df.join(broadcast_if_small(side), "cik_padded", "left")
 
 
-def attach_exhibit(filings: DataFrame, listings: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Filings with their chosen exhibit and its body.
+def nearest_copy(wanted: DataFrame, staged: DataFrame, *keys: str) -> DataFrame:
+    """Whose copy each filer takes: ``cik``, the keys and ``copy_cik``.
 
-    ``filings`` carry ``accession_number``, ``listings`` (E5) and ``bodies`` (S7) carry
-    ``accession_key``. Both sides are large: AQE picks the join from measured sizes and
-    splits skewed keys. To keep texts out of the shuffle, extract first and attach the
-    small records instead: see :func:`augury.plans.guidance.guidance_from_bodies`.
+    Filers of one filing each have a folder. Who has none of their own takes the copy of the
+    lowest CIK that has one, and exactly that. Only keys are read and moved.
+    """
+    theirs = staged.select(F.col("cik").alias("copy_cik"), *keys).distinct()
+    by_number = F.struct(F.length("copy_cik"), F.col("copy_cik").alias("cik"))
+    lowest = theirs.groupBy(*keys).agg(F.min(by_number)["cik"].alias("lowest_cik"))
+    own = theirs.withColumn("cik", F.col("copy_cik"))
+    return (
+        wanted.select("cik", *keys).distinct()
+        .join(lowest, list(keys))
+        .join(own, ["cik", *keys], "left")
+        .select("cik", *keys, F.coalesce("copy_cik", "lowest_cik").alias("copy_cik"))
+    )
+
+
+def attach_listing(filings: DataFrame, listings: DataFrame, staged: DataFrame | None = None) -> DataFrame:
+    """The metadata half of J6: filings with their chosen exhibit and ``accession_key``, no text.
+
+    ``staged`` has the keys of all listings, also of those without an exhibit: who has such a
+    listing takes no one else's.
     """
     keyed = filings.withColumn("accession_key", without_dashes(F.col("accession_number")))
-    chosen = keyed.join(listings.drop("cik", "filing_url"), "accession_key")
-    text = bodies.drop("cik").withColumnRenamed("filename", "exhibit_filename")
-    return chosen.join(text, ["accession_key", "exhibit_filename"]).drop("accession_key")
+    taken = nearest_copy(keyed, listings if staged is None else staged, "accession_key")
+    chosen = listings.drop("filing_url").withColumnRenamed("cik", "copy_cik")
+    return (
+        keyed.join(taken, ["cik", "accession_key"])
+        .join(chosen, ["copy_cik", "accession_key"])
+        .drop("copy_cik")
+    )
+
+
+def attach_exhibit(
+    filings: DataFrame, listings: DataFrame, bodies: DataFrame,
+    staged_listings: DataFrame | None = None, staged_bodies: DataFrame | None = None,
+) -> DataFrame:
+    """Filings with their chosen exhibit and its body, one row for each filing at most.
+
+    ``filings`` carry ``cik`` and ``accession_number``, ``listings`` (E5) and ``bodies`` (S7)
+    ``cik`` and ``accession_key``. Filers of one filing take their own copies, or else the
+    lowest CIK's (:func:`nearest_copy`). Texts move once: AQE picks the join from measured
+    sizes and splits skewed keys. To keep texts out of the shuffle, extract first and attach
+    the small records instead: see :func:`augury.plans.guidance.guidance_from_bodies`.
+    """
+    chosen = attach_listing(filings, listings, staged_listings)
+    named = chosen.withColumnRenamed("exhibit_filename", "filename")
+    keys = ["accession_key", "filename"]
+    taken = nearest_copy(named, bodies if staged_bodies is None else staged_bodies, *keys)
+    text = bodies.withColumnRenamed("cik", "copy_cik")
+    return (
+        named.join(taken, ["cik", *keys])
+        .join(text, ["copy_cik", *keys])
+        .drop("accession_key", "copy_cik")
+        .withColumnRenamed("filename", "exhibit_filename")
+    )

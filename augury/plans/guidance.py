@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from augury import schemas
 from augury.operators.filings import earnings_gate, select_contract
 from augury.operators.guidance import extract_guidance
-from augury.plans.exhibits import attach_listing, chosen_exhibits, open_filings
-from augury.session import is_small
+from augury.plans.exhibits import chosen_names, wanted_bodies
+from augury.session import freeze
+from augury.sources.filings import body_text
 
 
 def build_guidance(exhibits: DataFrame) -> DataFrame:
@@ -22,21 +23,14 @@ def guidance_from_bodies(
 ) -> DataFrame:
     """Z2 and Z3 in one, for large corpora: the same records, but no text is shuffled.
 
-    Records are read where the bodies lie; a few small rows per body then meet the
-    filing. With a small index the chosen names go to the bodies first. With a large one,
-    bodies that no filing chose are read in vain, which is cheaper than moving every text.
+    Records are read where the bodies lie, from those that may be chosen; a few small rows per
+    body then meet the filing.
     """
-    names = attach_listing(open_filings(index, ledger), chosen_exhibits(listings)).select(
-        "accession_key", F.col("exhibit_filename").alias("filename")
-    )
-    # One name per filing: the index bounds the names, and looking at it is cheap.
-    if is_small(index.select("accession_number")):
-        bodies = bodies.join(F.broadcast(names), ["accession_key", "filename"], "left_semi")
-    records = extract_guidance(earnings_gate(bodies).select("accession_key", "filename", "text"))
-    chosen = attach_listing(open_filings(index, ledger), chosen_exhibits(listings)).select(
-        *schemas.FILING_KEYS, "accession_key", F.col("exhibit_filename").alias("filename")
-    )
-    found = chosen.join(records, ["accession_key", "filename"])
+    names = freeze(chosen_names(index, listings, bodies, ledger))
+    keys = ["copy_cik", "accession_key", "filename"]
+    texts = earnings_gate(body_text(wanted_bodies(names, bodies))).select(*keys, "text")
+    records = extract_guidance(texts)
+    found = names.select(*schemas.FILING_KEYS, *keys).join(records, keys)
     return select_contract(
         found.withColumn("date_filed", F.col("date_filed").cast("string")), schemas.GUIDANCE
     )

@@ -203,6 +203,13 @@ SELECT {_s('c_custkey')} AS cik, {ACCESSION_KEY} AS accession_key, filename,
     ELSE plain END AS value
 FROM ({_BODY_TEXT}) b"""
 
+# Every tenth filing names a second filer; every other one of these has staged copies of its own.
+CO_INDEX = f"""
+SELECT {_s('c_custkey + 1')} AS cik, concat('CO ', c_name) AS company_name, '8-K' AS form_type,
+  CAST(o_orderdate AS DATE) AS date_filed, {ACCESSION} AS accession_number
+FROM {ORDERS} WHERE {KEY} % 10 = 0"""
+CO_STAGED = "CAST(substr(accession_key, -10) AS BIGINT) % 20 = 0"
+
 # --- dimensions --------------------------------------------------------------
 
 # Each ticker document covers up to 100 customers, so no group grows with the tables.

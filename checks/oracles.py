@@ -347,6 +347,29 @@ BODIES = (
     f"THEN {strip_html('value')} ELSE value END AS text FROM ({inputs.BODIES})",
 )
 GATE = f"regexp_matches(upper(substring(text, 1, {fixed.GATE_CHARS})), {q('|'.join(fixed.GATE_TERMS))})"
+CO_INDEX = (
+    "co_index",
+    "SELECT *, false AS co FROM press_index UNION ALL SELECT cik, company_name, form_type, "
+    "CAST(date_filed AS VARCHAR), accession_number, replace(accession_number, '-', ''), true "
+    f"FROM ({inputs.CO_INDEX})",
+)
+CO_BODIES = (
+    "co_bodies",
+    "SELECT *, false AS co FROM bodies UNION ALL SELECT accession_key, filename, 'co' || chr(10) || text, true "
+    f"FROM bodies WHERE {inputs.CO_STAGED}",
+)
+CO_JOIN = (
+    "JOIN chosen c USING (accession_key) JOIN co_bodies b ON b.accession_key = c.accession_key "
+    f"AND b.filename = c.exhibit_filename AND b.co = (f.co AND {inputs.CO_STAGED.replace('accession_key', 'f.accession_key')})"
+)
+CO_EXHIBITS = (
+    "co_exhibits",
+    "SELECT f.cik, f.company_name, f.accession_number, f.date_filed, f.form_type, CASE WHEN f.co THEN replace("
+    "c.exhibit_url, 'data/' || CAST(CAST(f.cik AS BIGINT) - 1 AS VARCHAR) || '/' || f.accession_key, "
+    "'data/' || f.cik || '/' || f.accession_key) ELSE c.exhibit_url END AS exhibit_url, "
+    "c.exhibit_filename, c.exhibit_description, c.items, b.text, length(b.text) AS text_length "
+    f"FROM co_index f {CO_JOIN} WHERE {GATE.replace('text', 'b.text')}",
+)
 EXHIBITS = (
     "made_exhibits",
     f"SELECT f.cik, f.company_name, f.accession_number, f.date_filed, f.form_type, c.exhibit_url, "
@@ -610,9 +633,8 @@ def oracles() -> dict[str, str]:
         f"SELECT p.accession_number, {pad('p.cik')} AS cik_padded, m.sic, m.exchange, m.category "
         "FROM press_index p LEFT JOIN metadata m ON p.cik = m.cik"
     )
-    o["j6_attach_exhibit"] = chain(PRESS_INDEX, *LIST_ROWS, BODIES) + (
-        "SELECT accession_number, exhibit_filename, text FROM press_index JOIN chosen USING (accession_key) "
-        "JOIN bodies ON bodies.accession_key = chosen.accession_key AND filename = exhibit_filename"
+    o["j6_attach_exhibit"] = chain(PRESS_INDEX, CO_INDEX, *LIST_ROWS, BODIES, CO_BODIES) + (
+        f"SELECT f.cik, f.accession_number, c.exhibit_filename, b.text FROM co_index f {CO_JOIN}"
     )
     # aggregates
     o["a1_summarise_panel"] = from_panel(SUMMARY)
@@ -720,8 +742,8 @@ def oracles() -> dict[str, str]:
     # composites
     o["z1_build_filing_index"] = index + "SELECT * FROM idx WHERE year BETWEEN 1995 AND 2001"
     made = [PRESS_INDEX, *LIST_ROWS, BODIES, EXHIBITS]
-    o["z2_build_exhibits"] = chain(*made, LEDGER) + (
-        "SELECT * EXCLUDE (accession_key) FROM made_exhibits "
+    o["z2_build_exhibits"] = chain(PRESS_INDEX, CO_INDEX, *LIST_ROWS, BODIES, CO_BODIES, CO_EXHIBITS, LEDGER) + (
+        "SELECT * FROM co_exhibits "
         "WHERE accession_number NOT IN (SELECT accession_number FROM ledger)"
     )
     o["z3_build_guidance"] = from_steps(f"SELECT {GUIDANCE_COLUMNS} FROM guidance")

@@ -116,6 +116,24 @@ def press_index(spark: SparkSession, d: str) -> DataFrame:
     return rows
 
 
+def co_filed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Index, staged listings and staged bodies in which every tenth filing has a second filer.
+
+    Every other one of these has copies of its own, of which the body says so.
+    """
+    index = press_index(spark, d).unionByName(view(spark, d, inputs.CO_INDEX))
+    listed, raw = staged(spark, d, "listings", inputs.LISTINGS), staged(spark, d, "bodies", inputs.BODIES)
+    own = F.expr(inputs.CO_STAGED)
+    second = (F.col("cik").cast("bigint") + 1).cast("string")
+    markup = F.lower("filename").rlike("\\.html?$")
+    said = F.when(markup, F.concat(F.lit("<p>co</p>"), "value")).otherwise(F.concat(F.lit("co\n"), "value"))
+    return (
+        index,
+        listed.unionByName(listed.filter(own).withColumn("cik", second)),
+        raw.unionByName(raw.filter(own).withColumn("cik", second).withColumn("value", said)),
+    )
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back."""
     path = fresh_folder(df.sparkSession, name)
@@ -510,9 +528,11 @@ def j5_enrich_company(spark: SparkSession, d: str) -> DataFrame:
 
 
 def j6_attach_exhibit(spark: SparkSession, d: str) -> DataFrame:
-    chosen = exhibit_plan.chosen_exhibits(listings(spark, d))
-    joined = joins.attach_exhibit(press_index(spark, d), chosen, bodies(spark, d))
-    return joined.select("accession_number", "exhibit_filename", "text")
+    index, listed, raw = co_filed(spark, d)
+    joined = joins.attach_exhibit(
+        index, exhibit_plan.chosen_exhibits(listed), staged_filings.body_text(raw), listed, raw
+    )
+    return joined.select("cik", "accession_number", "exhibit_filename", "text")
 
 
 # --- aggregates -------------------------------------------------------------------
@@ -711,8 +731,7 @@ def z1_build_filing_index(spark: SparkSession, d: str) -> DataFrame:
 
 def z2_build_exhibits(spark: SparkSession, d: str) -> DataFrame:
     return exhibit_plan.build_exhibits(
-        press_index(spark, d), listings(spark, d).drop("filing_url"), bodies(spark, d),
-        ledger(spark, d),
+        *co_filed(spark, d), ledger(spark, d)
     ).withColumn("text_length", F.col("text_length").cast("bigint"))
 
 
@@ -723,7 +742,7 @@ def z3_build_guidance(spark: SparkSession, d: str) -> DataFrame:
 
 def z3_guidance_from_bodies(spark: SparkSession, d: str) -> DataFrame:
     return guidance_plan.guidance_from_bodies(
-        press_index(spark, d), listings(spark, d).drop("filing_url"), bodies(spark, d)
+        press_index(spark, d), listings(spark, d).drop("filing_url"), staged(spark, d, "bodies", inputs.BODIES)
     ).select("accession_number", "exhibit_url", "metric", "val1", "val2", "pdicity", "action")
 
 
