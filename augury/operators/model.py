@@ -18,7 +18,6 @@ from augury.functions import fixed_values as fixed
 from augury.functions.text import WORD_BREAK, let, strip
 from augury.operators.guidance import extract_guidance
 from augury.operators.joins import lookup_metric
-from augury.session import broadcast_if_small
 
 INSTRUCTIONS = (
     "Extract each forward-looking guidance statement of the press release, one item per "
@@ -52,7 +51,10 @@ def prefilter_text(text: Column) -> Column:
 
 
 def render_requests(exhibits: DataFrame) -> DataFrame:
-    """Filing keys and the ``request`` text; the full text stays behind."""
+    """Filing keys and the ``request`` text; the full text stays behind.
+
+    Filings without a text ask nothing and are left out.
+    """
 
     def field(name: str) -> Column:
         if name not in exhibits.columns:
@@ -65,7 +67,7 @@ def render_requests(exhibits: DataFrame) -> DataFrame:
         F.lit("\n\nPress release text:\n"), prefilter_text(F.col("text")),
     )
     keys = [c for c in exhibits.columns if c in schemas.FILING_KEYS]
-    return exhibits.select(*keys, request.alias("request"))
+    return exhibits.filter(F.col("text").isNotNull()).select(*keys, request.alias("request"))
 
 
 # --- the call ---------------------------------------------------------------
@@ -126,13 +128,20 @@ _REQUIRED = [*_ENUMS, "confidence_language", "is_adjusted", "context_sentence"]
 
 
 def with_parsed_response(responses: DataFrame, column: str = "response") -> DataFrame:
-    """Adds ``items`` (array) and ``is_json``; no list gives no items."""
+    """Adds ``items`` (array) and ``is_json``; no list gives no items.
+
+    Fields are read one by one: one of the wrong type is NULL, the others and the other items stay.
+    """
+
+    def typed(item: Column) -> Column:
+        return F.struct(*[item[f.name].try_cast(f.dataType).alias(f.name) for f in schemas.MODEL_ITEM])
+
     return (
         responses.withColumn("_parsed", F.from_json(F.col(column), schemas.MODEL_RESPONSE))
         .withColumn(
             "is_json", F.col("_parsed").isNotNull() & F.col("_parsed._corrupt_record").isNull()
         )
-        .withColumn("items", F.when(F.col("is_json"), F.col("_parsed.guidance_items")))
+        .withColumn("items", F.when(F.col("is_json"), F.transform("_parsed.guidance_items", typed)))
         .drop("_parsed", column)
     )
 
@@ -157,17 +166,14 @@ def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame
 
 
 def accepted_items(items: DataFrame) -> DataFrame:
+    """Items without a problem, for who wants no others; the jobs keep all, with theirs named."""
     return items.filter(F.col("problem").isNull()).drop("problem")
 
 
-def rejected_items(items: DataFrame) -> DataFrame:
-    return items.filter(F.col("problem").isNotNull())
-
-
 def map_to_guidance(items: DataFrame) -> DataFrame:
     """Items to guidance columns, enriched columns beside them.
 
-    Values keep their unit: ``millions`` does not rescale them.
+    Names that the panel does not know pass through. Values keep their unit: ``millions`` does not rescale them.
     """
     is_range = F.col("estimate_type") == "range"
     low = F.when(is_range, F.col("value_low")).otherwise(F.col("value_point"))
@@ -239,11 +245,27 @@ def cost_cap(usage: DataFrame, max_cost: float, model: str = fixed.DEFAULT_MODEL
     return usage.join(allowed, "chunk_no", "left_semi")
 
 
+# --- outcomes ---------------------------------------------------------------
+
+
+def settle_outcomes(outcomes: DataFrame) -> DataFrame:
+    """One row per filing however often it was tried: an answer if there is one, else the latest."""
+    w = W.partitionBy("accession_number").orderBy(
+        (F.col("status") == "ok").desc(), F.col("called_at").desc(), "status"
+    )
+    return outcomes.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+
+
 # --- fallback ---------------------------------------------------------------
 
 
 def fallback_regex(exhibits: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Records by wording for the filings whose call failed."""
-    failed = outcomes.filter(F.col("status") == "failed").select("accession_number")
-    again = exhibits.join(broadcast_if_small(failed), "accession_number", "left_semi")
+    """Records by wording for the filings that no call answered.
+
+    ``outcomes`` may hold several tries of a filing: one that was answered is not failed.
+    """
+    answered = F.max((F.col("status") == "ok").cast("int"))
+    tried = outcomes.groupBy("accession_number").agg(answered.alias("answered"))
+    failed = tried.filter("answered = 0").select("accession_number")
+    again = exhibits.join(failed, "accession_number", "left_semi")
     return extract_guidance(again.select(*schemas.FILING_KEYS, "text"))

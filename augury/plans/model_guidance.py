@@ -2,21 +2,50 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from augury import schemas
 from augury.functions import fixed_values as fixed
 from augury.operators.joins import exclude_processed
 from augury.operators.model import (
-    ModelClient, accepted_items, extract_with_model, fallback_regex, map_to_guidance,
-    parse_responses, render_requests, with_parsed_response,
+    ModelClient, extract_with_model, fallback_regex, map_to_guidance, parse_responses,
+    render_requests, settle_outcomes, with_parsed_response,
 )
 from augury.operators.panel import chunk_rows
 from augury.operators.profile import usage_cost
-from augury.sources.tables import read_parquet_table, write_parquet_table
+from augury.session import fresh_folder
+from augury.sources.tables import write_parquet_table
+
+#: What is kept of each call.
+OUTCOMES = T.StructType(
+    [T.StructField(name, T.StringType()) for name in schemas.FILING_KEYS]
+    + [T.StructField(name, T.StringType()) for name in ("response", "status", "model", "run_id")]
+    + [T.StructField(name, T.LongType()) for name in ("tokens_in", "tokens_out", "chunk_no")]
+    + [T.StructField("called_at", T.TimestampType())]
+)
+
+
+#: Chunks that one commit holds while no cost cap makes it smaller.
+COMMIT_CHUNKS = 64
+
+
+def outcomes_so_far(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(OUTCOMES).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in str(error):
+            return None
+        raise
+
+
+def _cost(outcomes: DataFrame | None) -> float:
+    return (usage_cost(outcomes).agg(F.sum("cost")).first()[0] or 0.0) if outcomes is not None else 0.0
 
 
 def call_model(
@@ -31,39 +60,51 @@ def call_model(
 ) -> DataFrame:
     """Append every outcome to a table and read it back.
 
-    Calls are paid for, so nothing downstream may repeat them. Without a cost cap all
-    filings go in one job. With one, waves of ``wave_rows`` filings run as long as the
-    written outcomes have cost less.
+    Calls are paid for, so nothing downstream may repeat them, and a job that fails keeps what
+    it has. Requests are written once, in order of their chunk of ``wave_rows`` filings. A wave
+    of chunks reads its own part of them and commits as it ends. With a cost cap, no wave starts
+    once the outcomes, those of earlier runs with them, have cost as much; a wave is as many
+    chunks as half of what is left should pay for, by the price of the chunks before it, and
+    the first is one chunk. Its cost is read from its own rows.
     """
     spark = exhibits.sparkSession
-
-    def run(part: DataFrame) -> None:
-        out = extract_with_model(render_requests(part), client_factory, concurrency, wait=wait)
+    requests = render_requests(exhibits)
+    chunks = chunk_rows(requests.select("accession_number"), ["accession_number"], wave_rows)
+    path = fresh_folder(spark, "requests")
+    requests.join(chunks.select("accession_number", "chunk_no").distinct(), "accession_number").repartitionByRange(
+        "chunk_no", "accession_number"
+    ).sortWithinPartitions("chunk_no").write.parquet(path)
+    asked = spark.read.parquet(path)
+    last = asked.agg(F.max("chunk_no")).first()[0]
+    spent, run_id = _cost(outcomes_so_far(spark, outcomes_path)) if max_cost > 0 else 0.0, uuid.uuid4().hex
+    before, following = spent, 0
+    while last is not None and following <= last and (max_cost <= 0 or spent < max_cost):
+        size = COMMIT_CHUNKS
+        if max_cost > 0:
+            paid = (spent - before) / following if following else None
+            size = 1 if not paid else max(1, min(size, int((max_cost - spent) / paid / 2)))
+        wave = (F.col("chunk_no") >= following) & (F.col("chunk_no") < following + size)
+        out = extract_with_model(asked.filter(wave), client_factory, concurrency, wait=wait)
         checked = with_parsed_response(out.withColumn("answer", F.col("response")), "answer")
         broken = (F.col("status") == "ok") & ~F.col("is_json")
         settled = checked.withColumns(
             {
                 "status": F.when(broken, F.lit("failed")).otherwise(F.col("status")),
                 "model": F.lit(model),
+                "run_id": F.lit(run_id),
+                "called_at": F.current_timestamp(),
             }
-        ).drop("items", "is_json")
-        write_parquet_table(settled, outcomes_path, mode="append")
-
-    def spent() -> float:
-        cost = usage_cost(read_parquet_table(spark, outcomes_path)).agg(F.sum("cost")).first()[0]
-        return cost or 0.0
-
-    if max_cost <= 0:
-        run(exhibits)
-        return read_parquet_table(spark, outcomes_path)
-    numbered = chunk_rows(exhibits.select("accession_number"), ["accession_number"], wave_rows)
-    waves = numbered.agg(F.max("chunk_no")).first()[0]
-    for wave in range(0 if waves is None else waves + 1):
-        if wave and spent() >= max_cost:
-            break
-        chosen = numbered.filter(F.col("chunk_no") == wave).select("accession_number")
-        run(exhibits.join(chosen, "accession_number", "left_semi"))
-    return read_parquet_table(spark, outcomes_path)
+        )
+        for field in OUTCOMES:
+            if field.name not in settled.columns:
+                settled = settled.withColumn(field.name, F.lit(None).cast(field.dataType))
+        write_parquet_table(settled.select(OUTCOMES.fieldNames()), outcomes_path, mode="append")
+        if max_cost > 0:
+            own = outcomes_so_far(spark, outcomes_path).filter((F.col("run_id") == run_id) & wave)
+            spent += _cost(own)
+        following += size
+    found = outcomes_so_far(spark, outcomes_path)
+    return spark.createDataFrame([], OUTCOMES) if found is None else found
 
 
 def build_guidance_model(
@@ -74,16 +115,23 @@ def build_guidance_model(
     fallback: bool = False,
     **calling,
 ) -> DataFrame:
-    """J2, X1-X7. Failed filings give no records, or those read from their wording."""
+    """J2, X1-X7. Failed filings give no records, or those read from their wording.
+
+    Only filings that are still to do give records. Of several tries of a filing an answer
+    wins; wording serves only who has none. Every item gives a record; ``problem`` names the
+    first field that breaks the rules, if any.
+    """
     todo = exclude_processed(exhibits, ledger) if ledger is not None else exhibits
     outcomes = call_model(todo, client_factory, outcomes_path, **calling)
-    answered = outcomes.filter(F.col("status") == "ok").select(*schemas.FILING_KEYS, "response")
-    records = map_to_guidance(accepted_items(parse_responses(answered)))
+    keys = todo.select("accession_number").distinct()
+    settled = settle_outcomes(outcomes.join(keys, "accession_number", "left_semi"))
+    answered = settled.filter(F.col("status") == "ok").select(*schemas.FILING_KEYS, "response")
+    records = map_to_guidance(parse_responses(answered))
     if fallback:
-        records = records.unionByName(fallback_regex(todo, outcomes), allowMissingColumns=True)
+        records = records.unionByName(fallback_regex(todo, settled), allowMissingColumns=True)
     return records
 
 
 def processed_ledger(outcomes: DataFrame) -> DataFrame:
     """Keys that need no further call: failed ones stay out, so they are tried again."""
-    return outcomes.filter(F.col("status") == "ok").select("accession_number", "status")
+    return outcomes.filter(F.col("status") == "ok").select("accession_number", "status").distinct()

@@ -88,7 +88,11 @@ MODEL_ITEM = _struct(
 )
 MODEL_RESPONSE = T.StructType(
     [
-        T.StructField("guidance_items", T.ArrayType(MODEL_ITEM)),
+        # Every field as the text it came as: one of the wrong type spoils no other.
+        T.StructField(
+            "guidance_items",
+            T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in MODEL_ITEM])),
+        ),
         T.StructField("_corrupt_record", T.StringType()),
     ]
 )

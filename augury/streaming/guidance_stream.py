@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -19,21 +23,26 @@ def read_exhibit_stream(
     return reader.parquet(source)
 
 
-def guidance_stream(exhibits: DataFrame, late: str | None = None) -> DataFrame:
-    """Stateless extraction; with ``late`` set, records delivered twice are dropped.
+KEY = ("accession_number", "metric", "val1", "val2")
+
+
+def guidance_stream(exhibits: DataFrame) -> DataFrame:
+    """Stateless extraction; a filing of any date is taken whenever it arrives."""
+    return build_guidance(exhibits)
+
+
+def append_new(records: DataFrame, target: str) -> None:
+    """Append the records whose key the target does not have, the first of each key.
 
-    The dedup works on records, so no text enters the state, and the watermark on the
-    filing date bounds it. Without it, D2 downstream removes the copies.
+    No state and no watermark: whatever arrives late, or twice, meets what is there. A batch
+    that is repeated after a failure adds nothing a second time.
     """
-    records = build_guidance(exhibits)
-    if late is None:
-        return records
-    return (
-        records.withColumn("filed_at", F.col("date_filed").try_cast("timestamp"))
-        .withWatermark("filed_at", late)
-        .dropDuplicatesWithinWatermark(["accession_number", "metric", "val1", "val2"])
-        .drop("filed_at")
-    )
+    there = records.sparkSession.read.schema(records.schema).parquet(target).select(*KEY).distinct()
+    w = W.partitionBy(*KEY).orderBy("date_filed", "exhibit_url", "sent_ord", "metric_ord")
+    first = records.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+    known = there.select(*[F.col(c).alias(f"_{c}") for c in KEY])
+    same = [first[c].eqNullSafe(known[f"_{c}"]) for c in KEY]
+    first.join(known, reduce(and_, same), "left_anti").write.mode("append").parquet(target)
 
 
 def stream_guidance(
@@ -41,20 +50,19 @@ def stream_guidance(
     source: str,
     target: str,
     checkpoint: str,
-    late: str | None = None,
+    dedup: bool = False,
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Read what is new, append its records, stop. The checkpoint is the ledger.
 
-    The file sink commits a batch's files at once, so a run that is repeated after a
-    failure leaves no copies.
+    Without ``dedup`` the file sink commits a batch's files at once, so a run that is repeated
+    after a failure leaves no copies, but a filing delivered twice does; D2 downstream removes
+    them. With it, records that the target has are left out. A target is fed one way or the other.
     """
-    records = guidance_stream(read_exhibit_stream(spark, source, files_per_trigger), late)
-    return (
-        records.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    records = guidance_stream(read_exhibit_stream(spark, source, files_per_trigger))
+    if dedup:
+        spark.createDataFrame([], records.schema).write.mode("append").parquet(target)
+        writer = records.writeStream.foreachBatch(lambda batch, _: append_new(batch, target))
+    else:
+        writer = records.writeStream.format("parquet").outputMode("append").option("path", target)
+    return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

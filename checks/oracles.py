@@ -751,8 +751,9 @@ def oracles() -> dict[str, str]:
         *made, *guidance_steps("SELECT * FROM made_exhibits")
     ) + f"SELECT exhibit_url, {short} FROM guidance"
     o["z4_build_guidance_model"] = chain(*REQUESTS, LEDGER, *[s for s in STEPS if s[0] != "texts"]) + (
-        "SELECT accession_number, 'Revenue' AS metric, CAST(length(request) AS DOUBLE) AS val1, "
-        "CAST(length(request) AS DOUBLE) AS val2, 'FY' AS pdicity, 'issues' AS action FROM requests "
+        "SELECT accession_number, CASE WHEN length(request) % 7 = 0 THEN 'Backlog' ELSE 'Revenue' END AS metric, "
+        "CASE WHEN length(request) % 11 <> 0 THEN CAST(length(request) AS DOUBLE) END AS val1, "
+        "CASE WHEN length(request) % 11 <> 0 THEN CAST(length(request) AS DOUBLE) END AS val2, 'FY' AS pdicity, 'issues' AS action FROM requests "
         f"WHERE {NOT_EQUAL_13} AND accession_number NOT IN (SELECT accession_number FROM ledger) UNION ALL "
         f"SELECT {short} FROM guidance WHERE accession_number IN (SELECT accession_number FROM requests "
         f"WHERE NOT {NOT_EQUAL_13} AND accession_number NOT IN (SELECT accession_number FROM ledger))"

@@ -55,7 +55,15 @@ def test_problems_are_named(spark):
     rows = parsed(spark, json.dumps({"guidance_items": answers})).orderBy("item_ord").collect()
     assert [r["problem"] for r in rows] == ["forecast_metric", "unit", "is_adjusted", None]
     items = parsed(spark, json.dumps({"guidance_items": answers}))
-    assert model.accepted_items(items).count() == 1 and model.rejected_items(items).count() == 3
+    assert model.accepted_items(items).count() == 1
+
+
+def test_a_mistyped_field_spoils_nothing_else(spark):
+    answers = [{**ITEM, "value_low": "about two", "fiscal_year": "2026", "unit": "euros"}, ITEM]
+    rows = parsed(spark, json.dumps({"guidance_items": answers})).orderBy("item_ord").collect()
+    assert [(r["value_low"], r["value_high"], r["fiscal_year"], r["problem"]) for r in rows] == [
+        (None, 3.0, 2026, "unit"), (1.0, 3.0, 2025, None),
+    ]
 
 
 @pytest.mark.parametrize(
@@ -133,3 +141,60 @@ def test_cost_cap_stops_further_waves(spark, texts):
     df = texts(*["fine"] * 9)
     out = call_model(df, Client, fresh_folder(spark, "outcomes"), max_cost=0.5, wave_rows=3, wait=0.0)
     assert sorted(r["accession_number"] for r in out.collect()) == [f"a-{i:04d}" for i in range(6)]
+
+
+def test_a_later_answer_replaces_a_failure(spark, texts):
+    path = fresh_folder(spark, "outcomes")
+    first, second = texts("fails " + STORY, "fine"), texts("well now " + STORY, "fine")
+    got = build_guidance_model(first, Client, path, fallback=True, wait=0.0).collect()
+    assert sorted((r["accession_number"], r["metric"]) for r in got) == [("a-0000", "Revenue"), ("a-0001", "EBITDA")]
+    open_ones = processed_ledger(spark.read.parquet(path))
+    again = build_guidance_model(second, Client, path, ledger=open_ones, fallback=True, wait=0.0).collect()
+    assert [(r["accession_number"], r["metric"]) for r in again] == [("a-0000", "EBITDA")]
+    assert model.settle_outcomes(spark.read.parquet(path)).count() == 2
+
+
+def test_a_spent_cap_calls_nobody(spark, texts):
+    path = fresh_folder(spark, "outcomes")
+    call_model(texts(*["fine"] * 6), Client, path, max_cost=0.3, wave_rows=3, wait=0.0)
+    before = spark.read.parquet(path).count()
+    out = call_model(texts(*["fine"] * 9), Client, path, max_cost=0.3, wave_rows=3, wait=0.0)
+    assert before == 3 and out.count() == 3
+
+
+def test_waves_commit_as_they_end(spark, texts, monkeypatch):
+    from augury.plans import model_guidance as plan
+
+    monkeypatch.setattr(plan, "COMMIT_CHUNKS", 1)
+    path, done = fresh_folder(spark, "outcomes"), []
+    write = plan.write_parquet_table
+
+    def failing(df, where, mode):
+        if len(done) == 2:
+            raise RuntimeError("lost")
+        done.append(write(df, where, mode=mode))
+
+    monkeypatch.setattr(plan, "write_parquet_table", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        call_model(texts(*["fine"] * 9), Client, path, wave_rows=3, wait=0.0)
+    assert spark.read.parquet(path).count() == 6
+
+
+def test_texts_without_content_are_not_asked(spark, texts):
+    df = texts("fine", None)
+    assert call_model(df, Client, fresh_folder(spark, "outcomes"), wait=0.0).count() == 1
+    assert call_model(df.limit(0), Client, fresh_folder(spark, "outcomes"), wait=0.0).count() == 0
+
+
+def test_no_item_is_lost(spark, texts):
+    item = ITEM
+
+    class Odd:
+        def complete(self, instructions, request):
+            import json as j
+
+            return j.dumps({"guidance_items": [{**item, "unit": "euros"}, {**item, "forecast_metric": "Backlog"}, {**item, "value_low": []}]}), 1, 1
+
+    rows = build_guidance_model(texts("x"), Odd, fresh_folder(spark, "outcomes"), wait=0.0).orderBy("sent_ord").collect()
+    assert [(r["metric"], r["problem"]) for r in rows] == [("EBITDA", "unit"), ("Backlog", "forecast_metric"), ("EBITDA", None)]
+    assert rows[2]["val1"] is None

@@ -33,9 +33,12 @@ def test_two_arrivals_equal_one_batch(spark, texts):
     assert streamed.count() == 59
 
 
-def test_repeated_delivery_is_dropped_within_the_watermark(spark, texts):
+def test_late_and_repeated_deliveries_lose_and_repeat_nothing(spark, texts):
     source, target, progress = (fresh_folder(spark, n) for n in ("arrivals", "streamed", "progress"))
-    for _ in range(2):
-        exhibits(texts, range(1, 10)).write.mode("append").parquet(source)
-        stream_guidance(spark, source, target, progress, late="400 days").awaitTermination()
-    assert spark.read.schema(schemas.GUIDANCE).parquet(target).count() == 9
+    dates = ("2025-06-01", "2025-03-01", "2024-01-01")
+    for date, numbers in zip(dates, (range(1, 10), range(5, 15), range(15, 20))):
+        exhibits(texts, numbers).withColumn("date_filed", F.lit(date)).write.mode("append").parquet(source)
+        stream_guidance(spark, source, target, progress, dedup=True).awaitTermination()
+    rows = spark.read.schema(schemas.GUIDANCE).parquet(target).collect()
+    assert sorted(int(r["accession_number"]) for r in rows) == list(range(1, 20))
+    assert {r["date_filed"] for r in rows if int(r["accession_number"]) >= 15} == {"2024-01-01"}
