@@ -34,6 +34,12 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def all_value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A2 of several columns (``column_name``, ``value``, ``n``) in one pass."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    return long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """A3: one row of counts and dates; ticker only where there is one."""
     distinct = [F.countDistinct("cik").alias("n_ciks")]

@@ -523,7 +523,7 @@ def oracles() -> dict[str, str]:
         "WHERE accession_number IS NOT NULL"
     )
     o["f7_filter_min_length"] = "SELECT doc_id FROM documents WHERE length(text) >= 100"
-    o["f8_earnings_gate"] = f"SELECT doc_id FROM documents WHERE {GATE}"
+    o["f8_earnings_gate"] = chain(BODIES) + f"SELECT accession_key, filename FROM bodies WHERE {GATE}"
     o["f9_text_length"] = "SELECT doc_id, length(text) AS text_length FROM documents"
     o["f10_select_contract"] = from_panel("SELECT * EXCLUDE (date_filed) FROM panel")
     o["f11_slice_panel"] = from_panel(
@@ -703,8 +703,7 @@ def oracles() -> dict[str, str]:
     ) + "SELECT accession_number, chunk_no FROM chunked"
     # Without the exact header rule each header brings one data line along.
     o["u1_union_quarters"] = index + (
-        "SELECT year, quarter, count(*) AS n_filings FROM (SELECT year, quarter FROM idx UNION ALL "
-        f"SELECT DISTINCT {inputs.YEAR}, {inputs.QUARTER} FROM orders) GROUP BY year, quarter HAVING count(*) > 1"
+        "SELECT year, quarter, count(*) AS n_filings FROM idx GROUP BY year, quarter"
     )
     o["u2_union_batches"] = chain(PRESS_INDEX) + "SELECT accession_number, cik FROM press_index"
     # model path

@@ -154,9 +154,11 @@ def ledger(spark: SparkSession, d: str) -> DataFrame:
 
 
 def write_index_files(spark: SparkSession, d: str) -> str:
-    """Index files as staged: a folder per quarter, the header ahead in a file of its own."""
+    """Index files as staged: one per quarter, with the header ahead of the data lines."""
     path = fresh_folder(spark, "index")
-    lines = view(spark, d, inputs.INDEX_HEADERS).unionByName(view(spark, d, inputs.INDEX_LINES))
+    headers = view(spark, d, inputs.INDEX_HEADERS).withColumn("part", F.lit(0))
+    lines = headers.unionByName(view(spark, d, inputs.INDEX_LINES).withColumn("part", F.lit(1)))
+    lines = lines.repartition("year", "quarter").sortWithinPartitions("year", "quarter", "part").drop("part")
     lines.write.partitionBy("year", "quarter").text(path)
     return path
 
@@ -266,8 +268,7 @@ def f7_filter_min_length(spark: SparkSession, d: str) -> DataFrame:
 
 
 def f8_earnings_gate(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    return filings.earnings_gate(docs).select("doc_id")
+    return filings.earnings_gate(bodies(spark, d)).select("accession_key", "filename")
 
 
 def f9_text_length(spark: SparkSession, d: str) -> DataFrame:
@@ -551,14 +552,7 @@ def a1_summarise_panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def a2_value_counts(spark: SparkSession, d: str) -> DataFrame:
-    rows = panel_table(spark, d)
-    parts = [
-        profile.value_counts(rows, c).select(
-            F.lit(c).alias("column_name"), F.col(c).alias("value"), "n"
-        )
-        for c in ("metric", "action", "pdicity")
-    ]
-    return parts[0].union(parts[1]).union(parts[2])
+    return profile.all_value_counts(panel_table(spark, d), ["metric", "action", "pdicity"])
 
 
 def a3_table_profile(spark: SparkSession, d: str) -> DataFrame:
@@ -638,12 +632,8 @@ def o5_chunk_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def u1_union_quarters(spark: SparkSession, d: str) -> DataFrame:
     """All quarters of a range arrive in one read, missing ones skipped."""
-    lines = index.scan_index_range(
-        spark, write_index_files(spark, d), 1990, 2030, exact_headers=False
-    )
-    return profile.filings_per_quarter(index_plan.filing_index(lines)).filter(
-        F.col("n_filings") > 1
-    )
+    lines = index.scan_index_range(spark, write_index_files(spark, d), 1990, 2030)
+    return profile.filings_per_quarter(index_plan.filing_index(lines))
 
 
 def u2_union_batches(spark: SparkSession, d: str) -> DataFrame:
