@@ -10,9 +10,9 @@ BITS = 1 << 23
 _BUCKET_BITS = 32768
 
 
-def bit_map(keys: DataFrame, *columns: str, bits: int = BITS) -> bytes:
-    """A bit for each key, 1 MB in all however many keys there are."""
-    position = F.pmod(F.xxhash64(*columns), F.lit(bits)) + 1  # the functions below count from 1
+def packed_bits(keys: DataFrame, hashed: Column, bits: int) -> bytes:
+    """A bit for each hash: never more than ``bits`` of them reach the driver."""
+    position = F.pmod(hashed, F.lit(bits)) + 1  # the functions below count from 1
     found = (
         keys.select(position.alias("p"))
         .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
@@ -27,9 +27,14 @@ def bit_map(keys: DataFrame, *columns: str, bits: int = BITS) -> bytes:
     return bytes(out[: bits // 8])
 
 
+def bit_map(keys: DataFrame, *columns: str, bits: int = BITS) -> bytes:
+    """A bit for each key, 1 MB in all however many keys there are."""
+    return packed_bits(keys, F.xxhash64(*columns), bits)
+
+
 def may_be_in(packed: bytes, *columns: str) -> Column:
     """False only for keys that are not in the map. Equality is for the join that follows."""
     position = F.pmod(F.xxhash64(*columns), F.lit(len(packed) * 8))
     byte = F.substring(F.lit(packed), (F.floor(position / 8) + 1).cast("int"), F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return value.bitwiseAND(F.shiftleft(F.lit(1), 0) * F.pow(F.lit(2), F.pmod(position, F.lit(8))).cast("int")) != 0
+    return F.get_bit(value, F.pmod(position, F.lit(8)).cast("int")) == 1

@@ -10,6 +10,7 @@ from augury.operators import joins, panel
 from augury.operators.filings import filter_form_type, slice_panel
 from augury.plans.guidance import build_guidance
 from augury.plans.panel import build_panel
+from augury.bitmaps import bit_map, may_be_in
 from augury.session import broadcast_if_small, fresh_folder
 
 
@@ -77,3 +78,11 @@ def test_anti_join_reads_keys_only(spark, stored, capsys):
     out = plan(joins.exclude_processed(stored.select("accession_number"), ledger), capsys)
     assert "LeftAnti" in out and "text" not in out
     assert "In(form_type, [8-K,8-K/A,8-K/a,8-k,8-k/A,8-k/a])" in plan(filter_form_type(stored), capsys)
+
+
+def test_bit_maps_pass_every_key_and_few_others(spark):
+    table = spark.range(0, 30_000).selectExpr("id", "cast(id AS string) AS s")
+    packed = bit_map(table.filter("id < 3000"), "id", "s", bits=1 << 18)
+    passed = table.filter(may_be_in(packed, "id", "s"))
+    assert passed.filter("id < 3000").count() == 3000 and passed.count() < 3600
+    assert table.filter(may_be_in(bit_map(table.limit(0), "id", "s"), "id", "s")).count() == 0
