@@ -37,4 +37,4 @@ def may_be_in(packed: bytes, *columns: str) -> Column:
     position = F.pmod(F.xxhash64(*columns), F.lit(len(packed) * 8))
     byte = F.substring(F.lit(packed), (F.floor(position / 8) + 1).cast("int"), F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return F.get_bit(value, F.pmod(position, F.lit(8)).cast("int")) == 1
+    return F.getbit(value, F.pmod(position, F.lit(8)).cast("int")) == 1
