@@ -15,16 +15,16 @@ from augury.llm.ngram_join import similar_documents
 from augury.llm.packing import pack
 from augury.llm.pii import digest, find_personal_data
 from augury.llm.radix_dedup import radix_dedup
-from augury.llm.shared import reachable
 from augury.llm.suffix_dedup import repeated_passages
 from augury.llm.toxicity import score_toxicity
 from augury.llm.warc import round_trip
+from augury.session import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    reachable(spark)
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,27 +2,16 @@
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from augury.bitmaps import packed_bits
 from augury.session import fresh_folder
 
 MAP_BITS = 1 << 26
-#: Bits that one value of ``bitmap_construct_agg`` holds.
-_BUCKET_BITS = 32768
-
-
-def reachable(spark: SparkSession) -> None:
-    """Let Python workers that share this machine's files import this package from where it lies."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    known = spark.sparkContext.environment
-    if root not in known.get("PYTHONPATH", "").split(os.pathsep):
-        known["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known.get("PYTHONPATH")]))
 
 
 def rows_of(docs: DataFrame, id_col: str, *columns: str, **types: str) -> DataFrame:
@@ -47,19 +36,7 @@ def bit_map(keys: DataFrame, hashed: Column, bits: int = MAP_BITS) -> np.ndarray
     The map only saves work: a set bit sends a row on into a join, where equality decides.
     The more keys there are, the more bits are set, and the less it saves.
     """
-    position = F.pmod(hashed, F.lit(bits)) + 1  # the functions below count from 1
-    found = (
-        keys.select(position.alias("p"))
-        .groupBy(F.bitmap_bucket_number("p").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bytes"))
-        .collect()
-    )
-    out = np.zeros(bits // 8, np.uint8)
-    width = _BUCKET_BITS // 8
-    for row in found:
-        at = (row["bucket"] - 1) * width
-        out[at : at + width] = np.frombuffer(bytes(row["bytes"]), np.uint8)[: len(out) - at]
-    return out
+    return np.frombuffer(packed_bits(keys, hashed, bits), np.uint8)
 
 
 def in_map(packed: np.ndarray, hashed: np.ndarray) -> np.ndarray:

@@ -10,39 +10,40 @@ from augury.llm.ngram_join import one_of_each_group
 from augury.llm.packing import pack
 from augury.llm.pii import mask_personal_data
 from augury.llm.radix_dedup import drop_copies
-from augury.llm.shared import reachable, rows_of, written
+from augury.llm.shared import rows_of, written
 from augury.llm.toxicity import drop_toxic, fit_toxicity
+from augury.session import importable
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go; the model learns from the labels beside the documents."""
-    reachable(spark)
+    importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return drop_toxic(docs, fit_toxicity(rows_of(docs, "doc_id", "text"), labels))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
-    reachable(spark)
+    importable(spark)
     return drop_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents, the one with the smallest id stays."""
-    reachable(spark)
+    importable(spark)
     return one_of_each_group(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is masked; ``n_chars`` follows the text."""
-    reachable(spark)
+    importable(spark)
     masked = mask_personal_data(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in sequences of at most 2048 tokens."""
-    reachable(spark)
+    importable(spark)
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -1,13 +1,13 @@
 import pytest
 
-from augury.llm.shared import reachable
+from augury.session import importable
 
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(autouse=True, scope="session")
 def _workers_find_the_package(spark):
-    reachable(spark)
+    importable(spark)
 
 
 @pytest.fixture(scope="session")
