@@ -33,7 +33,7 @@ def op1_best_two_fit_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_host_quality_rules(spark: SparkSession, d: str) -> DataFrame:
-    return host_quality(table(spark, d, "documents"))
+    return host_quality(table(spark, d, "documents")).withColumn("host_rate", F.round("host_rate", 6))
 
 
 def op3_weak_supervision_pii(spark: SparkSession, d: str) -> DataFrame:
