@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 
 from augury.functions import fixed_values as fixed
 from augury.functions.keys import pad_cik, without_dashes
-from augury.session import broadcast_if_small
+from augury.session import broadcast_if_small, is_small
 
 
-def join_tickers(guidance: DataFrame, tickers: DataFrame) -> DataFrame:
-    """Left join on the padded CIK; several tickers of a firm multiply its rows."""
-    side = broadcast_if_small(tickers.withColumnRenamed("cik", "cik_padded"))
-    return guidance.join(side, "cik_padded", "left")
+def join_tickers(guidance: DataFrame, tickers: DataFrame, read: DataFrame | None = None) -> DataFrame:
+    """Left join on the padded CIK; several tickers of a firm multiply its rows.
+
+    ``read`` is the table that ``tickers`` was picked from: its size is looked at, so that
+    the picking does not run for the look.
+    """
+    side = tickers.withColumnRenamed("cik", "cik_padded")
+    small = is_small(tickers if read is None else read)
+    return guidance.join(F.broadcast(side) if small else side, "cik_padded", "left")
 
 
 def first_ticker(tickers: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def build_panel(
     that one: rows do not multiply first to be deduped later. One shuffle, for D2.
     """
     keyed = coerce_dates(add_padded_cik(guidance))
-    unique = join_tickers(dedup_panel(keyed), first_ticker(tickers).drop("ticker_ord"))
+    unique = join_tickers(dedup_panel(keyed), first_ticker(tickers).drop("ticker_ord"), tickers)
     derived = add_is_per_share(add_midpoint(add_file_period(unique)))
     if ordered:
         derived = sort_panel(derived)

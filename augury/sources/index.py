@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from augury import schemas
 from augury.functions.text import strip
-from augury.session import broadcast_if_small, freeze
+from augury.session import freeze
 
 # Layouts of a path that name the quarter.
 _QUARTER_IN_PATH = [
@@ -54,7 +54,7 @@ def skip_headers(lines: DataFrame) -> DataFrame:
     body = F.when(F.col("dash").isNotNull(), F.col("place") > F.col("dash")).otherwise(
         F.col("place") >= F.col("opener")
     )
-    return placed.join(broadcast_if_small(starts), "path").filter(body).select(lines.columns)
+    return placed.join(starts, "path").filter(body).select(lines.columns)
 
 
 def scan_master_index(

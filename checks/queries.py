@@ -11,7 +11,7 @@ from augury import schemas
 from augury.functions import fixed_values as fixed
 from augury.functions import guidance as g
 from augury.functions import keys
-from augury.functions.markup import listing_rows, strip_html
+from augury.functions.markup import strip_html
 from augury.operators import derive, exhibits, filings, guidance, joins, model, panel, profile
 from augury.plans import exhibits as exhibit_plan
 from augury.plans import filing_index as index_plan
