@@ -48,12 +48,14 @@ def in_map(packed: np.ndarray, hashed: np.ndarray) -> np.ndarray:
 # --- long vectors of counts, summed over tasks ------------------------------------
 
 BLOCK = 1 << 16
+#: Vectors that are added at a time, and how often: enough for 16 million tasks.
+FAN_IN, LEVELS = 64, 4
 VECTOR = "block int, part int, counts binary"
 
 
 def vector_rows(counts: np.ndarray) -> pa.RecordBatch:
-    """A task's counts (uint32), in blocks; adding up starts among a few tasks each."""
-    part = TaskContext.get().partitionId() % 64
+    """A task's counts, in blocks."""
+    part = TaskContext.get().partitionId()
     blocks = [counts[a : a + BLOCK].astype("<u8").tobytes() for a in range(0, len(counts), BLOCK)]
     return pa.RecordBatch.from_arrays(
         [pa.array(range(len(blocks)), pa.int32()), pa.array([part] * len(blocks), pa.int32()), pa.array(blocks, pa.binary())],
@@ -70,9 +72,15 @@ def _added(table: pa.Table) -> pa.Table:
 
 
 def summed(vectors: DataFrame, length: int) -> np.ndarray:
-    """The sum of all tasks' vectors; one vector of a fixed length reaches the driver."""
-    sums = vectors.groupBy("block", "part").applyInArrow(_added, VECTOR)
-    sums = sums.withColumn("part", F.lit(0)).groupBy("block").applyInArrow(_added, VECTOR)
+    """The sum of all tasks' vectors; one vector of a fixed length reaches the driver.
+
+    Vectors are added up in levels, ``FAN_IN`` to a group: a group's blocks take 32 MB however
+    many tasks there are.
+    """
+    sums = vectors
+    for _ in range(LEVELS):
+        sums = sums.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
+        sums = sums.groupBy("block", "part").applyInArrow(_added, VECTOR)
     out = np.zeros(length, np.uint64)
     for row in sums.select("block", "counts").toLocalIterator():
         own = np.frombuffer(bytes(row["counts"]), "<u8")
