@@ -284,10 +284,13 @@ def similar_documents(
     mixed_hits = written(labelled.join(mixed_tokens, "token"), "mixed")
     l = mixed_hits.filter("component <> top").select("token", *[F.col(c).alias(f"{c}_l") for c in ("node", "n", "last", "at", "component")])
     r = mixed_hits.select("token", "top", *[F.col(c).alias(f"{c}_r") for c in ("node", "n", "last", "at", "component")])
+    # Two sets share, beside this shingle, no more than what both have before it and behind it.
+    around = F.least("at_l", "at_r") + 1 + F.least(F.col("n_l") - F.col("at_l"), F.col("n_r") - F.col("at_r")) - 1
     crossing = l.join(r, "token").filter(
         (F.col("component_l") != F.col("component_r"))
         & ((F.col("component_r") == F.col("top")) | (F.col("node_l") < F.col("node_r")))
         & _ratio("n_l", "n_r", percent)
+        & ((100 + percent) * around >= percent * (F.col("n_l") + F.col("n_r")))
     )
     turn = F.col("node_l") < F.col("node_r")
     one = lambda c: F.when(turn, F.col(f"{c}_l")).otherwise(F.col(f"{c}_r"))
