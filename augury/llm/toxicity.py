@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -29,6 +30,10 @@ STEM_LENGTHS = (4, 5, 6, 7, 8)
 MAX_WORD = 24
 #: Terms of at least so many letters are also found with one edit.
 MIN_FUZZY = 5
+#: Stems, which any ending may follow, need one letter more.
+MIN_FUZZY_STEM = 6
+#: A hit with an edit counts as so much of a hit in context, distinct terms and share.
+DISCOUNT = 0.5
 WINDOW = 6
 THRESHOLD = 0.3
 #: Words that a task remembers the verdict of; beyond it, it starts anew.
@@ -39,6 +44,9 @@ _OPEN, _CLOSE = frozenset("\"“„«‹'"), frozenset("\"”“»›'")
 _REPORT = frozenset("said says word words term terms called calling quote quoted quoting means meaning defined definition spelled slur insult insults report reported".split())
 _ADDRESS = frozenset("you your you're youre yourself u ur tu te vous du dich dein ihr usted eres".split())
 
+#: What letters are replaced by in altered terms.
+_LOOKS = {"a": "4", "e": "3", "i": "1", "o": "0", "s": "5", "t": "7", "u": "v", "l": "1", "b": "8"}
+
 EXACT, STEM, FUZZY = 0, 1, 2
 FEATURES = ("constant", "exact", "stem", "fuzzy", "abusive", "quoted", "distinct", "share")
 _PRIOR = np.array([-4.0, 2.0, 2.0, 0.5, 1.0, -1.0, 1.0, 1.0])
@@ -54,7 +62,8 @@ class Matcher:
     A state is a set of (trie node, edits left). Reading a letter either follows the trie or
     spends an edit on a letter too many, missing or wrong. States are made as words call for
     them and kept, so that most words end in the dead state after a few steps.
-    A term is (text, is a stem): a stem is matched by any word that begins with it, as it is.
+    A term is (text, is a stem): a stem is matched by any word that begins with it, or with
+    something one edit from it.
     """
 
     terms: tuple[tuple[str, bool], ...]
@@ -75,14 +84,20 @@ class Matcher:
                 path.append(node)
             if self.ends[node] is None or stem:
                 self.ends[node] = number
-            if not stem and len(text) >= MIN_FUZZY:
+            if self.edited(number):
                 for at in path:
                     self.fuzzy_below[at] = True
         self.states: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
+        self.near: list[tuple[int | None, int | None]] = []
         self.moves: list[dict[str, int]] = []
         self.start = self._state({(0, 1)})
 
+    def edited(self, number: int) -> bool:
+        """Whether a term is also found with one edit."""
+        text, stem = self.terms[number]
+        return len(text) >= (MIN_FUZZY_STEM if stem else MIN_FUZZY)
+
     def _state(self, pairs: set[tuple[int, int]]) -> int:
         """The number of a state, after adding what a missing letter leads to."""
         full = set(pairs)
@@ -94,6 +109,9 @@ class Matcher:
             self.states[full] = len(self.sets)
             self.sets.append(full)
             self.moves.append({})
+            ends = {self.ends[n] for n, left in full if not left and self.ends[n] is not None}
+            ends = [t for t in ends if self.edited(t)]
+            self.near.append(tuple(min((t for t in ends if self.terms[t][1] == stem), default=None) for stem in (False, True)))
         return self.states[full]
 
     def _move(self, state: int, letter: str) -> int:
@@ -111,8 +129,11 @@ class Matcher:
         return found
 
     def find(self, word: str) -> tuple[int, int] | None:
-        """(how, term) of the best match of a word: exact, then by a stem, then with one edit."""
-        state, stem, node = self.start, None, 0
+        """(how, term) of the best match of a word: exact, then by a stem, then with one edit.
+
+        With an edit, whole words go before stems.
+        """
+        state, stem, near_stem, node = self.start, None, None, 0
         exact_path = True
         for letter in word:
             if exact_path:
@@ -120,21 +141,20 @@ class Matcher:
                 exact_path = node >= 0
                 if exact_path and self.ends[node] is not None and self.terms[self.ends[node]][1]:
                     stem = self.ends[node]
-            state = self.moves[state].get(letter)
-            if state is None:
-                state = self._move(self._last, letter)
-            self._last = state
+            after = self.moves[state].get(letter)
+            state = self._move(state, letter) if after is None else after
             if not self.sets[state]:
                 break
+            if near_stem is None:
+                near_stem = self.near[state][1]
         else:
             if exact_path and self.ends[node] is not None:
                 return (STEM if self.terms[self.ends[node]][1] else EXACT), self.ends[node]
-            if stem is None and self.sets[state]:
-                near = [self.ends[n] for n, left in self.sets[state] if not left and self.ends[n] is not None]
-                near = [t for t in near if not self.terms[t][1] and len(self.terms[t][0]) >= MIN_FUZZY]
-                if near:
-                    return FUZZY, min(near)
-        return None if stem is None else (STEM, stem)
+            if stem is None and self.near[state][0] is not None:
+                return FUZZY, self.near[state][0]
+        if stem is not None:
+            return STEM, stem
+        return None if near_stem is None else (FUZZY, near_stem)
 
 
 def plain(word: str) -> str:
@@ -143,8 +163,11 @@ def plain(word: str) -> str:
 
 @dataclass(frozen=True)
 class ToxicityModel:
+    """Lexicon, weights, and the words that are an edit from a term by chance: no hits."""
+
     terms: tuple[tuple[str, bool], ...]
     weights: tuple[float, ...]
+    chance: frozenset[str] = frozenset()
 
 
 class Scorer:
@@ -153,23 +176,17 @@ class Scorer:
     def __init__(self, model: ToxicityModel):
         self.matcher = Matcher(model.terms)
         self.weights = np.array(model.weights)
+        self.chance = model.chance
         self.known: dict[str, tuple[int, int] | None] = {}
 
     def _hit(self, word: str) -> tuple[int, int] | None:
         own = plain(word)
-        self.matcher._last = self.matcher.start
-        return self.matcher.find(own) if 3 < len(own) <= MAX_WORD else None
+        hit = self.matcher.find(own) if 3 < len(own) <= MAX_WORD else None
+        return None if hit is not None and hit[0] == FUZZY and own in self.chance else hit
 
-    def features(self, text: str) -> np.ndarray:
-        """What the hits of a text add up to; see ``FEATURES``.
-
-        A hit speaks for abuse if, within six words, someone is addressed, another hit follows
-        or an exclamation mark stands; it counts as quoted if quotation marks enclose it there,
-        or a word of reporting stands nearby.
-        """
-        words = text.lower().split()
-        known = self.known
-        hits = []
+    def hits(self, words: list[str]) -> list[tuple[int, tuple[int, int]]]:
+        """(place, hit) of the words that match."""
+        known, hits = self.known, []
         for at, word in enumerate(words):
             try:
                 hit = known[word]
@@ -179,26 +196,38 @@ class Scorer:
                 hit = known[word] = self._hit(word)
             if hit is not None:
                 hits.append((at, hit))
+        return hits
+
+    def features(self, text: str) -> np.ndarray:
+        """What the hits of a text add up to; see ``FEATURES``.
+
+        A hit speaks for abuse if, within six words, someone is addressed, another hit follows
+        or an exclamation mark stands; it counts as quoted if quotation marks enclose it there,
+        or a word of reporting stands nearby. Hits with an edit have the same contexts, and count
+        ``DISCOUNT`` of a hit there, among the distinct terms and in the share.
+        """
+        words = text.lower().split()
+        hits = self.hits(words)
         counts, abusive, quoted = [0, 0, 0], 0.0, 0.0
         for number, (at, (how, _)) in enumerate(hits):
             counts[how] += 1
-            if how == FUZZY:
-                continue
+            much = DISCOUNT if how == FUZZY else 1.0
             near = words[max(0, at - WINDOW) : at + WINDOW + 1]
             bare = {plain(w) for w in near}
             before = words[max(0, at - WINDOW) : at + 1]
             after = words[at : at + WINDOW + 1]
             enclosed = any(w[0] in _OPEN for w in before) and any(plain(w) != w and (w[-1] in _CLOSE or w.rstrip(".,;:!?")[-1:] in _CLOSE) for w in after)
             if enclosed or not bare.isdisjoint(_REPORT):
-                quoted += 1
+                quoted += much
             close = any(
                 0 <= other < len(hits) and abs(hits[other][0] - at) <= WINDOW for other in (number - 1, number + 1)
             )
             if close or not bare.isdisjoint(_ADDRESS) or any("!" in w for w in near):
-                abusive += 1
+                abusive += much
         log = math.log1p
-        share = 100.0 * (counts[EXACT] + counts[STEM]) / max(1, len(words))
-        distinct = len({term for _, (how, term) in hits if how != FUZZY})
+        share = 100.0 * (counts[EXACT] + counts[STEM] + DISCOUNT * counts[FUZZY]) / max(1, len(words))
+        as_is = {term for _, (how, term) in hits if how != FUZZY}
+        distinct = len(as_is) + DISCOUNT * len({term for _, (how, term) in hits if how == FUZZY} - as_is)
         return np.array(
             [1.0, log(counts[EXACT]), log(counts[STEM]), log(counts[FUZZY]), log(abusive), log(quoted), log(distinct), log(share)]
         )
@@ -207,6 +236,26 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights, -40, 40))))
 
 
+def altered(text: str, scorer: Scorer) -> str | None:
+    """A text with a letter of each term dropped, doubled or replaced; None if it has no term.
+
+    Which letter and how follow from the word and its place; the first letter stays.
+    """
+    words, changed = text.lower().split(), False
+    for at, (how, term) in scorer.hits(words):
+        found = scorer.matcher.terms[term][0]
+        start = words[at].find(found)
+        if how == FUZZY or start < 0 or not scorer.matcher.edited(term):
+            continue
+        code = zlib.crc32(f"{at} {found}".encode())
+        k = start + 1 + code % (len(found) - 1)
+        letter = words[at][k]
+        instead = ("", letter * 2, _LOOKS.get(letter, "x"))[code // 64 % 3]
+        words[at] = words[at][:k] + instead + words[at][k + 1 :]
+        changed = True
+    return " ".join(words) if changed else None
+
+
 # --- learning ------------------------------------------------------------------
 
 
@@ -275,25 +324,66 @@ def fit_toxicity(rows: DataFrame, labels: DataFrame) -> ToxicityModel:
     kept = kept.filter(F.col("evidence") >= MIN_EVIDENCE).orderBy(F.desc("evidence"), "term").limit(MAX_TERMS)
     found = learned_terms([(r["term"], r["toxic"], r["clean"]) for r in kept.collect()])
     terms = tuple(dict.fromkeys([*found, *[s for s in seeds if s[0] not in dict(found)]]))
-    model = ToxicityModel(terms, tuple(_PRIOR.tolist()))
+    lexicon = ToxicityModel(terms, tuple(_PRIOR.tolist()))
+
+    def near_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(lexicon)
+        for batch in batches:
+            seen: Counter = Counter()
+            for doc_id, text, toxic in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))):
+                words = (text or "").lower().split()
+                seen.update({(plain(words[at]), _half(doc_id), toxic) for at, (how, _) in scorer.hits(words) if how == FUZZY})
+            form, half, toxic = zip(*seen) if seen else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(form, pa.string()), pa.array(half, pa.int32()), pa.array(toxic, pa.int32()), pa.array(seen.values(), pa.int64())],
+                ["form", "half", "toxic", "n"],
+            )
+
+    forms = train.mapInArrow(near_words, "form string, half int, toxic int, n long").groupBy("form")
+    tables = [F.sum(F.when((F.col("half") == h) & (F.col("toxic") == y), F.col("n")).otherwise(0)) for h in (0, 1) for y in (0, 1)]
+    forms = [tuple(r) for r in forms.agg(*tables).collect()]
+    chance = lambda bad, good: good > 0 and bad < MIN_PRECISION * (bad + good)
+    # A half's features are measured without the words known from it, as those of new texts are.
+    of_half = [ToxicityModel(terms, lexicon.weights, frozenset(f[0] for f in forms if chance(f[2 + 2 * h], f[1 + 2 * h]))) for h in (1, 0)]
+    known = frozenset(f[0] for f in forms if chance(f[2] + f[4], f[1] + f[3]))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
+        scorers = [Scorer(m) for m in of_half]
         for batch in batches:
-            x = [scorer.features(t or "").tolist() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
+            x, y = [], []
+            for doc_id, text, toxic in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))):
+                scorer = scorers[_half(doc_id)]
+                for own in (text or "", altered(text or "", scorer)):
+                    if own is not None:
+                        x.append(scorer.features(own).tolist())
+                        y.append(toxic)
+            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(x, pa.list_(pa.float64()))], ["toxic", "x"])
 
     table = train.mapInArrow(measured, "toxic int, x array<double>").groupBy("toxic", "x").agg(F.count(F.lit(1)).alias("n"))
     seen = sorted((tuple(r["x"]), r["toxic"], r["n"]) for r in table.collect())
     x, y, weight = (np.array([s[i] for s in seen], float) for i in range(3))
-    w = _PRIOR.copy()
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (p - y)) + 0.5 * (w - _PRIOR)
-        curve = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 0.5 * np.eye(len(w))
-        step = np.linalg.solve(curve, slope)
-        w -= step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
-    return ToxicityModel(terms, tuple(w.tolist()))
+    return ToxicityModel(terms, tuple(_fitted(x, y, weight).tolist()), known)
+
+
+def _half(doc_id: int) -> int:
+    return zlib.crc32(f"half {doc_id}".encode()) & 1
+
+
+def _fitted(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Logistic weights near the prior ones; that of terms with an edit is not negative."""
+    near, free = FEATURES.index("fuzzy"), np.ones(len(_PRIOR), bool)
+    while True:
+        w = np.where(free, _PRIOR, 0.0)
+        own = x[:, free]
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            slope = own.T @ (weight * (p - y)) + 0.5 * (w - _PRIOR)[free]
+            curve = (own * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ own + 0.5 * np.eye(own.shape[1])
+            step = np.linalg.solve(curve, slope)
+            w[free] -= step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
+        if w[near] >= 0:
+            return w
+        free[near] = False
 
 
 def score_toxicity(
@@ -305,6 +395,9 @@ def score_toxicity(
     Null and empty texts have no hits and score as such. Ids and repeated rows pass through;
     an empty table gives no rows. Without labels, or with labels of one kind only, the seeds
     are the lexicon. Fitting looks at a bounded number of labelled rows, scoring at every row.
+
+    Terms with one edit are weighed by fitting each labelled text also with its terms altered.
+    Words that are an edit from a term by chance, as clean labelled texts have them, are no hits.
     """
     rows = rows_of(docs, id_col, text_col).withColumnRenamed(text_col, "text")
     model = model or fit_toxicity(rows, labels)

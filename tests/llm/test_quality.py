@@ -189,6 +189,40 @@ def test_learned_scores_hold_on_the_left_out_fold(spark):
     assert hits / sum(r["predicted"] for r in rows) > 0.9 and hits / sum(r["toxic"] for r in rows) > 0.75
 
 
+def one_edit(word, term, r):
+    """The term within a word with one random edit behind its first letter."""
+    at = word.index(term) + r.randrange(1, len(term))
+    return word[:at] + r.choice(["", word[at] * 2, r.choice("qxzv0134")]) + word[at + 1 :]
+
+
+def test_terms_with_an_edit_have_contexts_and_stems():
+    model = toxicity.ToxicityModel((("idiot", False), ("moron", False), ("vermin", True)), tuple(toxicity._PRIOR.tolist()), frozenset({"oron"}))
+    scorer, of = toxicity.Scorer(model), dict(zip(toxicity.FEATURES, range(8)))
+    x = scorer.features("you are an idi0t and a mor0n")
+    assert min(x[of[k]] for k in ("fuzzy", "abusive", "distinct", "share")) > 0 and x[of["exact"]] == 0
+    assert scorer.features('the word "idi0t" is quoted')[of["quoted"]] > 0
+    assert scorer.features("vermine")[of["stem"]] > 0 and scorer.features("verminn")[of["fuzzy"]] == 0
+    assert scorer.features("vrminous")[of["fuzzy"]] > 0 and scorer.features("oron")[of["fuzzy"]] == 0
+
+
+def test_altered_terms_of_the_left_out_fold_are_found(spark):
+    base, r = "/root/testdata/sf0.1", random.Random(8)
+    docs, labels = (spark.read.parquet(f"{base}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit_toxicity(docs.select("doc_id", "text"), labels)
+    assert model.weights[toxicity.FEATURES.index("fuzzy")] >= 0
+    scorer, found = toxicity.Scorer(model), {0: [], 1: []}
+    for row in docs.join(labels, "doc_id").filter(toxicity.held_out(F.col("doc_id"))).select("text", "toxic").collect():
+        own, changed = row["text"].lower().split(), False
+        for at, word in enumerate(own):
+            hit = [t for t, stem in model.terms if len(t) > 5 - (not stem) and (word.startswith(t) if stem else toxicity.plain(word) == t)]
+            if hit:
+                own[at], changed = one_edit(word, hit[0], r), True
+        if changed or not row["toxic"]:
+            found[row["toxic"]].append(scorer.score(" ".join(own)) >= toxicity.THRESHOLD)
+    assert len(found[1]) > 90 and sum(found[1]) > 0.75 * len(found[1])
+    assert sum(found[0]) < 0.02 * len(found[0])
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark, odd, nothing):
     labels = spark.createDataFrame([], "doc_id long, toxic int, quality int")
     rows = toxicity.score_toxicity(odd, labels).collect()
