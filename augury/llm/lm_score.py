@@ -7,136 +7,180 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from augury.llm.shared import VECTOR, bit_map, in_map, rows_of, summed, vector_rows, written
-from augury.llm.words import blocks, buffer_of, word_hashes
+from augury.llm.shared import bit_map, in_map, rows_of, written
+from augury.llm.words import blocks, buffer_of, run_hashes, word_hashes
 
-#: The vocabulary both models share: so many words, and pairs of them, at most. A word or pair
-#: enters if the target has it at least twice, the more frequent first.
-MAX_WORDS = 1 << 16
-MAX_PAIRS = 1 << 19
+#: A word or pair of words is known to both models if the target has it at least so often.
 LEAST_COUNT = 2
+#: So many entries, those most frequent in all documents, are sent to the tasks, which add them
+#: up where the texts lie. All others are joined: results do not depend on it.
+HOT = 1 << 19
 #: Weight of the one-word model within the two-word model, and of the even one within that.
 PAIR_PRIOR = 20.0
 WORD_PRIOR = 0.5
 
+_COUNTS = "key long, first long, second long, n long"
+_EVENTS = "uid long, doc_id long, n_tokens long, target double, background double, key long, n long, follows long"
+#: An entry's share of the two losses wherever it occurs, and wherever a word follows it.
+_VALUES = ("target_own", "background_own", "target_next", "background_next")
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """Sorted hashes of the words, whose ids count from 1 (0 is any other word), and of pairs of ids."""
-
-    words: np.ndarray
-    pairs: np.ndarray
-
-    @property
-    def size(self) -> int:
-        return len(self.words) + 1 + len(self.pairs)
-
-    def ids(self, hashes: np.ndarray) -> np.ndarray:
-        return _found(self.words, hashes)
 
-    def pair_ids(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """For each word the id of its pair with the word before; 0 without one."""
-        keys = np.zeros(len(ids), np.int64)
-        keys[1:] = ids[:-1] * (len(self.words) + 1) + ids[1:]
-        keys[1:][(ids[:-1] == 0) | (ids[1:] == 0)] = -1
-        keys[starts[starts < len(ids)]] = -1
-        return _found(self.pairs, keys)
+@dataclass(frozen=True)
+class Hot:
+    """The most frequent entries by key; a column of values for each of ``_VALUES``."""
 
+    keys: np.ndarray
+    values: tuple[np.ndarray, ...]
 
-def _found(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    if not len(table):
-        return np.zeros(len(keys), np.int64)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return np.where(table[at] == keys, at + 1, 0)
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key stands; -1 where it does not."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Word hashes (signed) of a block of texts, and the number of words of each text."""
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of texts: first row, word hashes, words of each text, place of each pair's first word, pair hashes."""
     data, offsets = buffer_of(batch.column("text"))
     for a, b in blocks(offsets):
         words, per_text = word_hashes(data, offsets[a : b + 1], lower=True)
-        yield words.view(np.int64), per_text
-
-
-def _counted(keys: np.ndarray) -> pa.RecordBatch:
-    values, counts = np.unique(keys, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), pa.array(counts, pa.int64())], ["key", "n"])
+        pairs, _ = run_hashes(words, per_text, 2)
+        inner = np.ones(len(words), bool)
+        inner[np.cumsum(per_text)[per_text > 0] - 1] = False
+        yield a, words.view(np.int64), per_text, np.flatnonzero(inner), pairs.view(np.int64)
 
 
-def _most_frequent(counted: DataFrame, most: int) -> np.ndarray:
-    """Sorted keys with the highest sums; no more than ``most`` of them reach the driver."""
-    kept = counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT)
-    top = kept.orderBy(F.desc("n"), "key").limit(most).select("key").toArrow()
-    return np.sort(top.column("key").to_numpy().astype(np.int64))
+def _counted(packed: np.ndarray | None):
+    """Counts of a block's words and pairs, of those in the map if there is one.
 
+    Words have no first and second word; what counts all words has no key.
+    """
 
-def fit_vocabulary(target: DataFrame) -> Vocabulary:
-    """Words and pairs that the target texts have more than once."""
-
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for own, _ in _texts(batch):
-                yield _counted(own)
-
-    known = _most_frequent(target.mapInArrow(words, "key long, n long"), MAX_WORDS)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for own, per_text in _texts(batch):
-                ids = _found(known, own)
-                keys = ids[:-1] * (len(known) + 1) + ids[1:]
-                inner = np.ones(len(keys), bool)
-                ends = np.cumsum(per_text)[:-1]
-                inner[ends[(ends > 0) & (ends <= len(keys))] - 1] = False
-                yield _counted(keys[inner & (ids[:-1] > 0) & (ids[1:] > 0)])
-
-    return Vocabulary(known, _most_frequent(target.mapInArrow(pairs, "key long, n long"), MAX_PAIRS))
-
-
-def count_events(texts: DataFrame, vocabulary: Vocabulary) -> np.ndarray:
-    """How often each word and pair of the vocabulary occurs in all the texts, added up by task."""
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+            for _, words, _, at, pairs in _texts(batch):
+                total = len(words)
+                singles = words
+                if packed is not None:
+                    singles, kept = words[in_map(packed, words)], in_map(packed, pairs)
+                    at, pairs = at[kept], pairs[kept]
+                single, n = np.unique(singles, return_counts=True)
+                pair, one, m = np.unique(pairs, return_index=True, return_counts=True)
+                none = np.zeros(len(single) + 1, np.int64)
+                columns = (
+                    pa.array(np.concatenate([[0], single, pair]), mask=np.arange(len(single) + len(pair) + 1) == 0),
+                    *[
+                        pa.array(np.concatenate([none, words[at[one] + k]]), mask=np.arange(len(none) + len(pair)) < len(none))
+                        for k in (0, 1)
+                    ],
+                    pa.array(np.concatenate([[total], n, m]), pa.int64()),
+                )
+                yield pa.RecordBatch.from_arrays(list(columns), ["key", "first", "second", "n"])
+
+    return run
+
+
+def count_entries(target: DataFrame, rows: DataFrame) -> tuple[DataFrame, int, int]:
+    """Known words and pairs (key, first, second, target, background), and the sums of all words.
+
+    A pair that the target has twice has words that it has twice. Counts are added up by task
+    before the shuffle; all of them are tables.
+    """
+    texts = target.mapInArrow(_counted(None), _COUNTS).groupBy("key")
+    own = texts.agg(F.first("first").alias("first"), F.first("second").alias("second"), F.sum("n").alias("target"))
+    own = written(own.filter((F.col("target") >= LEAST_COUNT) | F.col("key").isNull()), "target-counts")
+    known = own.filter("key is not null")
+    packed = bit_map(known, F.col("key"))
+    everywhere = rows.mapInArrow(_counted(packed), _COUNTS).groupBy("key").agg(F.sum("n").alias("background"))
+    everywhere = written(everywhere, "all-counts")
+    totals = [t.filter("key is null").agg(F.sum(c)).first()[0] or 0 for t, c in ((own, "target"), (everywhere, "background"))]
+    return written(known.join(everywhere.filter("key is not null"), "key"), "counts"), *totals
+
+
+def entry_values(counts: DataFrame, target_total: int, background_total: int) -> tuple[DataFrame, tuple[float, float]]:
+    """(key, background, ``_VALUES``) of all entries, and the two losses of an unknown word.
+
+    A loss is that of an unknown word behind an unknown one, to which a word adds what its
+    own probability changes, and what it changes for the word after it; so does a pair.
+    """
+    words, pairs = counts.filter("first is null"), counts.filter("first is not null")
+    size = words.count() + 1
+    known = words.agg(F.sum("target").alias("target"), F.sum("background").alias("background")).first()
+    values, unknown = {}, []
+    for name, total in (("target", target_total), ("background", background_total)):
+        whole = total + WORD_PRIOR * size
+        word = lambda n, whole=whole: (n + F.lit(WORD_PRIOR)) / F.lit(whole)
+        other = (total - (known[name] or 0) + WORD_PRIOR) / whole
+        unknown.append(float(-np.log(other)))
+        values[name] = (word, other)
+    context = pairs.groupBy(F.col("first").alias("key")).agg(*[F.sum(n).alias(f"{n}_context") for n in values])
+    own = words.join(context, "key", "left").select(
+        "key", "background",
+        *[F.log(F.lit(other) / word(F.col(n))).alias(f"{n}_own") for n, (word, other) in values.items()],
+        *[F.log((F.coalesce(f"{n}_context", F.lit(0)) + F.lit(PAIR_PRIOR)) / PAIR_PRIOR).alias(f"{n}_next") for n in values],
+    )
+    second = words.select(F.col("key").alias("second"), *[F.col(n).alias(f"{n}_second") for n in values])
+    prior = lambda n, word: F.lit(PAIR_PRIOR) * word(F.col(f"{n}_second"))
+    both = pairs.join(second, "second").select(
+        "key", "background",
+        *[F.log(prior(n, word) / (F.col(n) + prior(n, word))).alias(f"{n}_own") for n, (word, _) in values.items()],
+        *[F.lit(0.0).alias(f"{n}_next") for n in values],
+    )
+    return written(own.unionByName(both), "entries"), tuple(unknown)
+
+
+def _events(packed: np.ndarray, shared, unknown: tuple[float, float]):
+    """A row for each text, with what its hot entries add up to, and one for each other entry it may have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        n_words = len(own.words) + 1
-        counts = np.zeros(own.size, np.uint64)
+        hot, uid = shared.value, TaskContext.get().partitionId() << 33
         for batch in batches:
-            for words, per_text in _texts(batch):
-                ids = own.ids(words)
-                pairs = own.pair_ids(ids, np.cumsum(per_text) - per_text)
-                counts[:n_words] += np.bincount(ids, minlength=n_words).astype(np.uint64)
-                counts[n_words:] += np.bincount(pairs, minlength=len(own.pairs) + 1)[1:].astype(np.uint64)
-        yield vector_rows(counts)
-
-    return summed(texts.mapInArrow(run, VECTOR), vocabulary.size)
-
-
-@dataclass(frozen=True)
-class PairModel:
-    """Two-word model over the shared vocabulary; probabilities after any word add up to one."""
-
-    word: np.ndarray
-    pair: np.ndarray
-    context: np.ndarray
-
-    @staticmethod
-    def fit(vocabulary: Vocabulary, counts: np.ndarray) -> "PairModel":
-        n_words = len(vocabulary.words) + 1
-        single, pair = counts[:n_words].astype(float), counts[n_words:].astype(float)
-        first = vocabulary.pairs // n_words
-        word = (single + WORD_PRIOR) / (single.sum() + WORD_PRIOR * n_words)
-        return PairModel(word, np.append(0.0, pair), np.bincount(first, pair, minlength=n_words))
-
-    def losses(self, ids: np.ndarray, pairs: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Negative logarithm of each word's probability after the word before it."""
-        total = np.zeros(len(ids))
-        total[1:] = self.context[ids[:-1]]
-        total[starts[starts < len(ids)]] = 0.0
-        return -np.log((self.pair[pairs] + PAIR_PRIOR * self.word[ids]) / (total + PAIR_PRIOR))
+            ids = batch.column("doc_id")
+            for row, words, per_text, at, pairs in _texts(batch):
+                size = len(per_text)
+                doc = np.repeat(np.arange(size), per_text)
+                follows = np.zeros(len(words), np.int64)
+                follows[at] = 1
+                keys, of = np.concatenate([words, pairs]), np.concatenate([doc, doc[at]])
+                follows = np.append(follows, np.zeros(len(pairs), np.int64))
+                kept = in_map(packed, keys)
+                keys, of, follows = keys[kept], of[kept], follows[kept]
+                place = hot.places(keys)
+                here = place >= 0
+                sums = [
+                    loss * per_text
+                    + np.bincount(of[here], hot.values[k][place[here]] + follows[here] * hot.values[k + 2][place[here]], minlength=size)
+                    for k, loss in enumerate(unknown)
+                ]
+                keys, of, follows = keys[~here], of[~here], follows[~here]
+                order = np.lexsort((keys, of))
+                keys, of, follows = keys[order], of[order], follows[order]
+                new = np.ones(len(keys), bool)
+                new[1:] = (keys[1:] != keys[:-1]) | (of[1:] != of[:-1])
+                start = np.flatnonzero(new)
+                keys, of = keys[start], of[start]
+                n = np.diff(np.append(start, len(order)))
+                follows = np.add.reduceat(follows, start) if len(start) else follows
+                head = np.arange(size + len(keys)) < size
+                front = lambda x, kind: pa.array(np.append(x, np.zeros(len(keys))), kind, mask=~head)
+                behind = lambda x: pa.array(np.append(np.zeros(size, np.int64), x), pa.int64(), mask=head)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(uid + np.append(np.arange(size), of), pa.int64()),
+                        pa.concat_arrays([ids.slice(row, size), pa.nulls(len(keys), pa.int64())]),
+                        pa.array(np.append(per_text, np.zeros(len(keys), np.int64)), pa.int64(), mask=~head),
+                        front(sums[0], pa.float64()), front(sums[1], pa.float64()), behind(keys), behind(n), behind(follows),
+                    ],
+                    ["uid", "doc_id", "n_tokens", "target", "background", "key", "n", "follows"],
+                )
+                uid += size
+
+    return run
 
 
 def score_documents(
@@ -154,8 +198,10 @@ def score_documents(
     through. Without target documents both models are flat over unknown words, and scores
     follow the background alone. An empty table gives no rows.
 
-    Texts stay where they lie, but for the target's. The vocabulary is bounded, as are the
-    vectors of counts that tasks send on, a block at a time, to be summed.
+    A word or pair is known if the target has it at least twice, however many there are. Texts
+    stay where they lie, but for the target's. Counts and what entries add to losses are tables;
+    a bounded number of the most frequent entries is sent to the texts, the others meet the
+    documents' distinct words and pairs in a join. They are known by 64 bits of hash.
     """
     rows = rows_of(docs, id_col, text_col).withColumnRenamed(text_col, "text")
     wanted = target_ids.select(target_ids["doc_id"].cast("long").alias("doc_id")).dropna().distinct()
@@ -167,28 +213,18 @@ def score_documents(
 
     target = rows.withColumn("hash", F.xxhash64("doc_id")).mapInArrow(maybe, "doc_id long, text string")
     target = written(target.join(wanted, "doc_id", "left_semi"), "target")
-    vocabulary = fit_vocabulary(target)
-    models = [PairModel.fit(vocabulary, count_events(t, vocabulary)) for t in (target, rows)]
-    shared = rows.sparkSession.sparkContext.broadcast((vocabulary, *models))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, target_model, background = shared.value
-        for batch in batches:
-            counts, sums = [], ([], [])
-            for words, per_text in _texts(batch):
-                ids = own.ids(words)
-                ends = np.cumsum(per_text)
-                starts = ends - per_text
-                pairs = own.pair_ids(ids, starts)
-                counts.append(per_text)
-                for model, out in zip((target_model, background), sums):
-                    upto = np.append(0.0, np.cumsum(model.losses(ids, pairs, starts)))
-                    out.append((upto[ends] - upto[starts]) / np.maximum(per_text, 1))
-            n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
-            a, b = (np.concatenate(s) if s else np.zeros(0) for s in sums)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(a), pa.array(b), pa.array(b - a)],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-            )
-
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+    counts, *totals = count_entries(target, rows)
+    entries, unknown = entry_values(counts, *totals)
+    top = entries.orderBy(F.desc("background"), "key").limit(HOT).select("key", *_VALUES).toArrow().sort_by("key")
+    hot = Hot(top.column("key").to_numpy(), tuple(top.column(c).to_numpy() for c in _VALUES))
+    shared = rows.sparkSession.sparkContext.broadcast(hot)
+    events = written(rows.mapInArrow(_events(bit_map(entries, F.col("key")), shared, unknown), _EVENTS), "events")
+
+    more = events.filter("key is not null").select("uid", "key", "n", "follows").join(entries, "key").groupBy("uid")
+    more = more.agg(*[
+        F.sum(F.col("n") * F.col(f"{m}_own") + F.col("follows") * F.col(f"{m}_next")).alias(f"{m}_more") for m in ("target", "background")
+    ])
+    found = events.filter("key is null").join(more, "uid", "left")
+    loss = lambda m: (F.col(m) + F.coalesce(f"{m}_more", F.lit(0.0))) / F.greatest("n_tokens", F.lit(1))
+    found = found.select("doc_id", "n_tokens", loss("target").alias("target_loss"), loss("background").alias("background_loss"))
+    return found.withColumn("score", F.col("background_loss") - F.col("target_loss"))

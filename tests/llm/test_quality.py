@@ -288,6 +288,27 @@ def test_losses_equal_brute_force(spark, documents):
         assert r["target_loss"] == pytest.approx(a) and r["background_loss"] == pytest.approx(b) and r["score"] == pytest.approx(b - a)
 
 
+def test_losses_with_more_words_than_any_table_sent_to_tasks(spark, monkeypatch):
+    from augury.llm import lm_score
+
+    r = random.Random(3)
+    rare = [f"r{i}" for i in range(70_000)]
+    rows = [(i, " ".join(["the", "common", *rare[i * 700 : i * 700 + 700]] * 2)) for i in range(100)]
+    rows += [(100 + i, " ".join(r.choice(rare + ["the"] * 40_000) for _ in range(300))) for i in range(50)]
+    rows += [(200, " ".join(rare[-300:])), (201, "nobody has these"), (202, None), (203, "The")]
+    expected = brute_losses(rows, range(100))
+    assert len({w for i in range(100) for w in words(rows[i][1])}) > 1 << 16
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    target = spark.createDataFrame([(i,) for i in range(100)], "doc_id long")
+    for hot in (lm_score.HOT, 1000, 0):
+        monkeypatch.setattr(lm_score, "HOT", hot)
+        found = score_documents(docs, target).collect()
+        assert len(found) == len(rows)
+        for row in found:
+            n, a, b = expected[row["doc_id"]]
+            assert row["n_tokens"] == n and (row["target_loss"], row["background_loss"]) == pytest.approx((a, b))
+
+
 def test_scores_of_odd_rows(spark, odd, nothing):
     ids = spark.createDataFrame([(1,), (9,), (None,), (77,)], "doc_id long")
     rows = score_documents(odd, ids).collect()
