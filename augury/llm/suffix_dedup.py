@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,37 +21,54 @@ GRAM = 16
 SPAN = PASSAGE - GRAM + 1
 #: Words looked at on either side of a kept run.
 SIDE = SPAN - 1
-#: Neighbours compared on either side, in either order.
-NEIGHBOURS = 3
+#: Windows that a task passes on at a time.
+WINDOWS = 1 << 18
 
 _KEPT = "doc_id long, pos long, before long, after long, gram long, full long"
 
 
-def minimisers(hashes: np.ndarray, span: int = SPAN) -> np.ndarray:
-    """Places whose hash is the least of some window of ``span``; of equal ones the first.
+def owners(hashes: np.ndarray, span: int = SPAN) -> np.ndarray:
+    """For each window of ``span`` the place whose hash is the least; of equal ones the first.
 
-    Two texts that share a passage share its windows, and so the places kept in them.
+    Two texts that share a passage share its windows, and so the places in them.
     """
     if len(hashes) < span:
         return np.zeros(0, np.int64)
     windows = np.lib.stride_tricks.sliding_window_view(hashes, span)
     step = 1 << 14
     picked = [np.argmin(windows[a : a + step], axis=1) + np.arange(a, min(a + step, len(windows))) for a in range(0, len(windows), step)]
-    return np.unique(np.concatenate(picked))
+    return np.concatenate(picked)
+
+
+def minimisers(hashes: np.ndarray, span: int = SPAN) -> np.ndarray:
+    """The places that are the least of some window."""
+    return np.unique(owners(hashes, span))
+
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
 
 def _context_hash(words: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Hash of words[start:stop] for each pair, by sums of powers over the whole text."""
-    base, power = np.uint64(0x9E3779B97F4A7C15), np.ones(len(words) + 1, np.uint64)
-    power[1:] = np.multiply.accumulate(np.full(len(words), base, np.uint64))
+    """Hash of words[start:stop] for each pair, wherever they stand, by sums of powers over the whole text."""
     total = np.zeros(len(words) + 1, np.uint64)
-    total[1:] = np.add.accumulate(words * power[:-1])
-    lifted = (total[stop] - total[start]) * power[len(words) - start]
-    return mixed(lifted + (stop - start).astype(np.uint64))
+    total[1:] = np.add.accumulate(words * _powers(_BASE, len(words)))
+    moved = (total[stop] - total[start]) * _powers(_INVERSE, len(words) + 1)[start]
+    return mixed(moved + (stop - start).astype(np.uint64))
+
 
+def _suffixes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each text with a full passage: row, words, place of each passage, kept places, hashes there, context hashes.
 
-def _suffixes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each text with a full passage: row, words, kept places, hashes there, context hashes."""
+    A context's hash also tells where in it the run stands: near the ends of a text two runs
+    have the same words around them.
+    """
     data, offsets = buffer_of(batch.column("text"))
     for a, b in blocks(offsets):
         words, per_text = word_hashes(data, offsets[a : b + 1], lower=False)
@@ -63,16 +79,18 @@ def _suffixes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarr
             if n < PASSAGE:
                 continue
             grams, _ = run_hashes(own, np.array([n]), GRAM)
-            places = minimisers(grams)
+            owner = owners(grams)
+            places = np.unique(owner)
             full = _context_hash(own, np.maximum(places - SIDE, 0), np.minimum(places + GRAM + SIDE, n))
-            yield row, own, places, grams[places], full
+            full = mixed(full ^ np.minimum(places, SIDE).astype(np.uint64))
+            yield row, own, owner, places, grams[places], full
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id").to_numpy()
         columns: list[list[np.ndarray]] = [[] for _ in range(6)]
-        for row, words, places, grams, full in _suffixes(batch):
+        for row, words, _, places, grams, full in _suffixes(batch):
             values = (
                 np.full(len(places), ids[row]), places, np.minimum(places, SIDE),
                 np.minimum(len(words) - places - GRAM, SIDE), grams.view(np.int64), full.view(np.int64),
@@ -83,90 +101,38 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "pos", "before", "after", "gram", "full"])
 
 
-def _contexts(packed: np.ndarray):
-    """The words on both sides of the places whose contexts are asked for, once per batch.
+def _windows(packed: np.ndarray):
+    """The passages around the places whose contexts are asked for: context, hash, words before the run.
 
-    The right side reads on from the run, the left side backwards from it.
+    Each passage of a text belongs to one kept run, the least in it. Equal ones of a block
+    become one row.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found: dict[int, tuple[int, bytes, bytes]] = {}
-            for _, words, places, grams, full in _suffixes(batch):
-                short = (words >> np.uint64(32)).astype(">u4")
-                for k in np.flatnonzero(in_map(packed, full.view(np.int64))).tolist():
-                    p, key = int(places[k]), int(full[k].view(np.int64))
-                    if key not in found:
-                        right = short[p + GRAM : p + GRAM + SIDE].tobytes()
-                        left = short[max(0, p - SIDE) : p][::-1].tobytes()
-                        found[key] = (int(grams[k].view(np.int64)), right, left)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(found), pa.int64()), pa.array([v[0] for v in found.values()], pa.int64()),
-                    pa.array([v[1] for v in found.values()], pa.binary()), pa.array([v[2] for v in found.values()], pa.binary()),
-                ],
-                ["full", "gram", "right", "left"],
-            )
-
-    return run
-
-
-def _common(a: bytes, b: bytes) -> int:
-    """Words in common from the start."""
-    n = min(len(a), len(b))
-    x, y = np.frombuffer(a, np.uint32, n // 4), np.frombuffer(b, np.uint32, n // 4)
-    differ = np.flatnonzero(x != y)
-    return int(differ[0]) if len(differ) else n // 4
-
-
-_PAIRED = "full long, left_words int, right_words int, edge int, task int, gram long, right binary, left binary, low long, high long"
-
-
-def _compared(edges: bool):
-    """Compare each suffix with its neighbours in a sorted task; pass the first and last ones on."""
-    names = ["full", "left_words", "right_words", "edge", "task", "gram", "right", "left", "low", "high"]
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [()] * len(names), kinds)], names)
+    def out(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        full, window, left = (np.concatenate([h[k] for h in held]) if held else np.zeros(0, np.int64) for k in range(3))
+        _, at = np.unique(full ^ mixed(left.view(np.uint64)).view(np.int64), return_index=True)
+        return pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (full, window, left)], ["full", "window", "left_words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, recent, number, rows = TaskContext.get().partitionId(), [], 0, []
         for batch in batches:
-            for own in zip(*(batch.column(c).to_pylist() for c in ("gram", "right", "left", "full", "low", "high"))):
-                for other in recent:
-                    if other[0] == own[0] and not other[4] == other[5] == own[4] == own[5]:
-                        right, left = _common(own[1], other[1]), _common(own[2], other[2])
-                        if left + GRAM + right >= PASSAGE:
-                            for one in (own, other):
-                                rows.append((one[3], left, right, None, None, None, None, None, None, None))
-                if edges and number < NEIGHBOURS:
-                    rows.append((own[3], None, None, number, task, own[0], own[1], own[2], own[4], own[5]))
-                recent = [*recent[-NEIGHBOURS + 1 :], own]
-                number += 1
-            yield out(rows)
-            rows = []
-        if edges and number > NEIGHBOURS:
-            for k, own in enumerate(recent[-min(NEIGHBOURS, number - NEIGHBOURS) :]):
-                rows.append((own[3], None, None, NEIGHBOURS + k, task, own[0], own[1], own[2], own[4], own[5]))
-        yield out(rows)
+            held, size = [], 0
+            for _, words, owner, places, _, full in _suffixes(batch):
+                hit = in_map(packed, full.view(np.int64))
+                if not hit.any():
+                    continue
+                of = np.searchsorted(places, owner)
+                start = np.flatnonzero(hit[of])
+                window = _context_hash(words, start, start + PASSAGE)
+                held.append((full[of[start]].view(np.int64), window.view(np.int64), owner[start] - start))
+                size += len(start)
+                if size > WINDOWS:
+                    yield out(held)
+                    held, size = [], 0
+            yield out(held)
 
     return run
 
 
-def _neighbours(contexts: DataFrame, *keys: str) -> DataFrame:
-    """(full, left_words, right_words) of suffixes and their neighbours in the order of ``keys``.
-
-    Suffixes are sorted over the cluster by ranges; one that many share is split among tasks
-    too. What lies at the edges of the tasks, a few rows each, is compared in a second look.
-    """
-    ordered = contexts.repartitionByRange(*keys, "full").sortWithinPartitions(*keys, "full")
-    found = written(ordered.mapInArrow(_compared(True), _PAIRED), "neighbours")
-    edge = found.filter("edge is not null").select("task", "edge", "gram", "right", "left", "full", "low", "high")
-    seam = edge.coalesce(1).sortWithinPartitions("task", "edge").mapInArrow(_compared(False), _PAIRED)
-    return found.filter("edge is null").union(seam).select("full", "left_words", "right_words")
-
-
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_repeated, spans`` per row: passages that other documents have too.
 
@@ -179,12 +145,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     * Of every 35 successive runs of 16 words the one with the least hash is kept, so that any
       shared passage of 50 words shares a kept run.
     * Where a run and the 34 words on both sides are the same in two documents, that is known
-      by grouping. The other contexts of a run, one row for each, are sorted by what follows
-      the run and by what stands before it, neighbours are compared, and matches extended to
-      both sides. A match counts if it has 50 words; longer ones are chains of such matches.
-    * Only neighbours are compared, three on either side in each of the two orders: a partner
-      is missed if it has more than so many others between in both orders, each of which
-      shares the run without making up 50 words with the suffix itself.
+      by grouping. Of the other contexts of a run, one each, the windows of 50 words around it
+      are grouped by their hash: those that two documents have are passages. Longer passages
+      are chains of such windows.
+    * No partner is left out, however many others share the run. Runs, contexts and windows are
+      known by 64 bits of hash.
     """
     rows = rows_of(docs, id_col, text_col).withColumnRenamed(text_col, "text")
     rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
@@ -197,11 +162,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     several = groups.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
     open_groups = freeze(groups.join(several, "gram", "left_semi"))
     packed = bit_map(open_groups, F.col("full"))
-    contexts = rows.mapInArrow(_contexts(packed), "full long, gram long, right binary, left binary")
-    contexts = contexts.join(open_groups, ["gram", "full"]).dropDuplicates(["gram", "full"])
-    contexts = written(contexts, "contexts")
-    pairs = _neighbours(contexts, "gram", "right", "left").union(_neighbours(contexts, "gram", "left", "right"))
-    best = pairs.groupBy("full").agg(F.max("left_words").alias("left_words"), F.max("right_words").alias("right_words"))
+    windows = rows.mapInArrow(_windows(packed), "full long, window long, left_words long").distinct()
+    windows = written(windows.join(open_groups.select("full", "low", "high"), "full"), "windows")
+    passages = windows.groupBy("window").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    passages = freeze(passages.filter("low <> high").select("window"))
+    best = windows.join(passages, "window").groupBy("full").agg(
+        F.max("left_words").alias("left_words"), (PASSAGE - GRAM - F.min("left_words")).alias("right_words")
+    )
 
     whole = kept.join(groups.filter("low <> high").select("gram", "full"), ["gram", "full"])
     whole = whole.filter(F.col("before") + GRAM + F.col("after") >= PASSAGE)

@@ -172,6 +172,21 @@ def test_a_passage_of_exactly_fifty_words(spark):
     assert found == brute_passages(rows)
 
 
+def test_no_partner_is_hidden_by_others_that_share_the_run(spark):
+    own = lambda k, n: [f"d{k}x{i}" for i in range(n)]
+    passage = [f"p{i}" for i in range(50)]
+    # One document with a passage in 100 surroundings; another with one copy.
+    rows = [(1, " ".join(w for k in range(100) for w in own(k, 60) + passage)), (2, " ".join(own(200, 45) + passage + own(201, 45)))]
+    # Boilerplate with slots on both sides; only some agree in a whole passage.
+    plate = [f"b{i}" for i in range(30)]
+    rows += [(10 + k, " ".join([f"s{k % 9}u{i}" for i in range(40)] + plate + [f"s{k % 7}v{i}" for i in range(40)])) for k in range(120)]
+    rows += [(300 + k, " ".join([f"l{k}y{i}" for i in range(40)] + plate + [f"l{k}z{i}" for i in range(40)])) for k in range(60)]
+    # Short texts, in which two runs have the same words around them.
+    rows += [(400 + k, " ".join([f"q{i}" for i in range(52)] + ["end"] * k)) for k in range(3)]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: covered(r["spans"]) for r in found} == brute_passages(rows)
+
+
 def test_passages_of_odd_rows_and_empty_tables(odd, nothing):
     found = repeated_passages(odd).collect()
     assert len(found) == odd.count()
