@@ -59,8 +59,8 @@ def op7_cross_entropy_difference(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op8_sparse_suffix_passages(spark: SparkSession, d: str) -> DataFrame:
-    """The documents that share a passage with another, and where; others have none to report."""
-    found = repeated_passages(table(spark, d, "documents")).filter("n_repeated > 0")
+    """Every document, with the passages it shares with another, if any."""
+    found = repeated_passages(table(spark, d, "documents"))
     text = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["stop"].cast("string")))
     return found.select("doc_id", "n_words", "n_repeated", F.size("spans").alias("n_spans"), F.array_join(text, ",").alias("spans"))
 

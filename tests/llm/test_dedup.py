@@ -8,9 +8,12 @@ import pytest
 
 from augury.llm.graph import components
 from augury.llm.ngram_join import one_of_each_group, prefix_length, similar_documents
+from augury.llm.queries import op8_sparse_suffix_passages
 from augury.llm.radix_dedup import drop_copies, radix_dedup, split_to_end
 from augury.llm.suffix_dedup import repeated_passages
 
+from .conftest import SMALL
+
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -187,6 +190,12 @@ def test_no_partner_is_hidden_by_others_that_share_the_run(spark):
     assert {r["doc_id"]: covered(r["spans"]) for r in found} == brute_passages(rows)
 
 
+def test_the_query_reports_documents_without_passages_too(spark, documents):
+    found = op8_sparse_suffix_passages(spark, SMALL).collect()
+    assert sorted(r["doc_id"] for r in found) == sorted(r["doc_id"] for r in documents.collect())
+    assert {r["spans"] == "" for r in found if r["n_repeated"] == 0} == {True}
+
+
 def test_passages_of_odd_rows_and_empty_tables(odd, nothing):
     found = repeated_passages(odd).collect()
     assert len(found) == odd.count()
