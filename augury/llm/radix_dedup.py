@@ -228,10 +228,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([*batch.columns, digest], [*batch.schema.names, mark])
 
     kept = radix_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"), "group_size"
+        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"), F.col("group_size").alias("_kept_size")
     )
     rows = docs.mapInArrow(marked, schema)
     same = (rows[mark] == kept["_kept_digest"]) & rows[id_col].cast("long").eqNullSafe(kept["_kept_id"])
     found = rows.join(kept, same)
-    alone = found.filter("group_size = 1").select(*docs.columns)
-    return alone.unionByName(found.filter("group_size > 1").dropDuplicates([id_col, mark]).select(*docs.columns))
+    alone = found.filter(kept["_kept_size"] == 1).select(*docs.columns)
+    return alone.unionByName(found.filter(kept["_kept_size"] > 1).dropDuplicates([id_col, mark]).select(*docs.columns))

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from augury.llm.graph import components
 from augury.llm.ngram_join import one_of_each_group, prefix_length, similar_documents
@@ -114,6 +115,11 @@ def test_drop_copies_keeps_columns_and_one_of_repeated_rows(odd):
     assert sorted(r["doc_id"] for r in left.filter("doc_id is not null").collect()) == [2, 4, 5, 7, 8, 9, 10, 11, 12]
 
 
+def test_drop_copies_passes_a_column_named_as_its_own_on(odd):
+    left = drop_copies(odd.withColumn("group_size", F.lit(7)))
+    assert {r["group_size"] for r in left.collect()} == {7} and left.columns == [*odd.columns, "group_size"]
+
+
 def test_jaccard_components_equal_brute_force(documents):
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similar_documents(documents).collect()}
     assert found == brute_components(plain(documents))
