@@ -69,10 +69,21 @@ JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) c USIN
 """
 
 
+TOP_K = """
+WITH numbers AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, e.vec_id, CAST(list_inner_product(q.v, e.v) AS BIGINT) AS score
+    FROM numbers q JOIN numbers e ON q.vec_id % 50 = 0 AND e.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
+
 def oracles() -> dict[str, str]:
     return {
         "op2_host_quality_rules": HOST_RULES,
         "op4_warc_transactions": WARC,
         "op5_radix_exact_dedup": EXACT_DEDUP,
         "op6_vertical_jaccard_join": JACCARD,
+        "op12_sorted_list_top_k": TOP_K,
     }
