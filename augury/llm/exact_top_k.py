@@ -19,29 +19,28 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 4096
-#: Most rows whose lists one task holds (about 50 MB at 64 components), and queries it serves.
-GROUP, SECTION = 131_072, 65_536
-#: Parts in which a list is read, and rows that are resolved rather than read on for.
-PARTS, FEW = 16, 32
+BLOCK, QUERIES = 4096, 64
+#: Most rows whose lists one task holds (about 110 MB at 64 components), and queries it serves.
+GROUP, SECTION = 65_536, 65_536
+#: Parts in which a list is read; rows that are resolved rather than read on for; at which share of the
+#: k-th best score, as the most that unread rows can reach, the rows read are first looked at.
+PARTS, FEW, LOOK = 16, 512, 0.6
 LARGEST = 1 << 23
 
 
 class Block:
-    """Rows of a block, and for each component their order by it."""
+    """Rows of a block, and for each component two lists of them: falling and, behind all those, rising."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, order: np.ndarray):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, rising: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.rows, self.width = vectors.shape
-        self.rising = order, np.take_along_axis(vectors.T, order.astype(np.int64), axis=1)
-        self.falling = tuple(x[:, ::-1] for x in self.rising)
-
-    def read(self, components: np.ndarray, weights: np.ndarray, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
-        """The next places of each list: which rows, and what they add to the score."""
-        up = weights[:, None] < 0
-        (a, x), (b, y) = self.rising, self.falling
-        rows = np.where(up, a[components, start:stop], b[components, start:stop]).astype(np.int64)
-        return rows, np.where(up, x[components, start:stop], y[components, start:stop]) * weights[:, None]
+        values = np.take_along_axis(vectors.T, rising.astype(np.int64), axis=1)
+        self.lists = np.concatenate([rising[:, ::-1], rising])
+        self.values = np.concatenate([values[:, ::-1], values])
+        self.unread = np.ones((self.width, self.rows), np.uint8)
+        own_row = np.arange(self.width)[:, None] * self.rows
+        #: Places of the lists' rows in ``unread``.
+        self.marks = self.lists + np.concatenate([own_row, own_row])
 
 
 class Best:
@@ -62,34 +61,40 @@ class Best:
 
 def search(block: Block, own: int, query: np.ndarray, best: Best) -> int:
     """Bring ``best`` up to date with a block; returns how many places of each list were read."""
-    width = min(len(query), block.width)
-    components = np.flatnonzero(query[:width])
+    components = np.flatnonzero(query[: block.width])
     weights = query[components]
+    lists = components + np.where(weights < 0, block.width, 0)
+    falls = weights.astype(float)[:, None]
+    least = block.values[lists, -1] * falls[:, 0]
     known = np.zeros(block.rows)
-    unread = np.ones((block.rows, len(components)))
-    far_end = np.where(weights < 0, block.rising[1][components, -1], block.rising[1][components, 0]) * weights.astype(float)
-    others = block.ids != own
-    alive = np.flatnonzero(others)
-    step = max(1, -(-block.rows // PARTS))
+    unread, marks = block.unread, block.unread.ravel()
+    marks[:] = 1
+    alive = np.flatnonzero(block.ids != own)
+    step = -(-block.rows // PARTS)
     at = 0
-    while at < block.rows and len(components):
+    while at < block.rows and len(components) and len(alive):
         stop = min(at + step, block.rows)
-        rows, adds = block.read(components, weights, at, stop)
-        known += np.bincount(rows.ravel(), adds.ravel().astype(float), minlength=block.rows)
-        unread[rows, np.arange(len(components))[:, None]] = 0
-        at = stop
-        frontier = adds[:, -1].astype(float)
-        open_lists = unread[alive]
-        upper = known[alive] + open_lists @ frontier
-        lower = known[alive] + open_lists @ far_end
+        if best.full:  # while rows that were never read can be better, no look at the others is worth it
+            onset = best.scores[-1] - (1 - LOOK) * abs(best.scores[-1])
+            while stop < block.rows and block.values[lists, stop - 1] @ weights > onset:
+                stop = min(stop + step, block.rows)
+        else:
+            stop = min(at + 4 * step, block.rows)
+        adds = block.values[lists, at:stop] * falls
+        known += np.bincount(block.lists[lists, at:stop].ravel(), adds.ravel(), minlength=block.rows)
+        marks[block.marks[lists, at:stop].ravel()] = 0
+        at, frontier = stop, adds[:, -1].copy()
+        few = len(alive) * 4 <= block.rows
+        open_lists = (unread[:, alive] if few else unread)[components].astype(float)
+        bounds = np.stack([frontier, least]) @ open_lists + (known[alive] if few else known)
+        upper, lower = bounds if few else bounds[:, alive]
         bar, tie = -np.inf, np.iinfo(np.int64).max
         if len(alive) >= best.k:
             bar = np.partition(lower, len(lower) - best.k)[len(lower) - best.k]
         if best.full and best.scores[-1] >= bar:
             bar, tie = float(best.scores[-1]), best.ids[-1]
-        can = (upper > bar) | ((upper == bar) & (block.ids[alive] <= tie))
-        alive = alive[can]
-        if frontier.sum() < bar and len(alive) <= FEW:
+        alive = alive[(upper > bar) | ((upper == bar) & (block.ids[alive] <= tie))]
+        if len(alive) <= FEW and frontier.sum() < bar:
             break
     scores = block.vectors[alive][:, components].astype(np.int64) @ weights
     best.add(scores, block.ids[alive])
@@ -110,13 +115,14 @@ PACKED = "place long, ids binary, width int, vectors binary, lists binary"
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of rows with their lists; blocks of queries have their hashes in this place."""
+    """Blocks of rows with their lists; blocks of queries are smaller and have their hashes in this place."""
     place = TaskContext.get().partitionId()
     kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
     names = [c.split()[0] for c in PACKED.split(", ")]
     for batch in batches:
-        for a in range(0, batch.num_rows, BLOCK):
-            part = batch.slice(a, BLOCK)
+        size = QUERIES if "query_hash" in batch.schema.names else BLOCK
+        for a in range(0, batch.num_rows, size):
+            part = batch.slice(a, size)
             vectors = _matrix(part.column("vector"))
             ids, *hashes = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in part.schema.names if c != "vector")
             lists = hashes[0] if hashes else np.argsort(vectors.T, axis=1, kind="stable").astype(np.uint16)
@@ -191,9 +197,11 @@ def exact_top_k(
     spark = rows.sparkSession
     numbers = whole_numbers(rows, id_col, vector_col, scale)
     n = max(1, rows.count())
-    group = min(GROUP, max(BLOCK, n // (4 * spark.sparkContext.defaultParallelism)))
-    groups, n_queries = -(-n // group), rows.filter(wanted).count()
-    sections = max(1, -(-n_queries // SECTION))
+    n_queries = rows.filter(wanted).count()
+    groups = -(-n // GROUP)
+    # A query goes on from the best of the blocks before: tasks differ by queries first, then by rows.
+    spread = min(2 * spark.sparkContext.defaultParallelism, -(-n_queries // (2 * QUERIES)))
+    sections = max(1, spread, -(-n_queries // SECTION))
     queries = whole_numbers(rows.filter(wanted), id_col, vector_col, scale).withColumn("query_hash", F.xxhash64("id", "vector")).distinct()
     asked = queries.mapInArrow(_packed, PACKED).select(
         "*", F.pmod("place", F.lit(sections)).alias("section"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group")
