@@ -170,15 +170,24 @@ _LABEL = _choice(f"{KEY} % 7", _texts([
     "EX-99.1", "Exhibit&nbsp;99", "press  release", "<b>Earn</b>ings", "EX-10", "Graphic",
     "EX-99.1 <!-- EX-1 --> R&amp;D",
 ]))
+# Some pages lay their files out by tables: in a cell of a row with a link of its own, or two tables deep.
+_NESTED = f"{KEY} % 15"
+_LAID_OUT = f"""CASE {_NESTED} WHEN 7 THEN '<table><tr><td>Menu</td><td><a href="main.htm">Form 8-K</a></td><td>'
+    WHEN 13 THEN '<table><tr><td>top<table><tbody><tr><td colspan=2>' ELSE '' END"""
+_LAID_OUT_END = f"""CASE {_NESTED} WHEN 7
+    THEN '</td></tr><tr><td>8</td><td>EX-99.8</td><td><a href="ex991.htm">again</a></td></tr></table><p><a href=x.htm>foot</a>'
+    WHEN 13 THEN '</td></tr></tbody></table></td></tr></table><table><tr><td>9<td>Earnings<td><a href="late.htm">z</a></table>'
+    ELSE '' END"""
 _HTML_LISTING = f"""concat('<html><body><h1>Filing</h1><p>Item 2.02 Results. Item&#160;', '9.01 and <i>Item</i> 7.0',
-    {_s(f'{KEY} % 3')}, '</p><table class="files"><tr><th>Seq</th><th>File</th></tr>',
+    {_s(f'{KEY} % 3')}, '</p>', {_LAID_OUT},
+    '<table class="files"><tr><th>Seq</th><th>File</th></tr>',
     '<tr><td>1</td><td>Form 8-K</td><td> <a href="main.htm">main.htm</a> </td></tr>',
     '<TR class=x><TD>2<td>', {_LABEL}, '<td><a class="f" href="', {_HREF}, '">file</a></TR>',
     '<tr><td>3</td><td>EX-99.2</td></tr>',
     '<tr><td>4</td><td>EX-99.3</td><td>no link</td></tr>',
     '<tr><td>5</td><td>EX-99.4</td><td><a name="z">x</a></td></tr>',
     CASE WHEN {KEY} % 4 = 3 THEN '<tr><td>6</td><td>EX-99.5</td><td><a href=''more.txt''>m</a></td></tr>' ELSE '' END,
-    '</table></body></html>')"""
+    '</table>', {_LAID_OUT_END}, '</body></html>')"""
 
 LISTINGS = f"""
 SELECT {_s('c_custkey')} AS cik, {ACCESSION_KEY} AS accession_key,

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from augury import schemas
 from augury.functions import fixed_values as fixed
-from augury.functions.markup import ELEMENT
+from augury.functions.markup import ELEMENT, HIDDEN
 from augury.functions.text import WHITE
 from checks import inputs
 
@@ -278,28 +278,49 @@ def cell_text(expr: str) -> str:
     return strip(f"regexp_replace({marked}, {rx(r'\s*\x01\s*', False)}, '', 'g')")
 
 
-HREF = r"(?is)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+HREF = r"(?is)\shref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))"
 EXTENSION = "(contains(lower({0}), '.htm') OR contains(lower({0}), '.html') OR contains(lower({0}), '.txt'))"
 LIST_ROWS = [
     ("listed", f"SELECT *, {filing_url('accession_key')} AS filing_url FROM ({inputs.LISTINGS})"),
     ("html_listed", "SELECT * FROM listed WHERE NOT json_valid(value)"),
     (
-        "row_pieces",
-        "SELECT cik, accession_key, filing_url, unnest(rows) AS piece, generate_subscripts(rows, 1) AS row_no "
-        "FROM (SELECT *, string_split_regex(regexp_replace(regexp_extract(value, '(?is)<table\\b.*', 0), "
-        "'(?is)<!--.*?-->', '', 'g'), '(?i)<tr\\b')[2:] AS rows FROM html_listed)",
+        "grid",
+        "SELECT *, lower(regexp_extract(piece, '(?i)^<(/?(?:table|tr|td))\\b', 1)) AS name FROM ("
+        "SELECT cik, accession_key, filing_url, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS spot, len(pieces) + 1 AS past "
+        f"FROM (SELECT *, string_split(regexp_replace(regexp_extract(regexp_replace(value, {q(HIDDEN)}, '<!>', 'g'), "
+        "'(?is)<table\\b.*', 0), '(?i)(</?(?:table|tr|td)\\b)', chr(1) || '\\1', 'g'), chr(1)) AS pieces FROM html_listed))",
     ),
     (
-        "row_cells",
-        "SELECT *, string_split_regex(regexp_replace(piece, '(?is)</(?:tr|table)\\b.*', ''), '(?i)<td\\b')[2:] AS cells, "
-        "regexp_extract(piece, '(?is)<a\\b[^>]*>', 0) AS anchor FROM row_pieces",
+        "levels",
+        "SELECT *, sum(CASE name WHEN 'table' THEN 1 WHEN '/table' THEN -1 ELSE 0 END) OVER (PARTITION BY accession_key ORDER BY spot) "
+        "+ CASE name WHEN '/table' THEN 1 ELSE 0 END AS level FROM grid",
+    ),
+    (
+        "spans",
+        "SELECT *, coalesce(lead(spot) OVER (PARTITION BY accession_key, level ORDER BY spot), past) AS stop, 'td' AS kind FROM levels "
+        "WHERE level > 0 AND name IN ('tr', '/tr', '/table', 'td', '/td') UNION ALL "
+        "SELECT *, coalesce(lead(spot) OVER (PARTITION BY accession_key, level ORDER BY spot), past) AS stop, 'tr' AS kind FROM levels "
+        "WHERE level > 0 AND name IN ('tr', '/tr', '/table')",
+    ),
+    (
+        "trees",
+        "SELECT s.cik, s.accession_key, s.filing_url, s.kind, s.spot, s.stop, string_agg(g.piece, '' ORDER BY g.spot) AS tree "
+        "FROM spans s JOIN grid g ON g.accession_key = s.accession_key AND g.spot >= s.spot AND g.spot < s.stop "
+        "WHERE s.name = s.kind GROUP BY ALL",
+    ),
+    ("cells", f"SELECT accession_key, spot, {cell_text('tree')} AS text FROM trees WHERE kind = 'td'"),
+    (
+        "table_rows",
+        "SELECT r.cik, r.accession_key, r.filing_url, r.spot AS row_no, regexp_extract(r.tree, '(?is)<a\\b[^>]*>', 0) AS anchor, "
+        "count(c.spot) AS n_cells, string_agg(c.text, ' ' ORDER BY c.spot) AS description FROM trees r "
+        "LEFT JOIN cells c ON c.accession_key = r.accession_key AND c.spot > r.spot AND c.spot < r.stop WHERE r.kind = 'tr' "
+        "GROUP BY ALL",
     ),
     (
         "list_rows",
-        f"SELECT * FROM (SELECT cik, accession_key, filing_url, row_no, len(cells) AS n_cells, "
-        f"list_aggregate(list_transform(cells, lambda c: {cell_text('c')}), 'string_agg', ' ') AS description, "
-        f"{decode(f'regexp_extract(anchor, {q(HREF)}, 1) || regexp_extract(anchor, {q(HREF)}, 2)')} AS href "
-        f"FROM row_cells) WHERE n_cells >= 3 AND href <> ''",
+        f"SELECT * FROM (SELECT cik, accession_key, filing_url, row_no, n_cells, description, "
+        f"{decode(f'regexp_extract(anchor, {q(HREF)}, 1) || regexp_extract(anchor, {q(HREF)}, 2) || regexp_extract(anchor, {q(HREF)}, 3)')} AS href "
+        f"FROM table_rows) WHERE n_cells >= 3 AND href <> ''",
     ),
     (
         "url_rows",
@@ -308,10 +329,11 @@ LIST_ROWS = [
     ),
     (
         "html_found",
-        f"SELECT accession_key, url, description, string_split(href, '/')[-1] AS filename, "
-        f"row_number() OVER (PARTITION BY accession_key ORDER BY row_no) - 1 AS pos FROM url_rows "
+        f"SELECT accession_key, url, description, filename, row_number() OVER (PARTITION BY accession_key ORDER BY row_no) - 1 AS pos "
+        f"FROM (SELECT accession_key, url, description, string_split(href, '/')[-1] AS filename, "
+        f"row_no FROM url_rows "
         f"WHERE regexp_matches(upper(description), {rx(fixed.HTML_EXHIBIT_PATTERN, False)}) "
-        f"AND {EXTENSION.format('href')}",
+        f"AND {EXTENSION.format('href')} QUALIFY row_number() OVER (PARTITION BY accession_key, url ORDER BY row_no) = 1)",
     ),
     (
         "json_docs",
