@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from augury.bitmaps import bit_map, may_be_in
 from augury.functions import fixed_values as fixed
 from augury.functions.keys import pad_cik, without_dashes
 from augury.session import broadcast_if_small, is_small
@@ -28,11 +29,33 @@ def first_ticker(tickers: DataFrame) -> DataFrame:
     return tickers.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 
+#: Bits of the map of a batch's keys: 8 MB; a batch of a million keys passes 2 % of a ledger.
+BATCH_BITS = 1 << 26
+
+
+def ledger_overlap(df: DataFrame, ledger: DataFrame, column: str, bits: int = BATCH_BITS) -> DataFrame:
+    """The ledger's keys that may be among the rows' keys, each once.
+
+    The map of the rows' keys has a fixed size; the more keys, the more of the ledger passes, at
+    worst all of it.
+    """
+    wanted = bit_map(df.select(column), column, bits=bits)
+    return ledger.select(column).filter(may_be_in(wanted, column)).distinct()
+
+
 def exclude_processed(
-    df: DataFrame, ledger: DataFrame, column: str = "accession_number"
+    df: DataFrame, ledger: DataFrame, column: str = "accession_number", bits: int = BATCH_BITS, **bounds: int
 ) -> DataFrame:
-    """Rows whose key is not in the ledger."""
-    return df.join(broadcast_if_small(ledger.select(column)), column, "left_anti")
+    """Rows whose key is not in the ledger.
+
+    A ledger proven small is sent to the rows. Of any other only those keys are shuffled that may
+    be among the rows': what moves follows the rows and the overlap, not the ledger. The rows'
+    keys are read once more for that.
+    """
+    keys = ledger.select(column)
+    if is_small(keys, **bounds):
+        return df.join(F.broadcast(keys), column, "left_anti")
+    return df.join(ledger_overlap(df, ledger, column, bits), column, "left_anti")
 
 
 def lookup_metric(df: DataFrame, column: str = "forecast_metric") -> DataFrame:

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +18,7 @@ from augury.functions import fixed_values as fixed
 from augury.functions.text import WORD_BREAK, let, strip
 from augury.operators.guidance import extract_guidance
 from augury.operators.joins import lookup_metric
+from augury.sources.tables import write_parquet_table
 
 INSTRUCTIONS = (
     "Extract each forward-looking guidance statement of the press release, one item per "
@@ -170,6 +171,34 @@ def accepted_items(items: DataFrame) -> DataFrame:
     return items.filter(F.col("problem").isNull()).drop("problem")
 
 
+def store_items(responses: DataFrame, path: str, column: str = "response") -> dict[str, int]:
+    """All items of the answers in two tables under ``path``, by one reading of the answers.
+
+    ``path/items/accepted=true`` has those without a problem, ``accepted=false`` the others with
+    the name of the first field that broke the rules. The counts of the manifest are taken by the
+    tasks that write, returned, and kept in ``path/manifest``.
+    """
+    told = Observation("items")
+    good = F.col("accepted")
+    items = parse_responses(responses, column).withColumn("accepted", F.col("problem").isNull())
+    counted = items.observe(
+        told, F.count_if(good).alias("accepted"), F.count_if(~good).alias("rejected"),
+        *[F.count_if(F.col("problem") == name).alias(f"rejected_{name}") for name in _REQUIRED],
+    )
+    write_parquet_table(counted, f"{path}/items", ["accepted"])
+    manifest = dict(told.get)
+    row = ", ".join(f"{name} long" for name in manifest)
+    spark = responses.sparkSession
+    write_parquet_table(spark.createDataFrame([tuple(manifest.values())], row).coalesce(1), f"{path}/manifest")
+    return manifest
+
+
+def read_items(spark: SparkSession, path: str, accepted: bool) -> DataFrame:
+    """One of the two tables of :func:`store_items`; the other one's files are not opened."""
+    rows = spark.read.parquet(f"{path}/items").filter(F.col("accepted") == accepted).drop("accepted")
+    return rows.drop("problem") if accepted else rows
+
+
 def map_to_guidance(items: DataFrame) -> DataFrame:
     """Items to guidance columns, enriched columns beside them.
 

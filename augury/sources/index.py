@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from augury import schemas
 from augury.functions.text import strip
-from augury.session import freeze
+from augury.session import BROADCAST_MAX_ROWS
 
 # Layouts of a path that name the quarter.
 _QUARTER_IN_PATH = [
@@ -37,14 +37,13 @@ def skip_headers(lines: DataFrame) -> DataFrame:
 
     A file without dashes starts at its first piped line that does not begin with
     ``CIK``. The rule needs a line's place in its file: block offset, then read order
-    within the task. The marked lines are frozen first, so that both uses of the
-    places agree even when an executor is lost in between.
+    within the task, which the files and settings alone decide. So the places of the lines that
+    start a file, one small row a file, fit a second reading of the same files, also by another
+    executor. Lines are neither written nor shuffled while the files are few enough to send
+    their starts to every task.
     """
-    placed = freeze(
-        lines.select(
-            "*", F.struct("block", F.monotonically_increasing_id().alias("line")).alias("place")
-        )
-    )
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("line")
+    placed = lines.select("*", F.struct("block", in_task).alias("place"))
     dashes = F.col("value").startswith("---")
     opener = F.contains("value", F.lit("|")) & ~F.col("value").startswith("CIK")
     starts = placed.filter(dashes | opener).groupBy("path").agg(
@@ -54,7 +53,8 @@ def skip_headers(lines: DataFrame) -> DataFrame:
     body = F.when(F.col("dash").isNotNull(), F.col("place") > F.col("dash")).otherwise(
         F.col("place") >= F.col("opener")
     )
-    return placed.join(starts, "path").filter(body).select(lines.columns)
+    few = len(lines.inputFiles()) <= BROADCAST_MAX_ROWS
+    return placed.join(F.broadcast(starts) if few else starts, "path").filter(body).select(lines.columns)
 
 
 def scan_master_index(
@@ -62,7 +62,7 @@ def scan_master_index(
 ) -> DataFrame:
     """Index files to rows with the year and quarter of their path.
 
-    With ``exact_headers`` off, nothing is written beforehand and a data line above
+    With ``exact_headers`` off, files are read once instead of twice and a data line above
     the dashes would be kept; the header's own line falls to the form filter anyway.
     """
     lines = spark.read.text(paths).select(

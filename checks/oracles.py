@@ -490,6 +490,12 @@ def chunked(source: str, size: int) -> tuple[str, str]:
     return CHUNKED[0], CHUNKED[1].format(source=source, size=size)
 
 
+REQUIRED_FIELDS = [
+    "forecast_metric", "time_horizon", "estimate_type", "unit", "direction", "confidence_language", "is_adjusted",
+    "context_sentence",
+]
+
+
 def oracles() -> dict[str, str]:
     o: dict[str, str] = {}
     # sources
@@ -644,6 +650,7 @@ def oracles() -> dict[str, str]:
         "SELECT accession_number, form_type FROM press "
         "WHERE accession_number NOT IN (SELECT accession_number FROM ledger)"
     )
+    o["j2_large_ledger"] = o["j2_exclude_processed"]
     o["j3_lookup_metric"] = mapped + (
         "SELECT accession_number, item_ord, forecast_metric, metric FROM bounds"
     )
@@ -705,7 +712,7 @@ def oracles() -> dict[str, str]:
         "SELECT cik_padded, filed AS date_filed, metric, val1, val2, accession_number, ticker FROM uniq"
     )
     o["d3_dedup_ledger"] = chain(("press", inputs.PRESS), LEDGER) + (
-        "SELECT accession_number FROM ledger UNION SELECT accession_number FROM press WHERE form_type = '8-K'"
+        "SELECT accession_number FROM ledger UNION SELECT accession_number FROM press"
     )
     o["o1_sort_index"] = index + "SELECT date_filed, cik, filename FROM idx"
     panel_sort = (
@@ -735,6 +742,13 @@ def oracles() -> dict[str, str]:
     requests = chain(*REQUESTS)
     o["x2_render_requests"] = requests + "SELECT accession_number, request FROM requests"
     o["x3_parse_responses"] = mapped + "SELECT * FROM items"
+    o["x3_rejected_items"] = mapped + "SELECT * FROM items WHERE problem IS NOT NULL"
+    o["x3_accepted_items"] = mapped + "SELECT * EXCLUDE (problem) FROM items WHERE problem IS NULL"
+    o["x3_item_manifest"] = mapped + (
+        "SELECT count(*) FILTER (problem IS NULL) AS accepted, count(*) FILTER (problem IS NOT NULL) AS rejected, "
+        + ", ".join(f"count(*) FILTER (problem = {q(n)}) AS rejected_{n}" for n in REQUIRED_FIELDS)
+        + " FROM items"
+    )
     o["x4_map_to_guidance"] = mapped + (
         f"SELECT accession_number, cik, item_ord AS sent_ord, forecast_metric, fiscal_year, estimate_type, value_low, "
         f"value_high, value_point, unit, direction, confidence_language, is_adjusted, metric, is_range, val1, val2, "

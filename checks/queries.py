@@ -601,7 +601,7 @@ def d2_dedup_panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def d3_dedup_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return panel.dedup_ledger(ledger(spark, d), press(spark, d).filter("form_type = '8-K'"))
+    return panel.dedup_ledger(ledger(spark, d), press(spark, d))
 
 
 def o1_sort_index(spark: SparkSession, d: str) -> DataFrame:
@@ -700,6 +700,33 @@ def x3_parse_responses(spark: SparkSession, d: str) -> DataFrame:
     return model.parse_responses(view(spark, d, inputs.RESPONSES))
 
 
+def x3_rejected_items(spark: SparkSession, d: str) -> DataFrame:
+    """Accepted and rejected items, written by one reading of the answers; the rejected ones."""
+    path = fresh_folder(spark, "answers")
+    model.store_items(view(spark, d, inputs.RESPONSES), path)
+    return model.read_items(spark, path, accepted=False)
+
+
+def x3_accepted_items(spark: SparkSession, d: str) -> DataFrame:
+    """The accepted ones of the same two tables."""
+    path = fresh_folder(spark, "answers")
+    model.store_items(view(spark, d, inputs.RESPONSES), path)
+    return model.read_items(spark, path, accepted=True)
+
+
+def x3_item_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """How many items were accepted, and rejected for which field."""
+    path = fresh_folder(spark, "answers")
+    model.store_items(view(spark, d, inputs.RESPONSES), path)
+    return spark.read.parquet(f"{path}/manifest")
+
+
+def j2_large_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """J2 as it runs against a ledger that is not proven small."""
+    todo = joins.exclude_processed(press(spark, d), ledger(spark, d), max_rows=0)
+    return todo.select("accession_number", "form_type")
+
+
 def x4_map_to_guidance(spark: SparkSession, d: str) -> DataFrame:
     return items_as_guidance(spark, d)
 

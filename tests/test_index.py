@@ -70,3 +70,24 @@ def test_years_without_files_are_skipped(spark, tmp_path):
         (2004, 1), (2006, 3),
     ]
     assert index.columns == schemas.FILING_INDEX.fieldNames()
+
+
+def test_lines_are_neither_written_nor_shuffled(spark, tmp_path):
+    put(tmp_path / "2024/QTR1", HEADER + BODY)
+    df = scan_master_index(spark, f"{tmp_path}/*/*")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ExistingRDD" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # of the files' starts
+
+
+def test_headers_of_split_files_with_carriage_returns(spark, tmp_path):
+    body = "".join(f"{i}|FIRM {i}|8-K|2025-01-30|edgar/data/{i}/1/f.txt\r\n" for i in range(2000))
+    for quarter in (1, 2, 3):
+        put(tmp_path / f"2025/QTR{quarter}", HEADER.replace("\n", "\r\n") + body)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        rows = scan_master_index(spark, f"{tmp_path}/*/*").groupBy("quarter").count().collect()
+        assert {(r["quarter"], r["count"]) for r in rows} == {(1, 2000), (2, 2000), (3, 2000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)

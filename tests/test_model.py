@@ -198,3 +198,36 @@ def test_no_item_is_lost(spark, texts):
     rows = build_guidance_model(texts("x"), Odd, fresh_folder(spark, "outcomes"), wait=0.0).orderBy("sent_ord").collect()
     assert [(r["metric"], r["problem"]) for r in rows] == [("EBITDA", "unit"), ("Backlog", "forecast_metric"), ("EBITDA", None)]
     assert rows[2]["val1"] is None
+
+
+def test_accepted_and_rejected_items_are_all_items_each_once(spark, tmp_path):
+    item = {
+        "forecast_metric": "EPS", "time_horizon": "Q1", "fiscal_year": 2025, "estimate_type": "point", "value_low": None,
+        "value_high": None, "value_point": 1.5, "unit": "per_share", "direction": "issues", "confidence_language": "expects",
+        "is_adjusted": False, "context_sentence": "We expect.",
+    }
+    answers = [
+        ("a", json.dumps({"guidance_items": [item, {**item, "unit": "euros"}, {**item, "is_adjusted": None}]})),
+        ("a", json.dumps({"guidance_items": [item]})), ("b", "no json"), ("c", json.dumps({"guidance_items": []})), ("d", None),
+    ]
+    df = spark.createDataFrame(answers, "accession_number string, response string")
+    manifest = model.store_items(df, f"{tmp_path}/t")
+    assert manifest == {f"rejected_{n}": 0 for n in model._REQUIRED} | {
+        "accepted": 2, "rejected": 2, "rejected_unit": 1, "rejected_is_adjusted": 1,
+    }
+    assert spark.read.parquet(f"{tmp_path}/t/manifest").first().asDict() == manifest
+    good, bad = (model.read_items(spark, f"{tmp_path}/t", accepted) for accepted in (True, False))
+    whole = model.parse_responses(df)
+    assert good.columns == [c for c in whole.columns if c != "problem"] and bad.columns == whole.columns
+    both = good.withColumn("problem", F.lit(None).cast("string")).unionByName(bad)
+    assert sorted(map(str, both.select(whole.columns).collect())) == sorted(map(str, whole.collect()))
+    empty = model.store_items(df.filter("false"), f"{tmp_path}/none")
+    assert empty["accepted"] == empty["rejected"] == 0
+
+
+def test_rejected_items_are_read_without_the_accepted_ones_files(spark, tmp_path):
+    item = {"forecast_metric": "Tea"}
+    df = spark.createDataFrame([("a", json.dumps({"guidance_items": [item]}))], "accession_number string, response string")
+    model.store_items(df, f"{tmp_path}/t")
+    plan = model.read_items(spark, f"{tmp_path}/t", accepted=False)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(accepted" in plan
