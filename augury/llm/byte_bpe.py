@@ -48,9 +48,17 @@ def _field(number: int, value: bytes | int | float) -> bytes:
     return _varint(number << 3) + _varint(value)
 
 
+_STAND_INS = {b: BYTE_BASE + b for b in range(256)}
+
+
 def stand_in(data: bytes) -> str:
     """A character for each byte."""
-    return "".join(chr(BYTE_BASE + b) for b in data)
+    return data.decode("latin-1").translate(_STAND_INS)
+
+
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def serialised(ranks: dict[bytes, int]) -> bytes:
@@ -93,19 +101,21 @@ class ByteBpe:
     def _learn(self, chunks: set[str]) -> None:
         if len(self.parts) > self.remember:
             self.parts.clear()
-        split = {chunk: self.pattern.findall(chunk) for chunk in chunks}
-        new = []
-        for part in {p for own in split.values() for p in own if p not in self.parts}:
+        parts, whole, find = self.parts, self.whole, self.pattern.findall
+        split = [(chunk, find(chunk)) for chunk in chunks]
+        new, coded = [], []
+        for part in {p for _, own in split for p in own}.difference(parts):
             data = part.encode()
             # As usual for these vocabularies, a match that is a token is that token.
-            if data in self.whole:
-                self.parts[part] = self.whole[data]
+            if data in whole:
+                parts[part] = whole[data]
             else:
                 new.append(part)
-        for part, ids in zip(new, self.model.encode([stand_in(p.encode()) for p in new], num_threads=1)):
-            self.parts[part] = np.array(ids, "<u4").tobytes()
-        for chunk, own in split.items():
-            self.known[chunk] = b"".join(map(self.parts.__getitem__, own))
+                coded.append(stand_in(data))
+        for part, ids in zip(new, self.model.encode(coded, num_threads=1)):
+            parts[part] = packed(ids)
+        for chunk, own in split:
+            self.known[chunk] = parts[own[0]] if len(own) == 1 else b"".join(map(parts.__getitem__, own))
 
     def encode(self, text: str) -> bytes:
         """Ids of the text's matches, one after the other.
@@ -128,7 +138,7 @@ class ByteBpe:
             return b"".join(map(self.known.__getitem__, chunks))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 #: A space at an end of the text or beside other white space.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -58,22 +59,27 @@ class WordTokenizer:
         self.remember = remember
 
     def _part(self, part: str) -> bytes:
-        if part not in self.parts:
-            if len(self.parts) > self.remember:
-                self.parts.clear()
-            coded = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-            self.parts[part] = np.array([token.id for token in coded], "<u4").tobytes()
-        return self.parts[part]
+        coded = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
+        return struct.pack(f"<{len(coded)}I", *[token.id for token in coded])
 
     def learn(self, chunks: list[str]) -> None:
+        if len(self.parts) > self.remember:
+            self.parts.clear()
         other = []
+        parts, known = self.parts, self.known
+        plain, split = _PLAIN.fullmatch, _PARTS.findall
         for chunk in chunks:
-            if _PLAIN.fullmatch(chunk):
-                self.known[chunk] = b"".join(map(self._part, _PARTS.findall(chunk.lower())))
-            else:
+            if not plain(chunk):
                 other.append(chunk)
+                continue
+            own = split(chunk.lower())
+            for part in own:
+                if part not in parts:
+                    parts[part] = self._part(part)
+            known[chunk] = parts[own[0]] if len(own) == 1 else b"".join(map(parts.__getitem__, own))
         for chunk, coded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self.known[chunk] = np.array(coded.ids, "<u4").tobytes()
+            ids = coded.ids
+            self.known[chunk] = struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         chunks = text.replace("\n", " ").split(" ")
