@@ -85,7 +85,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if _DIGIT.search(text):
         if "." in text:
             for m in _IP.finditer(text):
-                if all(len(p) < 2000 and int(p) <= 255 for p in m.group().split(".")):
+                if all(len(p) <= 3 and int(p or 0) <= 255 for p in (q.lstrip("0") for q in m.group().split("."))):
                     found.append((m.start(), 1, m.end()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() >= 14:

@@ -367,3 +367,12 @@ def test_damaged_archives_are_refused():
     for broken in (whole[:-6], b"x" + whole):
         with pytest.raises(ValueError):
             list(warc.parse_archive(broken))
+
+
+def test_address_parts_may_have_any_number_of_leading_zeros():
+    from augury.llm.pii import base_spans
+
+    long = "0" * 2500 + "1.2.3.004"
+    assert base_spans(long) == [(0, 1, len(long))]
+    assert base_spans("0" * 6000 + ".0.0.255") == [(0, 1, 6008)]
+    assert base_spans("0" * 2500 + "256.2.3.4") == [] and base_spans("1.2.3." + "9" * 5000) == []
