@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from augury.llm.ngram_join import NO_ID
 from augury.llm.shared import bit_map, in_map, rows_of, written
 from augury.llm.words import blocks, buffer_of, mixed, run_hashes, word_hashes
 from augury.session import freeze
@@ -24,6 +23,9 @@ SIDE = SPAN - 1
 #: Windows that a task passes on at a time.
 WINDOWS = 1 << 18
 
+#: Rows without id are numbered from the least number upwards; ids of documents start here.
+FIRST_ID = -(2**62)
+
 _KEPT = "doc_id long, pos long, before long, after long, gram long, full long"
 
 
@@ -133,14 +135,36 @@ def _windows(packed: np.ndarray):
     return run
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """A number of its own for each row without id; those rows are written, so that it lasts."""
+    number = F.monotonically_increasing_id() + F.lit(-(2**63))
+    alone = written(rows.filter("doc_id is null").withColumn("doc_id", number), "without-id")
+    return rows.filter("doc_id is not null").unionByName(alone)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of each document, sorted by start, joined where they touch; in one pass."""
+    for batch in batches:
+        out = []
+        for spans in batch.column("all"):
+            flat = spans.values
+            start, stop = (flat.field(name).to_numpy() for name in ("start", "stop"))
+            reach = np.maximum.accumulate(stop)
+            first = np.flatnonzero(np.append(True, start[1:] > reach[:-1]))
+            ends = reach[np.append(first[1:], len(start)) - 1]
+            out.append([{"start": a, "stop": b} for a, b in zip(start[first].tolist(), ends.tolist())])
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, kind)], ["doc_id", "spans"])
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_repeated, spans`` per row: passages that other documents have too.
 
     ``spans`` are (start, stop) in words, the stop exclusive, merged and in order; every passage
     of 50 words or more that another document has lies in them. Words are runs of anything but
     ASCII white space, and case counts. Null, empty and shorter texts have none. Rows that
-    repeat an id are one document, whose spans they share; rows without id count as one. An
-    empty table gives no rows.
+    repeat an id are one document, whose spans they share; each row without id is a document of
+    its own. Ids are at least -2**62. An empty table gives no rows.
 
     * Of every 35 successive runs of 16 words the one with the least hash is kept, so that any
       shared passage of 50 words shares a kept run.
@@ -152,7 +176,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
       known by 64 bits of hash.
     """
     rows = rows_of(docs, id_col, text_col).withColumnRenamed(text_col, "text")
-    rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    rows = _numbered(rows)
     kept = written(rows.mapInArrow(_kept, _KEPT), "suffixes")
     ends = [F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
     shared = freeze(kept.groupBy("gram").agg(*ends).filter("low <> high").select("gram"))
@@ -179,16 +203,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
     merged = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("all"))
     empty = F.array().cast("array<struct<start: bigint, stop: bigint>>")
-
-    def add(done, span):
-        last = F.get(done, F.size(done) - 1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["stop"], span["stop"]).alias("stop"))
-        return F.when(
-            (F.size(done) > 0) & (span["start"] <= last["stop"]),
-            F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined)),
-        ).otherwise(F.concat(done, F.array(span)))
-
-    merged = merged.select("doc_id", F.aggregate("all", empty, add).alias("spans"))
+    merged = merged.mapInArrow(_merged, "doc_id long, spans array<struct<start: long, stop: long>>")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,5 +217,5 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     spans = F.coalesce("spans", empty)
     total = F.aggregate(spans, F.lit(0).cast("long"), lambda t, s: t + s["stop"] - s["start"])
     return sizes.join(merged, "doc_id", "left").select(
-        F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "n_words", total.alias("n_repeated"), spans.alias("spans")
+        F.when(F.col("doc_id") >= FIRST_ID, F.col("doc_id")).alias("doc_id"), "n_words", total.alias("n_repeated"), spans.alias("spans")
     )
