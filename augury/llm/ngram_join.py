@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from augury.bitmaps import BITS, may_be_in, packed_bits
 from augury.llm.graph import components
 from augury.llm.shared import VECTOR, bit_map, in_map, rows_of, summed, vector_rows, written
 from augury.llm.words import SHINGLE, mixed, text_shingles
@@ -22,10 +23,8 @@ COUNTERS = 1 << 20
 #: The global order is cut into so many fragments of equal weight.
 FRAGMENTS = 8
 _HASH_BITS = 58
-#: Stands for a missing id, so that it is never the smallest beside others.
-NO_ID = 2**63 - 1
 
-_HEAD = "doc_id long, n long, node long, rare long, last long, tokens binary"
+_HEAD = "doc_id long, key long, n long, node long, rare long, last long, tokens binary"
 
 
 # --- the global order ---------------------------------------------------------
@@ -68,7 +67,7 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def global_order(rows: DataFrame) -> Order:
     """Count every shingle of every document; what comes back is one number per counter."""
     counts = summed(rows.mapInArrow(_tally, VECTOR), COUNTERS)
-    classes = np.log2(counts.astype(np.float64) + 1).astype(np.uint8)
+    classes = np.minimum(np.log2(counts.astype(np.float64) + 1), 31).astype(np.uint8)
     weight = np.bincount(classes, counts.astype(np.float64), minlength=64)
     ends = np.cumsum(weight)
     pivots = []
@@ -113,8 +112,9 @@ def _heads(order, percent: int, size: int):
                 rare.append(-int(common) * 1000 // max(1, len(numbers)))
                 last.append(int(first[-1:].view(np.int64)[0]) if len(first) else 0)
                 tokens.append(first.tobytes())
+            kept = [batch.column("doc_id"), batch.column("key")]
             columns = [*[pa.array(c, pa.int64()) for c in (n, node, rare, last)], pa.array(tokens, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n", "node", "rare", "last", "tokens"])
+            yield pa.RecordBatch.from_arrays([*kept, *columns], ["doc_id", "key", "n", "node", "rare", "last", "tokens"])
 
     return run
 
@@ -132,8 +132,9 @@ def _postings(packed: np.ndarray | None):
             columns = [tokens, np.repeat(nodes, sizes)]
             names = ["token", "node"]
             if packed is None:
-                columns.append(np.repeat(batch.column("rare").to_numpy()[at], sizes))
-                names.append("rare")
+                for name in ("rare", "n"):
+                    columns.append(np.repeat(batch.column(name).to_numpy()[at], sizes))
+                    names.append(name)
             else:
                 for name in ("n", "last"):
                     columns.append(np.repeat(batch.column(name).to_numpy()[at], sizes))
@@ -146,30 +147,35 @@ def _postings(packed: np.ndarray | None):
 
 
 def _segments(order, packed: np.ndarray, size: int):
-    """Whole sets of the documents asked for, cut into the fragments of the order."""
+    """Whole sets of the rows asked for, cut into the fragments of the order; a task gives each set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
-            batch = batch.filter(pa.array(in_map(packed, batch.column("hash").to_numpy())))
-            ids, fragment, tokens = [], [], []
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), text_shingles(batch.column("text"), size=size)):
+            batch = batch.filter(pa.array(in_map(packed, batch.column("key").to_numpy())))
+            nodes, fragment, tokens = [], [], []
+            for own in text_shingles(batch.column("text"), size=size):
                 numbers = order.value.numbers(own)
+                node = _node(numbers)
+                if node in seen:
+                    continue
+                seen.add(node)
                 cuts = np.searchsorted(numbers, order.value.pivots)
                 for k, part in enumerate(np.split(numbers, cuts)):
                     if len(part):
-                        ids.append(doc_id)
+                        nodes.append(node)
                         fragment.append(k)
                         tokens.append(part.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(fragment, pa.int32()), pa.array(tokens, pa.binary())],
-                ["id", "fragment", "tokens"],
+                [pa.array(nodes, pa.int64()), pa.array(fragment, pa.int32()), pa.array(tokens, pa.binary())],
+                ["node", "fragment", "tokens"],
             )
 
     return run
 
 
 def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many shingles two documents share within a fragment."""
+    """How many shingles two sets share within a fragment."""
     for batch in batches:
         shared = []
         for left, right in zip(batch.column("left"), batch.column("right")):
@@ -179,31 +185,31 @@ def _partial_overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             at = np.searchsorted(y, x)
             at[at == len(y)] = 0
             shared.append(int((y[at] == x).sum()))
-        kept = [batch.column(c) for c in ("a", "b", "n_a", "n_b", "fragment")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(shared, pa.int64())], ["a", "b", "n_a", "n_b", "fragment", "shared"])
+        kept = [batch.column(c) for c in ("x", "y", "n_x", "n_y", "fragment")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(shared, pa.int64())], ["x", "y", "n_x", "n_y", "fragment", "shared"])
 
 
-def verified(rows: DataFrame, pairs: DataFrame, order, percent: int, size: int) -> DataFrame:
-    """The pairs (a, b, n_a, n_b) whose sets are similar enough.
+def verified(rows: DataFrame, nodes: DataFrame, pairs: DataFrame, order, percent: int, size: int) -> DataFrame:
+    """Those pairs (x, y, n_x, n_y) of nodes whose sets are similar enough, as links (a, b).
 
-    The sets of all documents in pairs are made again from their texts, cut into fragments; the
-    overlaps of a pair are counted fragment by fragment, then summed. A document in many pairs
-    is a hot key of joins that Spark splits.
+    The sets of all nodes in pairs are made again from one of their rows' texts, cut into
+    fragments; the overlaps of a pair are counted fragment by fragment, then summed. A node in
+    many pairs is a hot key of joins that Spark splits.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    packed = bit_map(ids, F.xxhash64("id"))
-    hashed = rows.withColumn("hash", F.xxhash64("doc_id"))
-    segments = hashed.mapInArrow(_segments(order, packed, size), "id long, fragment int, tokens binary")
-    left = segments.select(F.col("id").alias("a"), "fragment", F.col("tokens").alias("left"))
-    right = segments.select(F.col("id").alias("b"), "fragment", F.col("tokens").alias("right"))
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    packed = bit_map(nodes.select("node", F.col("least.key").alias("key")).join(wanted, "node"), F.col("key"))
+    segments = rows.mapInArrow(_segments(order, packed, size), "node long, fragment int, tokens binary")
+    # Rows that repeat id and text give their set once a task; the pairs meet it once.
+    segments = written(segments.dropDuplicates(["node", "fragment"]), "segments")
+    left = segments.select(F.col("node").alias("x"), "fragment", F.col("tokens").alias("left"))
+    right = segments.select(F.col("node").alias("y"), "fragment", F.col("tokens").alias("right"))
     cut = pairs.withColumn("fragment", F.explode(F.array(*[F.lit(k) for k in range(FRAGMENTS)])))
-    both = cut.join(left, ["a", "fragment"]).join(right, ["b", "fragment"])
-    both = both.select("a", "b", "n_a", "n_b", "fragment", "left", "right")
-    counted = both.mapInArrow(_partial_overlaps, "a long, b long, n_a long, n_b long, fragment int, shared long")
-    # A repeated row counts once.
-    once = counted.groupBy("a", "b", "n_a", "n_b", "fragment").agg(F.max("shared").alias("shared"))
-    total = once.groupBy("a", "b", "n_a", "n_b").agg(F.sum("shared").alias("shared"))
-    return total.filter(100 * F.col("shared") >= percent * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
+    both = cut.join(left, ["x", "fragment"]).join(right, ["y", "fragment"])
+    both = both.select("x", "y", "n_x", "n_y", "fragment", "left", "right")
+    counted = both.mapInArrow(_partial_overlaps, "x long, y long, n_x long, n_y long, fragment int, shared long")
+    total = counted.groupBy("x", "y", "n_x", "n_y").agg(F.sum("shared").alias("shared"))
+    enough = 100 * F.col("shared") >= percent * (F.col("n_x") + F.col("n_y") - F.col("shared"))
+    return total.filter(enough).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
 
 # --- the join -------------------------------------------------------------------
@@ -213,44 +219,24 @@ def _ratio(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def similar_documents(
-    docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id``.
-
-    A document's set has the distinct runs of ``size`` words, A to Z in lower case; with fewer
-    words, the run of all; without words, or with a null text, it is empty and linked with
-    nothing. Two documents link when they share at least ``percent`` of their sets' union, and
-    ``component_id`` is the smallest id that links reach. Missing ids are no one's smallest id
-    unless all are missing; rows that repeat an id share its component. An empty table gives no
-    rows; other columns are not looked at.
-
-    * Shingles are counted over all documents, which gives the global order, rare ones first.
-    * Equal sets are one node. Two similar sets share one of their first shingles in the order.
-    * First, every node is compared with one leader: of each shingle it shares, the node whose
-      shingles are the most common is a candidate, and the one it shares most with is taken.
-      Most links are found so, however many copies there are, and become components.
-    * Then whoever is not in a shingle's largest component is compared with the nodes of other
-      components there, unless the shared part of their first shingles rules it out. A pair in
-      one component needs no comparison, so no group is expanded into all its pairs, and no
-      pair in different components is left out.
+def grouped(docs: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: ``doc_id, key, n_shingles, component_id, least``.
 
-    Shingles and sets are known by 58 and 64 bits of hash: a pair of a billion sets is confused
-    with a probability of about 3 %.
+    ``key`` is ``xxhash64`` of the id and the text; ``least`` holds for the rows whose id is the
+    smallest of their component (without any id: whose key is), and for rows linked with nothing.
     """
     rows = rows_of(docs, id_col, text_col).withColumnRenamed(text_col, "text")
-    rows = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
-    spark = rows.sparkSession
-    order = spark.sparkContext.broadcast(global_order(rows))
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    order = rows.sparkSession.sparkContext.broadcast(global_order(rows))
     heads = written(rows.mapInArrow(_heads(order, percent, size), _HEAD), "heads")
     some = heads.filter("n > 0")
-    real = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
-    nodes = written(some.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")), "nodes")
+    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("least")
+    nodes = written(some.groupBy("node").agg(first_row, F.first("n").alias("n")), "nodes")
 
     shared = written(
-        some.mapInArrow(_postings(None), "token long, node long, rare long").groupBy("token")
-        .agg(F.min(F.struct("rare", "node"))["node"].alias("least"), F.count(F.lit(1)).alias("rows"))
-        .filter("rows > 1").select("token", "least"),
+        some.mapInArrow(_postings(None), "token long, node long, rare long, n long").groupBy("token")
+        .agg(F.min(F.struct("rare", "node", "n")).alias("least"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1").select("token", F.col("least.node").alias("least"), F.col("least.n").alias("n_least")),
         "shared",
     )
     packed = bit_map(shared, F.col("token"))
@@ -258,39 +244,41 @@ def similar_documents(
         some.mapInArrow(_postings(packed), "token long, node long, n long, last long, at long"), "hits"
     )
 
-    def named(pairs: DataFrame) -> DataFrame:
-        """Node pairs (x, y) as pairs of the documents that stand for them."""
-        for end, name in (("x", "a"), ("y", "b")):
-            pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("rep").alias(name), F.col("n").alias(f"n_{name}")), end)
-        return pairs.filter(_ratio("n_a", "n_b", percent)).select("a", "b", "n_a", "n_b")
-
-    star = hits.join(shared, "token").filter("node <> least").groupBy(F.col("least").alias("x"), F.col("node").alias("y"), "n")
+    star = hits.join(shared, "token").filter((F.col("node") != F.col("least")) & _ratio("n", "n_least", percent))
+    star = star.groupBy(F.col("least").alias("x"), F.col("node").alias("y"), F.col("n_least").alias("n_x"), F.col("n").alias("n_y"))
+    star = star.agg(F.count(F.lit(1)).alias("common")).filter(32 * F.col("common") >= F.col("n_y"))
     # With the one it shares most with: a second leader would mostly say the same.
-    star = star.agg(F.count(F.lit(1)).alias("common")).filter(32 * F.col("common") >= F.col("n"))
-    star = star.groupBy("y").agg(F.max(F.struct("common", (-F.col("x")).alias("x")))["x"].alias("x")).select((-F.col("x")).alias("x"), "y")
-    links = written(verified(rows, written(named(star), "star"), order, percent, size), "links")
-    found = components(links)
-
-    by_rep = found.join(nodes.select(F.col("rep").alias("node"), F.col("node").alias("of")), "node")
-    labels = nodes.join(by_rep.select(F.col("of").alias("node"), "component"), "node", "left").select(
-        "node", F.coalesce("component", "rep").alias("component")
-    )
-    labelled = hits.join(freeze(labels), "node")
-    counts = labelled.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed_tokens = freeze(
-        counts.groupBy("token").agg(F.max(F.struct("n", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("parts"))
-        .filter("parts > 1").select("token", "top")
+    star = star.groupBy("y", "n_y").agg(F.max(F.struct("common", "x", "n_x")).alias("best"))
+    star = written(star.select("best.x", "y", "best.n_x", "n_y"), "star")
+    links = written(verified(rows, nodes, star, order, percent, size), "links")
+    labels = freeze(
+        nodes.select("node").join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     )
-    mixed_hits = written(labelled.join(mixed_tokens, "token"), "mixed")
-    l = mixed_hits.filter("component <> top").select("token", *[F.col(c).alias(f"{c}_l") for c in ("node", "n", "last", "at", "component")])
-    r = mixed_hits.select("token", "top", *[F.col(c).alias(f"{c}_r") for c in ("node", "n", "last", "at", "component")])
+
+    # Only shingles that stand in several components can bring two of them together.
+    labelled = hits.join(labels, "node")
+    tops = labelled.groupBy("token", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("token")
+    tops = tops.agg(F.max(F.struct("n", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("parts"))
+    tops = freeze(tops.filter("parts > 1").select("token", "top"))
+    open_hits = written(labelled.join(tops, "token").dropDuplicates(["token", "node"]), "open")
+    # How many of its first shingles a node can share with another component at most.
+    chances = freeze(open_hits.groupBy("node", "n").agg(F.count(F.lit(1)).alias("chances")))
+    met = open_hits.join(chances.select("node", "chances"), "node")
+    l = met.filter("component <> top").select("token", *[F.col(c).alias(f"{c}_l") for c in ("node", "n", "last", "at", "component", "chances")])
+    r = met.select("token", "top", *[F.col(c).alias(f"{c}_r") for c in ("node", "n", "last", "at", "component", "chances")])
     # Two sets share, beside this shingle, no more than what both have before it and behind it.
     around = F.least("at_l", "at_r") + 1 + F.least(F.col("n_l") - F.col("at_l"), F.col("n_r") - F.col("at_r")) - 1
+    # Whichever first part ends earlier in the order shares no more of itself than its open shingles,
+    # and of its other part no more than all.
+    rest = lambda n: F.floor(F.col(n) * percent / 100 + 0.999) - 1
+    needed = lambda a, b: F.ceil((F.col(a) + F.col(b)) * percent / (100 + percent) - 1e-9)
+    at_most = F.when(F.col("last_l") <= F.col("last_r"), F.col("chances_l") + rest("n_l")).otherwise(F.col("chances_r") + rest("n_r"))
     crossing = l.join(r, "token").filter(
         (F.col("component_l") != F.col("component_r"))
         & ((F.col("component_r") == F.col("top")) | (F.col("node_l") < F.col("node_r")))
         & _ratio("n_l", "n_r", percent)
         & ((100 + percent) * around >= percent * (F.col("n_l") + F.col("n_r")))
+        & (at_most >= needed("n_l", "n_r"))
     )
     turn = F.col("node_l") < F.col("node_r")
     one = lambda c: F.when(turn, F.col(f"{c}_l")).otherwise(F.col(f"{c}_r"))
@@ -299,31 +287,64 @@ def similar_documents(
         one("node").alias("x"), two("node").alias("y"), one("n").alias("n_x"), two("n").alias("n_y"),
         one("last").alias("last_x"), two("last").alias("last_y"),
     ).groupBy("x", "y", "n_x", "n_y", "last_x", "last_y").agg(F.count(F.lit(1)).alias("common"))
-    # Whichever first part ends earlier in the order shares no more of itself than was counted.
-    rest = lambda n: F.floor(F.col(n) * percent / 100 + 0.999) - 1
+    # The same with the shingles that they do share.
     most = F.col("common") + F.when(F.col("last_x") <= F.col("last_y"), rest("n_x")).otherwise(rest("n_y"))
-    needed = F.ceil((F.col("n_x") + F.col("n_y")) * percent / (100 + percent) - 1e-9)
-    crossing = written(named(crossing.filter(most >= needed).select("x", "y")), "crossing")
-    more = written(verified(rows, crossing, order, percent, size), "links")
-    joined = components(links.union(more))
-
-    best = nodes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "node", F.coalesce("component", "rep").alias("component")
+    crossing = written(crossing.filter(most >= needed("n_x", "n_y")).select("x", "y", "n_x", "n_y"), "crossing")
+    more = written(verified(rows, nodes, crossing, order, percent, size), "more")
+
+    last = nodes.select("node", "least").join(components(links.union(more)), "node", "left")
+    last = freeze(last.select("node", "least", F.coalesce("component", "node").alias("component")))
+    best = last.groupBy("component").agg(F.min("least").alias("best"))
+    named = freeze(last.join(best, "component").select("node", "best"))
+    least = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("key") == F.col("best.key"))
+    empty = heads.filter("n = 0").select(
+        "doc_id", "key", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(True).alias("least")
     )
-    own = F.when(F.col("component") != NO_ID, F.col("component"))
-    empty = heads.filter("n = 0").select(real.alias("doc_id"), F.col("n").alias("n_shingles"), real.alias("component_id"))
-    return some.select("doc_id", "n", "node").join(freeze(best), "node").select(
-        real.alias("doc_id"), F.col("n").alias("n_shingles"), own.alias("component_id")
+    return some.select("doc_id", "key", "n", "node").join(named, "node").select(
+        "doc_id", "key", F.col("n").alias("n_shingles"), F.col("best.doc_id").alias("component_id"), least.alias("least")
     ).union(empty)
 
 
+def similar_documents(
+    docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per input row: ``doc_id, n_shingles, component_id``.
+
+    A document's set has the distinct runs of ``size`` words, A to Z in lower case; with fewer
+    words, the run of all; without words, or with a null text, it is empty and linked with
+    nothing. Two documents link when they share at least ``percent`` of their sets' union, and
+    ``component_id`` is the smallest id that links reach. Rows without an id are documents of
+    their own and no one's smallest id unless all are missing; so are rows that repeat an id
+    with another text. An empty table gives no rows; other columns are not looked at.
+
+    * Shingles are counted over all documents, which gives the global order, rare ones first.
+    * Equal sets are one node, and everything up to the result is named by nodes. Two similar
+      sets share one of their first shingles in the order.
+    * First, every node is compared with one leader: of each shingle it shares, the node whose
+      shingles are the most common is a candidate, and the one it shares most with is taken.
+      Most links are found so, however many copies there are, and become components.
+    * Then whoever is not in a shingle's largest component is compared with the nodes of other
+      components there, unless the shared part of their first shingles rules it out: by its
+      place, or because too few of a node's first shingles stand in another component at all.
+      A pair in one component needs no comparison, so no group is expanded into all its pairs,
+      and no pair in different components is left out.
+
+    Shingles and sets are known by 58 and 64 bits of hash: a pair of a billion sets is confused
+    with a probability of about 3 %.
+    """
+    return grouped(docs, percent, size, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
 def one_of_each_group(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows whose id is the smallest of their component, with all their columns.
 
-    Rows without an id stay: nothing says which of them to keep.
+    In a component without any id, the row whose id and text have the smallest hash stays. Rows
+    that repeat an id and its text stay or go together. Rows that share no hash with one to be
+    dropped, by a bit map, pass without a shuffle.
     """
-    found = similar_documents(docs, percent, id_col=id_col, text_col=text_col)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    with_id = docs.filter(docs[id_col].isNotNull())
-    stay = with_id.join(kept, with_id[id_col].cast("long") == kept["_kept_id"], "left_semi")
-    return stay.union(docs.filter(docs[id_col].isNull()))
+    found = written(grouped(docs, percent, SHINGLE, id_col, text_col).filter("not least").select("doc_id", "key").distinct(), "dropped")
+    gone = found.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key"))
+    own_id, own_text = docs[id_col].cast("long"), docs[text_col].cast("string")
+    looked_at = may_be_in(packed_bits(gone, F.col("_gone_key"), BITS), own_id, own_text)
+    same = own_id.eqNullSafe(gone["_gone_id"]) & (F.xxhash64(own_id, own_text) == gone["_gone_key"])
+    return docs.filter(~looked_at).union(docs.filter(looked_at).join(gone, same, "left_anti"))

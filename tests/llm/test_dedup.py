@@ -150,6 +150,37 @@ def test_jaccard_odd_rows(odd):
     assert {r["doc_id"] for r in stay.collect()} == {1, 3, 4, 5, 6, 8, 9, 11, 12, None}
 
 
+def test_rows_without_id_or_with_the_same_id_link_nobody_else(spark):
+    def near(k, end):
+        return " ".join(f"t{k}w{i}" for i in range(60)) + end
+
+    rows = [(1, near(1, " a")), (2, near(2, " a")), (None, near(1, " b")), (None, near(2, " b"))]
+    rows += [(7, near(3, " a")), (7, near(4, " a")), (5, near(4, " b")), (None, near(5, " a")), (None, near(5, " b"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in similar_documents(df).collect())
+    assert found == [(0, 0), (0, 0), (0, 1), (0, 2), (1, 1), (2, 2), (5, 5), (7, 5), (7, 7)]
+    stay = [(r["doc_id"], r["text"]) for r in one_of_each_group(df).collect()]
+    assert sorted(s for s in stay if s[0]) == [(1, rows[0][1]), (2, rows[1][1]), (5, rows[6][1]), (7, rows[4][1])]
+    assert len([s for s in stay if s[0] is None]) == 1
+
+
+def test_near_copies_of_many_kinds_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(80)]
+    rows = []
+    for k in range(260):  # changed a little or a lot, some in the same way
+        words = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 5, 8])):
+            words[rng.randrange(80)] = f"c{rng.randrange(6) if k % 2 else k}"
+        rows.append((k, " ".join(words[: rng.choice([80, 80, 70, 62])] + [f"e{k % 9}x{i}" for i in range(rng.choice([0, 4, 12]))])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similar_documents(df).collect()}
+    expected = brute_components(rows)
+    assert found == expected and 3 < len({c for _, c in expected.values()}) < 200
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 100])
 def test_similar_sets_share_a_first_shingle(n):
     least = -(-75 * n // 100)
@@ -196,6 +227,17 @@ def test_no_partner_is_hidden_by_others_that_share_the_run(spark):
     assert {r["doc_id"]: covered(r["spans"]) for r in found} == brute_passages(rows)
 
 
+def test_rows_without_id_share_passages(spark):
+    same = " ".join(f"p{i}" for i in range(60))
+    rows = [(None, same), (None, same + " end"), (None, "x " * 10), (4, "other words"), (None, None)]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"] is None, r["n_words"], r["n_repeated"]) for r in found) == [
+        (False, 2, 0), (True, 0, 0), (True, 10, 0), (True, 60, 60), (True, 61, 60)
+    ]
+    alike = repeated_passages(spark.createDataFrame([(None, same)] * 2, "doc_id long, text string")).collect()
+    assert [r["n_repeated"] for r in alike] == [60, 60]
+
+
 def test_the_query_reports_documents_without_passages_too(spark, documents):
     found = op8_sparse_suffix_passages(spark, SMALL).collect()
     assert sorted(r["doc_id"] for r in found) == sorted(r["doc_id"] for r in documents.collect())
