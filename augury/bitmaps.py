@@ -32,7 +32,7 @@ def bit_map(keys: DataFrame, *columns: str, bits: int = BITS) -> bytes:
     return packed_bits(keys, F.xxhash64(*columns), bits)
 
 
-def may_be_in(packed: bytes, *columns: str) -> Column:
+def may_be_in(packed: bytes, *columns: str | Column) -> Column:
     """False only for keys that are not in the map. Equality is for the join that follows."""
     position = F.pmod(F.xxhash64(*columns), F.lit(len(packed) * 8))
     byte = F.substring(F.lit(packed), (F.floor(position / 8) + 1).cast("int"), F.lit(1))
