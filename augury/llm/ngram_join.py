@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from augury.bitmaps import BITS, may_be_in, packed_bits
@@ -23,6 +25,8 @@ COUNTERS = 1 << 20
 #: The global order is cut into so many fragments of equal weight.
 FRAGMENTS = 8
 _HASH_BITS = 58
+#: Numbers of a sketch. Long sets fill it; it then rules out less, but no pair is lost.
+_SKETCH = tuple(f"sketch{k}" for k in range(4))
 
 _HEAD = "doc_id long, key long, n long, node long, rare long, last long, tokens binary"
 
@@ -219,6 +223,19 @@ def _ratio(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _sketch(column: str) -> list[Column]:
+    """Aggregates that set a bit for each value of a column, 64 bits to a number."""
+    hashed = F.xxhash64(column)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(hashed, F.lit(64)).cast("int"))
+    word = F.pmod(F.floor(hashed / 64), F.lit(len(_SKETCH)))
+    return [F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(name) for k, name in enumerate(_SKETCH)]
+
+
+def _missing(a: str, b: str) -> Column:
+    """How many bits of one side's sketch the other lacks: so many of its values at least."""
+    return reduce(operator.add, [F.bit_count(F.col(f"{s}_{a}").bitwiseAND(F.bitwise_not(F.col(f"{s}_{b}")))) for s in _SKETCH])
+
+
 def grouped(docs: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
     """One row per input row: ``doc_id, key, n_shingles, component_id, least``.
 
@@ -261,18 +278,20 @@ def grouped(docs: DataFrame, percent: int, size: int, id_col: str, text_col: str
     tops = tops.agg(F.max(F.struct("n", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("parts"))
     tops = freeze(tops.filter("parts > 1").select("token", "top"))
     open_hits = written(labelled.join(tops, "token").dropDuplicates(["token", "node"]), "open")
-    # How many of its first shingles a node can share with another component at most.
-    chances = freeze(open_hits.groupBy("node", "n").agg(F.count(F.lit(1)).alias("chances")))
-    met = open_hits.join(chances.select("node", "chances"), "node")
-    l = met.filter("component <> top").select("token", *[F.col(c).alias(f"{c}_l") for c in ("node", "n", "last", "at", "component", "chances")])
-    r = met.select("token", "top", *[F.col(c).alias(f"{c}_r") for c in ("node", "n", "last", "at", "component", "chances")])
+    # How many of its first shingles a node can share with another component at most, and their bits.
+    sketches = freeze(open_hits.groupBy("node").agg(F.count(F.lit(1)).alias("chances"), *_sketch("token")))
+    met = open_hits.join(sketches, "node")
+    sides = ("node", "n", "last", "at", "component", "chances", *_SKETCH)
+    l = met.filter("component <> top").select("token", *[F.col(c).alias(f"{c}_l") for c in sides])
+    r = met.select("token", "top", *[F.col(c).alias(f"{c}_r") for c in sides])
     # Two sets share, beside this shingle, no more than what both have before it and behind it.
     around = F.least("at_l", "at_r") + 1 + F.least(F.col("n_l") - F.col("at_l"), F.col("n_r") - F.col("at_r")) - 1
-    # Whichever first part ends earlier in the order shares no more of itself than its open shingles,
-    # and of its other part no more than all.
+    # Whichever first part ends earlier in the order shares no more of itself than the open shingles
+    # whose bits the other has too, and of its other part no more than all.
     rest = lambda n: F.floor(F.col(n) * percent / 100 + 0.999) - 1
     needed = lambda a, b: F.ceil((F.col(a) + F.col(b)) * percent / (100 + percent) - 1e-9)
-    at_most = F.when(F.col("last_l") <= F.col("last_r"), F.col("chances_l") + rest("n_l")).otherwise(F.col("chances_r") + rest("n_r"))
+    alike = F.least(F.col("chances_l") - _missing("l", "r"), F.col("chances_r") - _missing("r", "l"))
+    at_most = alike + F.when(F.col("last_l") <= F.col("last_r"), rest("n_l")).otherwise(rest("n_r"))
     crossing = l.join(r, "token").filter(
         (F.col("component_l") != F.col("component_r"))
         & ((F.col("component_r") == F.col("top")) | (F.col("node_l") < F.col("node_r")))
@@ -325,7 +344,8 @@ def similar_documents(
       Most links are found so, however many copies there are, and become components.
     * Then whoever is not in a shingle's largest component is compared with the nodes of other
       components there, unless the shared part of their first shingles rules it out: by its
-      place, or because too few of a node's first shingles stand in another component at all.
+      place, or because too few of a node's first shingles stand in another component at all
+      or, by a sketch of 256 bits, in the other set.
       A pair in one component needs no comparison, so no group is expanded into all its pairs,
       and no pair in different components is left out.
 
