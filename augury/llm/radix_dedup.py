@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from augury.bitmaps import BITS, may_be_in, packed_bits
 from augury.llm.shared import bit_map, in_map, rows_of, written
 from augury.session import freeze
 
@@ -212,26 +213,27 @@ def radix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns; of rows that repeat an id and its text, one.
 
     Rows are told apart by id and digest of the text; rows without an id by the digest alone.
+    Only rows that a bit map finds among copies are moved; all others pass where they lie.
+    Columns may have any names.
     """
-    at = docs.columns.index(text_col)
-    mark = "_copy_digest"
-    schema = docs.withColumn(mark, F.lit("")).schema
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = _folded(batch.column(at)).to_pylist()
-            digest = pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, digest], [*batch.schema.names, mark])
-
-    kept = radix_dedup(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"), F.col("group_size").alias("_kept_size")
-    )
-    rows = docs.mapInArrow(marked, schema)
-    same = (rows[mark] == kept["_kept_digest"]) & rows[id_col].cast("long").eqNullSafe(kept["_kept_id"])
-    found = rows.join(kept, same)
-    alone = found.filter(kept["_kept_size"] == 1).select(*docs.columns)
-    return alone.unionByName(found.filter(kept["_kept_size"] > 1).dropDuplicates([id_col, mark]).select(*docs.columns))
+    found = radix_dedup(docs, id_col, text_col).filter("group_size > 1")
+    copies = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    copies = written(copies.filter("not kept or n > 1").withColumn("key", F.xxhash64("doc_id", "text_sha256")), "copies")
+    copies = copies.select(*[F.col(c).alias(f"_copy_{c}") for c in copies.columns])
+    own = docs[id_col].cast("long")
+    digest = F.sha2(F.translate(F.coalesce(docs[text_col].cast("string"), F.lit("")), _UPPER, _LOWER), 256)
+    looked_at = may_be_in(packed_bits(copies, F.col("_copy_key"), BITS), own, digest)
+    # The whole row as one field, so that no name of its own can clash.
+    rows = docs.filter(looked_at).select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), own.alias("own"), digest.alias("digest"))
+    same = rows["own"].eqNullSafe(copies["_copy_doc_id"]) & (rows["digest"] == copies["_copy_text_sha256"])
+    met = rows.join(copies, same, "left")
+    unique = met.filter("_copy_kept is null").select("row.*")
+    repeated = met.filter("_copy_kept").dropDuplicates(["own", "digest"]).select("row.*")
+    return docs.filter(~looked_at).union(unique).union(repeated)

@@ -120,6 +120,17 @@ def test_drop_copies_passes_a_column_named_as_its_own_on(odd):
     assert {r["group_size"] for r in left.collect()} == {7} and left.columns == [*odd.columns, "group_size"]
 
 
+def test_drop_copies_passes_private_names_and_repeated_rows(spark):
+    rows = [(1, "Same text"), (2, "same TEXT"), (2, "same TEXT"), (3, "other"), (3, "other"), (None, "same text"), (None, "n"), (None, "N"), (4, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for name in ("_copy_digest", "_copy_kept", "own", "row", "key"):
+        df = df.withColumn(name, F.lit(name))
+    left = drop_copies(df)
+    assert left.columns == df.columns
+    found = sorted(((r["doc_id"] or 0), (r["text"] or "").lower(), r["own"]) for r in left.collect())
+    assert found == [(0, "n", "own"), (2, "same text", "own"), (3, "other", "own"), (5, "", "own")]
+
+
 def test_jaccard_components_equal_brute_force(documents):
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in similar_documents(documents).collect()}
     assert found == brute_components(plain(documents))
