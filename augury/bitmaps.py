@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from augury.session import freeze
+
 BITS = 1 << 23
 #: Bits that one value of ``bitmap_construct_agg`` holds.
 _BUCKET_BITS = 32768
@@ -38,3 +40,25 @@ def may_be_in(packed: bytes, *columns: str | Column) -> Column:
     byte = F.substring(F.lit(packed), (F.floor(position / 8) + 1).cast("int"), F.lit(1))
     value = F.conv(F.hex(byte), 16, 10).cast("int")
     return F.getbit(value, F.pmod(position, F.lit(8)).cast("int")) == 1
+
+
+def may_pass(rows: DataFrame, keys: DataFrame, *columns: str, bits: int = BITS) -> DataFrame:
+    """The rows whose key may be among ``keys``; others are left out, but for a few.
+
+    The map stays a table, sent to every task: as a literal its megabytes would be spelled out in
+    every plan that reads the rows, and the driver keeps a text of each plan.
+    """
+
+    def position() -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(bits)) + 1
+
+    buckets = freeze(
+        keys.select(position().alias("p"))
+        .groupBy(F.bitmap_bucket_number("p").alias("_map_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_map_bits"))
+    )
+    at = F.bitmap_bit_position(position())
+    byte = F.substring(F.col("_map_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))
+    hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(at, F.lit(8)).cast("int")) == 1
+    same = F.bitmap_bucket_number(position()) == F.col("_map_bucket")
+    return rows.join(F.broadcast(buckets), same & hit, "left_semi")

@@ -10,7 +10,8 @@ from augury.operators import joins, panel
 from augury.operators.filings import filter_form_type, slice_panel
 from augury.plans.guidance import build_guidance
 from augury.plans.panel import build_panel
-from augury.bitmaps import bit_map, may_be_in
+from augury.bitmaps import bit_map, may_be_in, may_pass
+from augury.operators.joins import exclude_processed
 from augury.session import broadcast_if_small, fresh_folder
 
 
@@ -86,3 +87,16 @@ def test_bit_maps_pass_every_key_and_few_others(spark):
     passed = table.filter(may_be_in(packed, "id", "s"))
     assert passed.filter("id < 3000").count() == 3000 and passed.count() < 3600
     assert table.filter(may_be_in(bit_map(table.limit(0), "id", "s"), "id", "s")).count() == 0
+
+
+def test_maps_of_keys_are_not_spelled_out_in_plans(spark):
+    table = spark.range(20000).selectExpr("id", "cast(id as string) AS s")
+    few = table.filter("id < 3000")
+    passed = may_pass(table, few, "id", "s", bits=1 << 18)
+    assert passed.columns == ["id", "s"]
+    assert passed.join(few, ["id", "s"]).count() == 3000 and passed.count() < 3500
+    assert may_pass(table, table.limit(0), "id", "s").count() == 0
+    todo = exclude_processed(table, few, "s", max_rows=0)
+    assert todo.count() == 17000
+    for df in (passed, todo):
+        assert len(df._jdf.queryExecution().toString()) < 100_000
