@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from augury.functions import fixed_values as fixed
 
@@ -19,6 +20,8 @@ _BREAK = re.compile(r"(?<=[.!?])\s+")
 _STOP = re.compile(r"[.!?]")
 #: Longest ending by which earlier copies of a sentence are looked up.
 _LONGEST_KEY = 1024
+#: Text whose sentences are held at a time.
+_PART_BYTES = 1 << 20
 
 LOCATED = pa.list_(
     pa.struct(
@@ -102,11 +105,24 @@ def located(text: str, priced: bool) -> Iterator[tuple[int, str, int, int, str]]
         yield number, piece, start, first, text[first:stop]
 
 
+def _parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``_PART_BYTES`` of text, at least one row each."""
+    widths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    cuts = np.flatnonzero(np.diff(np.cumsum(widths, dtype=np.int64) // _PART_BYTES)) + 1
+    ends = [*cuts.tolist(), batch.num_rows]
+    for start, end in zip([0, *ends], ends):
+        yield batch.slice(start, end - start)
+
+
 def locate_batches(text: str, priced: bool):
-    """Arrow batches with ``text`` replaced by ``located``; a null text has no sentences."""
+    """Arrow batches with ``text`` replaced by ``located``; a null text has no sentences.
+
+    Contexts of neighbours overlap, so sentences weigh several times their text: a batch leaves
+    in parts, and a task holds one part or one long text at a time.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole, whole.schema.names.index(text))):
             at = batch.schema.names.index(text)
             rows, ends = [], [0]
             for value in batch.column(at):

@@ -141,3 +141,17 @@ def test_first_places_equal_plain_search():
         places, pieces = FirstPlaces(body), pieces_of(body)
         for i, (own, piece) in enumerate(pieces):
             assert places.find(own, piece, i == len(pieces) - 1) == body.find(piece), (body, piece)
+
+
+def test_located_batches_leave_in_bounded_parts():
+    import pyarrow as pa
+
+    from augury.functions.sentences import locate_batches
+
+    texts = ["We expect revenue of $5 million. " * 600, None, "", "Up. Down."] * 300
+    batch = pa.RecordBatch.from_pydict({"n": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+    parts = list(locate_batches("text", False)(iter([batch, batch.slice(0, 0)])))
+    assert max(p.num_rows for p in parts) <= 300 and len(parts) > 5
+    assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(len(texts)))
+    sizes = [len(x) if x is not None else 0 for p in parts for x in p.column("located").to_pylist()]
+    assert sizes == [601, 0, 1, 2] * 300
