@@ -42,23 +42,34 @@ def may_be_in(packed: bytes, *columns: str | Column) -> Column:
     return F.getbit(value, F.pmod(position, F.lit(8)).cast("int")) == 1
 
 
-def may_pass(rows: DataFrame, keys: DataFrame, *columns: str, bits: int = BITS) -> DataFrame:
-    """The rows whose key may be among ``keys``; others are left out, but for a few.
+def map_table(keys: DataFrame, hashed: Column, bits: int = BITS) -> DataFrame:
+    """The map as a table of its buckets, to be sent to every task.
 
-    The map stays a table, sent to every task: as a literal its megabytes would be spelled out in
-    every plan that reads the rows, and the driver keeps a text of each plan.
+    As a literal its megabytes would be spelled out in every plan that reads the rows, and the
+    driver keeps a text of each plan.
     """
-
-    def position() -> Column:
-        return F.pmod(F.xxhash64(*columns), F.lit(bits)) + 1
-
-    buckets = freeze(
-        keys.select(position().alias("p"))
+    position = F.pmod(hashed, F.lit(bits)) + 1
+    return freeze(
+        keys.select(position.alias("p"))
         .groupBy(F.bitmap_bucket_number("p").alias("_map_bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_map_bits"))
     )
-    at = F.bitmap_bit_position(position())
+
+
+def meet(rows: DataFrame, buckets: DataFrame, hashed: Column, how: str, bits: int = BITS) -> DataFrame:
+    """Rows by a :func:`map_table`: those that may be in it (``left_semi``) or are not (``left_anti``).
+
+    Between them the two have every row once, also one with a null hash.
+    """
+    position = F.pmod(hashed, F.lit(bits)) + 1
+    at = F.bitmap_bit_position(position)
     byte = F.substring(F.col("_map_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))
     hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(at, F.lit(8)).cast("int")) == 1
-    same = F.bitmap_bucket_number(position()) == F.col("_map_bucket")
-    return rows.join(F.broadcast(buckets), same & hit, "left_semi")
+    same = F.bitmap_bucket_number(position) == F.col("_map_bucket")
+    return rows.join(F.broadcast(buckets), same & hit, how)
+
+
+def may_pass(rows: DataFrame, keys: DataFrame, *columns: str, bits: int = BITS) -> DataFrame:
+    """The rows whose key may be among ``keys``; others are left out, but for a few."""
+    hashed = F.xxhash64(*columns)
+    return meet(rows, map_table(keys, hashed, bits), hashed, "left_semi", bits)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from augury.bitmaps import BITS, may_be_in, packed_bits
+from augury.bitmaps import map_table, meet
 from augury.llm.graph import components
 from augury.llm.shared import VECTOR, bit_map, in_map, rows_of, summed, vector_rows, written
 from augury.llm.words import SHINGLE, mixed, text_shingles
@@ -365,6 +365,10 @@ def one_of_each_group(docs: DataFrame, percent: int = PERCENT, id_col: str = "do
     found = written(grouped(docs, percent, SHINGLE, id_col, text_col).filter("not least").select("doc_id", "key").distinct(), "dropped")
     gone = found.select(F.col("doc_id").alias("_gone_id"), F.col("key").alias("_gone_key"))
     own_id, own_text = docs[id_col].cast("long"), docs[text_col].cast("string")
-    looked_at = may_be_in(packed_bits(gone, F.col("_gone_key"), BITS), own_id, own_text)
-    same = own_id.eqNullSafe(gone["_gone_id"]) & (F.xxhash64(own_id, own_text) == gone["_gone_key"])
-    return docs.filter(~looked_at).union(docs.filter(looked_at).join(gone, same, "left_anti"))
+    # The whole row as one field, so that no name of its own can clash.
+    told = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), own_id.alias("own"), F.xxhash64(own_id, own_text).alias("hash"))
+    buckets = map_table(gone, F.col("_gone_key"))
+    looked_at = meet(told, buckets, F.col("hash"), "left_semi")
+    same = looked_at["own"].eqNullSafe(gone["_gone_id"]) & (looked_at["hash"] == gone["_gone_key"])
+    kept = looked_at.join(gone, same, "left_anti")
+    return meet(told, buckets, F.col("hash"), "left_anti").union(kept).select("row.*")

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from augury.bitmaps import BITS, may_be_in, packed_bits
+from augury.bitmaps import map_table, meet
 from augury.llm.shared import bit_map, in_map, rows_of, written
 from augury.session import freeze
 
@@ -229,11 +229,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     copies = copies.select(*[F.col(c).alias(f"_copy_{c}") for c in copies.columns])
     own = docs[id_col].cast("long")
     digest = F.sha2(F.translate(F.coalesce(docs[text_col].cast("string"), F.lit("")), _UPPER, _LOWER), 256)
-    looked_at = may_be_in(packed_bits(copies, F.col("_copy_key"), BITS), own, digest)
-    # The whole row as one field, so that no name of its own can clash.
-    rows = docs.filter(looked_at).select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), own.alias("own"), digest.alias("digest"))
+    # The whole row as one field, so that no name of its own can clash; the digest is made once a row.
+    told = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), own.alias("own"), digest.alias("digest"))
+    buckets, hashed = map_table(copies, F.col("_copy_key")), F.xxhash64("own", "digest")
+    rows = meet(told, buckets, hashed, "left_semi")
     same = rows["own"].eqNullSafe(copies["_copy_doc_id"]) & (rows["digest"] == copies["_copy_text_sha256"])
     met = rows.join(copies, same, "left")
     unique = met.filter("_copy_kept is null").select("row.*")
     repeated = met.filter("_copy_kept").dropDuplicates(["own", "digest"]).select("row.*")
-    return docs.filter(~looked_at).union(unique).union(repeated)
+    return meet(told, buckets, hashed, "left_anti").select("row.*").union(unique).union(repeated)

@@ -263,3 +263,8 @@ def test_passages_of_odd_rows_and_empty_tables(odd, nothing):
     assert by_id[4]["spans"] == [] and by_id[4]["n_words"] == 0
     for operator in (repeated_passages, similar_documents, radix_dedup, drop_copies, one_of_each_group):
         assert operator(nothing).count() == 0
+
+
+def test_dedup_plans_do_not_spell_maps_out(odd):
+    for operator in (drop_copies, one_of_each_group):
+        assert len(operator(odd)._jdf.queryExecution().toString()) < 200_000
