@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from augury.functions import fixed_values as fixed
 from augury.functions.text import (
-    any_of, fold, folded_pattern, let, match_offset, pattern, slice_text, truncate_sentence,
+    any_of, fold, folded_pattern, let, match_offset, may_match, pattern, slice_text, truncate_sentence,
 )
 
 # All but the last two are for folded text.
@@ -32,21 +32,22 @@ def has_amount(text: Column) -> Column:
     return text.rlike(ANY_AMOUNT)
 
 
-def metric_mentions(sentence: Column) -> Column:
-    """Array of (metric_ord, metric, metric_offset): first mention of each metric found."""
+def _mentions(folded: Column) -> Column:
+    looked_for = [
+        F.struct(
+            F.lit(i).alias("metric_ord"),
+            F.lit(name).alias("metric"),
+            F.when(may_match(folded, fixed.METRICS[name]), match_offset(folded, regex))
+            .otherwise(-1).alias("metric_offset"),
+        )
+        for i, (name, regex) in enumerate(METRICS.items())
+    ]
+    return F.filter(F.array(*looked_for), lambda m: m["metric_offset"] >= 0)
 
-    def find(folded: Column) -> Column:
-        looked_for = [
-            F.struct(
-                F.lit(i).alias("metric_ord"),
-                F.lit(name).alias("metric"),
-                match_offset(folded, regex).alias("metric_offset"),
-            )
-            for i, (name, regex) in enumerate(METRICS.items())
-        ]
-        return F.filter(F.array(*looked_for), lambda m: m["metric_offset"] >= 0)
 
-    return let(fold(sentence), find)
+def metric_mentions(sentence: Column) -> Column:
+    """Array of (metric_ord, metric, metric_offset): first mention of each metric found."""
+    return let(fold(sentence), _mentions)
 
 
 def scale_amount(number: Column, word: Column) -> Column:
@@ -89,36 +90,48 @@ def _single_amount(snippet: Column) -> Column:
     return let(parts, build)
 
 
-def read_amounts(snippet: Column) -> Column:
-    """Struct (val1, val2, is_range): the first range, else the first single amount."""
+def _amounts(folded: Column) -> Column:
     return let(
-        fold(snippet),
-        lambda folded: let(
-            F.regexp_extract(folded, RANGE, 0),
-            lambda found: F.when(found != "", _range_amounts(found)).otherwise(
-                F.when(has_amount(folded), _single_amount(folded))
-            ),
+        F.regexp_extract(folded, RANGE, 0),
+        lambda found: F.when(found != "", _range_amounts(found)).otherwise(
+            F.when(has_amount(folded), _single_amount(folded))
         ),
     )
 
 
-def _first_label(folded: Column, patterns: dict[str, str], default: str) -> Column:
+def read_amounts(snippet: Column) -> Column:
+    """Struct (val1, val2, is_range): the first range, else the first single amount."""
+    return let(fold(snippet), _amounts)
+
+
+def _first_label(
+    folded: Column, patterns: dict[str, str], words: dict[str, list[str]], default: str
+) -> Column:
     label = F.lit(default)
     for name, regex in reversed(patterns.items()):
-        label = F.when(folded.rlike(regex), F.lit(name)).otherwise(label)
+        found = may_match(folded, words[name]) & folded.rlike(regex)
+        label = F.when(found, F.lit(name)).otherwise(label)
     return label
 
 
+def folded_period(folded: Column) -> Column:
+    return _first_label(folded, PERIODS, fixed.PERIODS, fixed.PERIOD_DEFAULT)
+
+
 def detect_period(around: Column) -> Column:
-    return let(fold(around), lambda w: _first_label(w, PERIODS, fixed.PERIOD_DEFAULT))
+    return let(fold(around), folded_period)
 
 
 def detect_fiscal_year(around: Column) -> Column:
     return F.nullif(F.regexp_extract(around, FISCAL_YEAR, 0), F.lit("")).cast("int")
 
 
+def folded_action(folded: Column) -> Column:
+    return _first_label(folded, ACTIONS, fixed.ACTIONS, fixed.ACTION_DEFAULT)
+
+
 def detect_action(around: Column) -> Column:
-    return let(fold(around), lambda w: _first_label(w, ACTIONS, fixed.ACTION_DEFAULT))
+    return let(fold(around), folded_action)
 
 
 # --- windows ----------------------------------------------------------------
@@ -147,38 +160,48 @@ def action_window(context: Column, context_start: Column, at: Column) -> Column:
 
 
 def _sentence_records(located: Column) -> Column:
-    """Records of one located sentence that carry a value."""
-    sentence, place = located["sentence"], located
-    mentions = F.transform(
-        metric_mentions(sentence),
-        lambda m: F.struct(
-            m["metric_ord"].alias("metric_ord"),
-            m["metric"].alias("metric"),
-            value_window(
-                place["context"], place["context_start"], place["sent_start"] + m["metric_offset"]
-            ).alias("snippet"),
-        ),
-    )
-    return F.transform(
-        F.filter(mentions, lambda m: has_amount(m["snippet"])),
-        lambda m: let(
-            read_amounts(m["snippet"]),
-            # Sort keys first: see first_of_each_key.
-            lambda v: F.struct(
+    """Records of one located sentence that carry a value; none without a guidance verb.
+
+    Sentence and context are folded once each. Folding goes code point by code point, so that
+    windows of a folded context are folded windows.
+    """
+
+    def told(folded: Column) -> Column:
+        return F.when(folded.rlike(VERB), _mentions(folded))
+
+    def of_mentions(mentions: Column) -> Column:
+        return F.when(F.size(mentions) > 0, let(fold(located["context"]), lambda c: of_context(mentions, c)))
+
+    def of_context(mentions: Column, context: Column) -> Column:
+        place = (context, located["context_start"])
+        snippets = F.transform(
+            mentions,
+            lambda m: F.struct(
                 m["metric_ord"].alias("metric_ord"),
-                v["val1"].alias("val1"),
-                v["val2"].alias("val2"),
-                located["sent_ord"].alias("sent_ord"),
                 m["metric"].alias("metric"),
-                v["is_range"].alias("is_range"),
-                truncate_sentence(sentence, fixed.SENTENCE_CHARS).alias("sentence"),
-                period_window(
-                    place["context"], place["context_start"], place["sent_start"]
-                ).alias("around"),
-                (place["sent_start"] - place["context_start"]).alias("lead"),
+                value_window(*place, located["sent_start"] + m["metric_offset"]).alias("snippet"),
             ),
-        ),
-    )
+        )
+        return F.transform(
+            F.filter(snippets, lambda m: has_amount(m["snippet"])),
+            lambda m: let(
+                _amounts(m["snippet"]),
+                # Sort keys first: see first_of_each_key.
+                lambda v: F.struct(
+                    m["metric_ord"].alias("metric_ord"),
+                    v["val1"].alias("val1"),
+                    v["val2"].alias("val2"),
+                    located["sent_ord"].alias("sent_ord"),
+                    m["metric"].alias("metric"),
+                    v["is_range"].alias("is_range"),
+                    truncate_sentence(located["sentence"], fixed.SENTENCE_CHARS).alias("sentence"),
+                    period_window(*place, located["sent_start"]).alias("around"),
+                    (located["sent_start"] - located["context_start"]).alias("lead"),
+                ),
+            ),
+        )
+
+    return let(let(fold(located["sentence"]), told), of_mentions)
 
 
 def first_of_each_key(records: Column) -> Column:
@@ -204,6 +227,9 @@ def first_of_each_key(records: Column) -> Column:
 
 
 def document_records(located: Column) -> Column:
-    """All guidance records of one text's located sentences, each (metric, val1, val2) once."""
-    told = F.filter(located, lambda s: has_guidance_verb(s["sentence"]))
-    return first_of_each_key(F.flatten(F.transform(told, _sentence_records)))
+    """All guidance records of one text's located sentences, each (metric, val1, val2) once.
+
+    ``around``, what the labels are read from, is folded.
+    """
+    found = F.transform(located, _sentence_records)
+    return first_of_each_key(F.flatten(F.filter(found, lambda r: r.isNotNull())))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from augury.functions import fixed_values as fixed
 from augury.functions import guidance as g
 from augury.functions.sentences import LOCATED_DDL, locate_batches
+from augury.functions.text import let
 from augury.functions.text import truncate_sentence as truncated
 from augury.operators.derive import add_parse_midpoint, add_range_width
 from augury.operators.filings import filter_min_length
@@ -109,9 +110,9 @@ def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
     )
     labelled = add_range_width(add_parse_midpoint(rows)).withColumns(
         {
-            "pdicity": g.detect_period(F.col("around")),
+            "pdicity": g.folded_period(F.col("around")),
             "fiscal_year": g.detect_fiscal_year(F.col("around")),
-            "action": g.detect_action(action_text),
+            "action": let(action_text, g.folded_action),
         }
     )
     return labelled.select(

@@ -1,4 +1,5 @@
 import random
+import re
 import time
 
 import pytest
@@ -155,3 +156,53 @@ def test_located_batches_leave_in_bounded_parts():
     assert [n for p in parts for n in p.column("n").to_pylist()] == list(range(len(texts)))
     sizes = [len(x) if x is not None else 0 for p in parts for x in p.column("located").to_pylist()]
     assert sizes == [601, 0, 1, 2] * 300
+
+
+def test_opening_letters_never_hide_a_match(spark):
+    from itertools import product
+
+    from augury.functions import fixed_values as fixed
+    from augury.functions.text import may_match
+
+    def spelled(alternative):
+        """Texts of an alternative: each optional part there or not, each choice of a group."""
+        short = alternative.replace(r"\s+", " ").replace(r"\s*", "").replace("[0-9]{2}", "25").replace(r"(?:\s|-)", "-")
+        parts = re.findall(r"\(\?:([^()]*)\)(\??)|(\w)(\??)|(\[\w+\])(\??)|([^\w])", short)
+        choices = []
+        for group, g_opt, letter, l_opt, _, _, other in parts:
+            if group:
+                own = [o.replace("?", "") for o in re.sub(r"\[\w+\]", "", group).split("|")]
+                choices.append(own + ([""] if g_opt else []))
+            else:
+                choices.append([letter or other] + ([""] if l_opt else []))
+        return ["".join(p) for p in product(*choices)]
+
+    for words in (fixed.METRICS, fixed.PERIODS, fixed.ACTIONS):
+        for alternatives in words.values():
+            texts = [t.lower() for a in alternatives for t in spelled(a)]
+            told = spark.createDataFrame([(f"so {t} it is",) for t in texts], "t string")
+            assert told.filter(~may_match(F.col("t"), alternatives)).collect() == []
+
+
+def test_patterns_wait_for_their_opening_letters(spark):
+    from augury.functions import guidance as g
+
+    asked = [str(c) for c in (g.metric_mentions(F.col("s")), g.detect_period(F.col("s")), g.detect_action(F.col("s")))]
+    assert all("contains" in text for text in asked)
+
+
+def test_windows_of_a_folded_context_are_folded_windows(spark, texts):
+    odd = "İstanbul ſays 😀 𝐀 ΑΣ İ. " * 9
+    body = odd + "We expect TOTAL REVENUE for the Fiscal Year 2025, RAISED, of $5 MILLION to $6 MILLION. " + odd
+    row = ops.extract_guidance(texts(body)).collect()
+    assert [(r["metric"], r["val1"], r["val2"], r["pdicity"], r["fiscal_year"], r["action"]) for r in row] == [
+        ("Revenue", 5e6, 6e6, "FY", 2025, "raises")
+    ]
+
+
+def test_staged_files_are_bounded(spark, monkeypatch):
+    from checks import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 10)
+    back = queries.written(spark.range(95).coalesce(1), "many")
+    assert back.count() == 95 and len(back.inputFiles()) == 10
