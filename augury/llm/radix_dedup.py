@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from augury.bitmaps import map_table, meet
-from augury.llm.shared import bit_map, in_map, rows_of, written
+from augury.llm.shared import bit_map, in_map, in_parts, rows_of, written
 from augury.session import freeze
 
 #: Bytes that the first split looks at; each later one looks at this many times more.
@@ -38,7 +38,7 @@ def _folded(column: pa.Array) -> pa.Array:
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in in_parts(batches, "text"):
         texts = _folded(batch.column("text")).to_pylist()
         yield pa.RecordBatch.from_arrays(
             [
@@ -51,14 +51,14 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _chosen(packed: np.ndarray):
-    """Texts whose first bytes other rows may share; equal ones of a batch become one row.
+    """Texts whose first bytes other rows may share; equal ones of a part become one row.
 
     Its ``members`` are the ids, largest first. The hash of the head picks rows only: a false
     hit is dropped by the join on the head itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             folded = _folded(batch.column("text"))
             heads = [xxhash.xxh64_intdigest(t.as_py(), SEED) for t in pc.binary_slice(folded, 0, FIRST_BYTES)]
             hit = pa.array(in_map(packed, np.array(heads, np.uint64).view(np.int64)))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +33,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Text that a task folds, hashes or lists at a time.
+PART_BYTES = 4 << 20
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], column: str, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes of a text column, at least one row each.
+
+    A batch has 10,000 rows whatever their lengths are; what is made of its texts takes several
+    times their room, in each worker. A batch without rows passes as it is.
+    """
+    for batch in batches:
+        widths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(widths, dtype=np.int64) // size)) + 1
+        ends = [*cuts.tolist(), batch.num_rows]
+        for start, end in zip([0, *ends], ends):
+            yield batch.slice(start, end - start)
+
+
 def bit_map(keys: DataFrame, hashed: Column, bits: int = MAP_BITS) -> np.ndarray:
     """A bit for each hash in ``keys``, packed; never more than ``bits`` bits, 8 MB by default.
 

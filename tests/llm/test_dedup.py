@@ -268,3 +268,16 @@ def test_passages_of_odd_rows_and_empty_tables(odd, nothing):
 def test_dedup_plans_do_not_spell_maps_out(odd):
     for operator in (drop_copies, one_of_each_group):
         assert len(operator(odd)._jdf.queryExecution().toString()) < 200_000
+
+
+def test_texts_are_hashed_in_bounded_parts():
+    import pyarrow as pa
+
+    from augury.llm.radix_dedup import _heads
+
+    rows = [None, "A" * 3_000_000, "b", "c" * 9_000_000, "", "D" * 3_000_000] * 2
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12), pa.int64()), pa.array(rows, pa.string())], ["doc_id", "text"])
+    out = list(_heads(iter([batch, batch.slice(0, 0)])))
+    assert len(out) > 4 and [i for b in out for i in b.column("doc_id").to_pylist()] == [*range(12)]
+    whole = [h for b in out for h in b.column("text_sha256").to_pylist()]
+    assert whole == [hashlib.sha256((t or "").lower().encode()).hexdigest() for t in rows]
