@@ -6,8 +6,9 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from augury.llm.shared import rows_of, written
 
 CAPACITY = 2048
-#: Chunks between white space that a task remembers the ids of; beyond it, it starts anew.
-REMEMBER = 400_000
+#: Chunks between white space that a worker remembers the ids of.
+REMEMBER = 800_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, place long"
 
@@ -38,6 +39,29 @@ def _byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in own}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Remembered(dict):
+    """Values made as they are asked for; twice ``size`` are kept, those asked for last."""
+
+    def __init__(self, make: Callable[[str], bytes], size: int):
+        super().__init__()
+        self.make, self.size = make, size
+        self.before: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
 class WordTokenizer:
     """Ids of whole texts as packed unsigned 32-bit numbers, by the given tokenizer file.
 
@@ -53,43 +77,31 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known = _Remembered(self._chunk, max(1, remember // 2))
+        self.parts = _Remembered(self._part, max(1, remember // 2))
         self.letters = _byte_letters()
-        self.remember = remember
 
     def _part(self, part: str) -> bytes:
-        coded = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-        return struct.pack(f"<{len(coded)}I", *[token.id for token in coded])
-
-    def learn(self, chunks: list[str]) -> None:
-        if len(self.parts) > self.remember:
-            self.parts.clear()
-        other = []
-        parts, known = self.parts, self.known
-        plain, split = _PLAIN.fullmatch, _PARTS.findall
-        for chunk in chunks:
-            if not plain(chunk):
-                other.append(chunk)
-                continue
-            own = split(chunk.lower())
-            for part in own:
-                if part not in parts:
-                    parts[part] = self._part(part)
-            known[chunk] = parts[own[0]] if len(own) == 1 else b"".join(map(parts.__getitem__, own))
-        for chunk, coded in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            ids = coded.ids
-            self.known[chunk] = struct.pack(f"<{len(ids)}I", *ids)
+        # Printable ASCII stands for itself among the letters of bytes.
+        own = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return _packed([token.id for token in self.model.tokenize(own)])
+
+    def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():
+            return self.parts[chunk.lower()]
+        if _PLAIN.fullmatch(chunk):
+            return b"".join(map(self.parts.__getitem__, _PARTS.findall(chunk.lower())))
+        return _packed(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, chunks))
-        except KeyError:
-            if len(self.known) > self.remember:
-                self.known.clear()
-            self.learn([c for c in set(chunks) if c not in self.known])
-            return b"".join(map(self.known.__getitem__, chunks))
+        return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(path: str) -> WordTokenizer:
+    """A worker keeps its tokenizer, and what it remembers, from task to task."""
+    return WordTokenizer(path)
 
 
 def _cut(path: str, capacity: int, end_id: int):
@@ -97,7 +109,7 @@ def _cut(path: str, capacity: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, task, seen = WordTokenizer(path), TaskContext.get().partitionId(), {}
+        tokenizer, task, seen = _tokenizer(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

@@ -29,6 +29,16 @@ def test_word_ids_are_the_tokenizers(documents):
         assert np.frombuffer(own.encode(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
 
 
+def test_a_word_that_comes_back_is_tokenized_once(monkeypatch):
+    asked, part = [], WordTokenizer._part
+    monkeypatch.setattr(WordTokenizer, "_part", lambda self, own: asked.append(own) or part(self, own))
+    own = WordTokenizer(WORDS, remember=20)
+    for k in range(100):
+        own.encode(f"often {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}")
+    assert asked.count("often") == 1 and len(asked) > 100
+    assert max(len(own.known), len(own.parts)) <= 20
+
+
 def test_bpe_ids_are_tiktokens(documents):
     own = ByteBpe(RANKS, public_tokenizers.PATTERN, remember=50)
     theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(RANKS), special_tokens={})
