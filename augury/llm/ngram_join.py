@@ -9,12 +9,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from augury.bitmaps import map_table, meet
 from augury.llm.graph import components
-from augury.llm.shared import VECTOR, bit_map, in_map, rows_of, summed, vector_rows, written
+from augury.llm.shared import VECTOR, bit_map, in_map, in_parts, rows_of, summed, vector_rows, written
 from augury.llm.words import SHINGLE, mixed, text_shingles
 from augury.session import freeze
 
@@ -25,6 +26,8 @@ COUNTERS = 1 << 20
 #: The global order is cut into so many fragments of equal weight.
 FRAGMENTS = 8
 _HASH_BITS = 58
+#: Shingles of sets that a task turns into rows at a time, in bytes.
+POSTING_BYTES = 1 << 20
 #: Numbers of a sketch. Long sets fill it; it then rules out less, but no pair is lost.
 _SKETCH = tuple(f"sketch{k}" for k in range(4))
 
@@ -55,7 +58,7 @@ class Order:
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each counter's shingles occur in this task's documents."""
     counts = np.zeros(COUNTERS, np.uint32)
-    for batch in batches:
+    for batch in in_parts(batches, "text"):
         held, size = [], 0
         for own in text_shingles(batch.column("text")):
             held.append(own)
@@ -105,7 +108,7 @@ def _heads(order, percent: int, size: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             n, node, rare, last, tokens = [], [], [], [], []
             for own in text_shingles(batch.column("text"), size=size):
                 numbers = order.value.numbers(own)
@@ -124,28 +127,26 @@ def _heads(order, percent: int, size: int):
 
 
 def _postings(packed: np.ndarray | None):
-    """A row for each of a set's first shingles; of equal sets in a batch one is enough."""
+    """A row for each of a set's first shingles; of equal sets in a batch one is enough.
+
+    They leave in parts: a batch of 10,000 sets has a million and more.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, at = np.unique(batch.column("node").to_numpy(), return_index=True)
-            texts = batch.column("tokens").take(pa.array(at)).to_pylist()
-            sizes = np.array([len(t) // 8 for t in texts], np.int64)
-            tokens = np.frombuffer(b"".join(texts), np.int64)
-            place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            columns = [tokens, np.repeat(nodes, sizes)]
-            names = ["token", "node"]
-            if packed is None:
-                for name in ("rare", "n"):
-                    columns.append(np.repeat(batch.column(name).to_numpy()[at], sizes))
-                    names.append(name)
-            else:
-                for name in ("n", "last"):
-                    columns.append(np.repeat(batch.column(name).to_numpy()[at], sizes))
-                keep = in_map(packed, tokens)
-                columns = [c[keep] for c in [*columns, place]]
-                names += ["n", "last", "at"]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+            _, at = np.unique(batch.column("node").to_numpy(), return_index=True)
+            for part in in_parts([batch.take(pa.array(at))], "tokens", POSTING_BYTES):
+                sizes = pc.binary_length(part.column("tokens")).to_numpy().astype(np.int64) // 8
+                tokens = np.frombuffer(b"".join(part.column("tokens").to_pylist()), np.int64)
+                columns = {"token": tokens} | {
+                    name: np.repeat(part.column(name).to_numpy(), sizes)
+                    for name in (("node", "rare", "n") if packed is None else ("node", "n", "last"))
+                }
+                if packed is not None:
+                    columns["at"] = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    keep = in_map(packed, tokens)
+                    columns = {name: c[keep] for name, c in columns.items()}
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
 
     return run
 
@@ -155,7 +156,7 @@ def _segments(order, packed: np.ndarray, size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        for batch in batches:
+        for batch in in_parts(batches, "text"):
             batch = batch.filter(pa.array(in_map(packed, batch.column("key").to_numpy())))
             nodes, fragment, tokens = [], [], []
             for own in text_shingles(batch.column("text"), size=size):
@@ -236,6 +237,39 @@ def _missing(a: str, b: str) -> Column:
     return reduce(operator.add, [F.bit_count(F.col(f"{s}_{a}").bitwiseAND(F.bitwise_not(F.col(f"{s}_{b}")))) for s in _SKETCH])
 
 
+def crossing_rows(open_hits: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y, n_x, n_y) of nodes in different components that may be similar, once or more each.
+
+    ``open_hits`` has the places of first shingles that stand in several components, with the
+    shingle's largest component (token, top, node, n, last, at, component).
+    """
+    # How many of its first shingles a node can share with another component at most, and their bits.
+    sketches = freeze(open_hits.groupBy("node").agg(F.count(F.lit(1)).alias("chances"), *_sketch("token")))
+    met = open_hits.join(sketches, "node")
+    sides = ("node", "n", "last", "at", "component", "chances", *_SKETCH)
+    l = met.filter("component <> top").select("token", *[F.col(c).alias(f"{c}_l") for c in sides])
+    r = met.select("token", "top", *[F.col(c).alias(f"{c}_r") for c in sides])
+    needed = F.ceil((F.col("n_l") + F.col("n_r")) * percent / (100 + percent) - 1e-9)
+    # The first shingle that two sets share has all others behind it, in both. A pair needs to meet there only.
+    early = F.least(F.col("n_l") - F.col("at_l"), F.col("n_r") - F.col("at_r")) >= needed
+    # Whichever first part ends earlier in the order shares no more of itself than the open shingles
+    # whose bits the other has too, and of its other part no more than all.
+    rest = lambda n: F.floor(F.col(n) * percent / 100 + 0.999) - 1
+    alike = F.least(F.col("chances_l") - _missing("l", "r"), F.col("chances_r") - _missing("r", "l"))
+    at_most = alike + F.when(F.col("last_l") <= F.col("last_r"), rest("n_l")).otherwise(rest("n_r"))
+    crossing = l.join(r, "token").filter(
+        (F.col("component_l") != F.col("component_r"))
+        & ((F.col("component_r") == F.col("top")) | (F.col("node_l") < F.col("node_r")))
+        & _ratio("n_l", "n_r", percent)
+        & early
+        & (at_most >= needed)
+    )
+    turn = F.col("node_l") < F.col("node_r")
+    one = lambda c: F.when(turn, F.col(f"{c}_l")).otherwise(F.col(f"{c}_r"))
+    two = lambda c: F.when(turn, F.col(f"{c}_r")).otherwise(F.col(f"{c}_l"))
+    return crossing.select(one("node").alias("x"), two("node").alias("y"), one("n").alias("n_x"), two("n").alias("n_y"))
+
+
 def grouped(docs: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
     """One row per input row: ``doc_id, key, n_shingles, component_id, least``.
 
@@ -278,37 +312,7 @@ def grouped(docs: DataFrame, percent: int, size: int, id_col: str, text_col: str
     tops = tops.agg(F.max(F.struct("n", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("parts"))
     tops = freeze(tops.filter("parts > 1").select("token", "top"))
     open_hits = written(labelled.join(tops, "token").dropDuplicates(["token", "node"]), "open")
-    # How many of its first shingles a node can share with another component at most, and their bits.
-    sketches = freeze(open_hits.groupBy("node").agg(F.count(F.lit(1)).alias("chances"), *_sketch("token")))
-    met = open_hits.join(sketches, "node")
-    sides = ("node", "n", "last", "at", "component", "chances", *_SKETCH)
-    l = met.filter("component <> top").select("token", *[F.col(c).alias(f"{c}_l") for c in sides])
-    r = met.select("token", "top", *[F.col(c).alias(f"{c}_r") for c in sides])
-    # Two sets share, beside this shingle, no more than what both have before it and behind it.
-    around = F.least("at_l", "at_r") + 1 + F.least(F.col("n_l") - F.col("at_l"), F.col("n_r") - F.col("at_r")) - 1
-    # Whichever first part ends earlier in the order shares no more of itself than the open shingles
-    # whose bits the other has too, and of its other part no more than all.
-    rest = lambda n: F.floor(F.col(n) * percent / 100 + 0.999) - 1
-    needed = lambda a, b: F.ceil((F.col(a) + F.col(b)) * percent / (100 + percent) - 1e-9)
-    alike = F.least(F.col("chances_l") - _missing("l", "r"), F.col("chances_r") - _missing("r", "l"))
-    at_most = alike + F.when(F.col("last_l") <= F.col("last_r"), rest("n_l")).otherwise(rest("n_r"))
-    crossing = l.join(r, "token").filter(
-        (F.col("component_l") != F.col("component_r"))
-        & ((F.col("component_r") == F.col("top")) | (F.col("node_l") < F.col("node_r")))
-        & _ratio("n_l", "n_r", percent)
-        & ((100 + percent) * around >= percent * (F.col("n_l") + F.col("n_r")))
-        & (at_most >= needed("n_l", "n_r"))
-    )
-    turn = F.col("node_l") < F.col("node_r")
-    one = lambda c: F.when(turn, F.col(f"{c}_l")).otherwise(F.col(f"{c}_r"))
-    two = lambda c: F.when(turn, F.col(f"{c}_r")).otherwise(F.col(f"{c}_l"))
-    crossing = crossing.select(
-        one("node").alias("x"), two("node").alias("y"), one("n").alias("n_x"), two("n").alias("n_y"),
-        one("last").alias("last_x"), two("last").alias("last_y"),
-    ).groupBy("x", "y", "n_x", "n_y", "last_x", "last_y").agg(F.count(F.lit(1)).alias("common"))
-    # The same with the shingles that they do share.
-    most = F.col("common") + F.when(F.col("last_x") <= F.col("last_y"), rest("n_x")).otherwise(rest("n_y"))
-    crossing = written(crossing.filter(most >= needed("n_x", "n_y")).select("x", "y", "n_x", "n_y"), "crossing")
+    crossing = written(crossing_rows(open_hits, percent).distinct(), "crossing")
     more = written(verified(rows, nodes, crossing, order, percent, size), "more")
 
     last = nodes.select("node", "least").join(components(links.union(more)), "node", "left")
@@ -344,7 +348,8 @@ def similar_documents(
       Most links are found so, however many copies there are, and become components.
     * Then whoever is not in a shingle's largest component is compared with the nodes of other
       components there, unless the shared part of their first shingles rules it out: by its
-      place, or because too few of a node's first shingles stand in another component at all
+      place (a pair must meet at the first shingle it shares, and too few may be left behind
+      that), or because too few of a node's first shingles stand in another component at all
       or, by a sketch of 256 bits, in the other set.
       A pair in one component needs no comparison, so no group is expanded into all its pairs,
       and no pair in different components is left out.

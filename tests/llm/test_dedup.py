@@ -4,11 +4,14 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from augury.llm import ngram_join
 from augury.llm.graph import components
-from augury.llm.ngram_join import one_of_each_group, prefix_length, similar_documents
+from augury.llm.ngram_join import crossing_rows, one_of_each_group, prefix_length, similar_documents
 from augury.llm.queries import op8_sparse_suffix_passages
 from augury.llm.radix_dedup import drop_copies, radix_dedup, split_to_end
 from augury.llm.suffix_dedup import repeated_passages
@@ -281,3 +284,24 @@ def test_texts_are_hashed_in_bounded_parts():
     assert len(out) > 4 and [i for b in out for i in b.column("doc_id").to_pylist()] == [*range(12)]
     whole = [h for b in out for h in b.column("text_sha256").to_pylist()]
     assert whole == [hashlib.sha256((t or "").lower().encode()).hexdigest() for t in rows]
+
+
+def test_pairs_cross_only_where_enough_shingles_are_left(spark):
+    # Two sets of 100 shingles that share their first 26; 86 must be shared, so they may first meet at 0 to 14.
+    hits = [(k, 1, node, 100, 25, k, node) for k in range(26) for node in (1, 2)]
+    rows = crossing_rows(spark.createDataFrame(hits, "token long, top long, node long, n long, last long, at long, component long"), 75)
+    assert [tuple(r) for r in rows.collect()] == [(1, 2, 100, 100)] * 15
+
+
+def test_postings_leave_in_bounded_parts(monkeypatch):
+    monkeypatch.setattr(ngram_join, "POSTING_BYTES", 800)
+    sets = [np.arange(k, k + 25, dtype=np.int64).tobytes() for k in range(40)] + [b""]
+    count = np.arange(41)
+    batch = pa.record_batch({"node": count, "n": count, "rare": count, "last": count, "tokens": pa.array(sets, pa.binary())})
+    parts = list(ngram_join._postings(None)(iter([batch, batch.slice(0, 0)])))
+    assert max(p.num_rows for p in parts) <= 200 and len(parts) > 9
+    tokens = pa.concat_arrays([p.column("token") for p in parts]).to_pylist()
+    assert tokens == [k + i for k in range(40) for i in range(25)]
+    every = np.full(1 << 10, 255, np.uint8)
+    places = [at for p in ngram_join._postings(every)(iter([batch])) for at in p.column("at").to_pylist()]
+    assert places == list(range(25)) * 40
