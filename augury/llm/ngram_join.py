@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from augury.bitmaps import map_table, meet
 from augury.llm.graph import components
-from augury.llm.shared import VECTOR, bit_map, in_map, in_parts, rows_of, summed, vector_rows, written
+from augury.llm.shared import VECTOR, bit_map, forget, in_map, in_parts, rows_of, summed, vector_rows, written
 from augury.llm.words import SHINGLE, mixed, text_shingles
 from augury.session import freeze
 
@@ -57,6 +57,7 @@ class Order:
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often each counter's shingles occur in this task's documents."""
+    forget()
     counts = np.zeros(COUNTERS, np.uint32)
     for batch in in_parts(batches, "text"):
         held, size = [], 0

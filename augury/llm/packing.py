@@ -8,7 +8,6 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from augury.llm.shared import rows_of, written
+from augury.llm.shared import kept, rows_of, written
 
 CAPACITY = 2048
 #: Chunks between white space that a worker remembers the ids of.
@@ -98,10 +97,9 @@ class WordTokenizer:
         return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-@lru_cache(maxsize=1)
 def _tokenizer(path: str) -> WordTokenizer:
-    """A worker keeps its tokenizer, and what it remembers, from task to task."""
-    return WordTokenizer(path)
+    """A worker keeps its tokenizer, and what it remembers, until another operator's work begins."""
+    return kept(("words", path), lambda: WordTokenizer(path))
 
 
 def _cut(path: str, capacity: int, end_id: int):

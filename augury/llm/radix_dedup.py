@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from augury.bitmaps import map_table, meet
-from augury.llm.shared import bit_map, in_map, in_parts, rows_of, written
+from augury.llm.shared import bit_map, forget, in_map, in_parts, rows_of, written
 from augury.session import freeze
 
 #: Bytes that the first split looks at; each later one looks at this many times more.
@@ -38,6 +38,7 @@ def _folded(column: pa.Array) -> pa.Array:
 
 
 def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     for batch in in_parts(batches, "text"):
         texts = _folded(batch.column("text")).to_pylist()
         yield pa.RecordBatch.from_arrays(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +34,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(name: Hashable, make: Callable[[], Any]) -> Any:
+    """What a worker keeps from task to task: one thing, that of the operator that asked last."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def forget() -> None:
+    """Give back what an earlier operator keeps in this worker, and memory that is free again."""
+    _KEPT.clear()
+    pa.default_memory_pool().release_unused()
+
+
 #: Text that a task folds, hashes or lists at a time.
 PART_BYTES = 4 << 20
 
 
-def in_parts(batches: Iterator[pa.RecordBatch], column: str, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+def in_parts(batches: Iterator[pa.RecordBatch], column: str | int, size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices of about ``size`` bytes of a text column, at least one row each.
 
     A batch has 10,000 rows whatever their lengths are; what is made of its texts takes several

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from augury.llm.shared import rows_of, written
+from augury.llm.shared import forget, in_parts, rows_of, written
 
 #: Known in advance; the labels add to it.
 SEEDS = tuple(
@@ -261,6 +261,7 @@ def altered(text: str, scorer: Scorer) -> str | None:
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many toxic and other texts each word and stem occurs; words end in a full stop."""
+    forget()
     for batch in batches:
         found: tuple[Counter, Counter] = (Counter(), Counter())
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
@@ -327,6 +328,7 @@ def fit_toxicity(rows: DataFrame, labels: DataFrame) -> ToxicityModel:
     lexicon = ToxicityModel(terms, tuple(_PRIOR.tolist()))
 
     def near_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = Scorer(lexicon)
         for batch in batches:
             seen: Counter = Counter()
@@ -348,6 +350,7 @@ def fit_toxicity(rows: DataFrame, labels: DataFrame) -> ToxicityModel:
     known = frozenset(f[0] for f in forms if chance(f[2] + f[4], f[1] + f[3]))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorers = [Scorer(m) for m in of_half]
         for batch in batches:
             x, y = [], []
@@ -403,6 +406,7 @@ def score_toxicity(
     model = model or fit_toxicity(rows, labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = Scorer(model)
         for batch in batches:
             score = [scorer.score(t.as_py() or "") for t in batch.column("text")]
@@ -420,8 +424,9 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") ->
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         scorer = Scorer(model)
-        for batch in batches:
+        for batch in in_parts(batches, at):
             yield batch.filter(pa.array([scorer.score(t.as_py() or "") < THRESHOLD for t in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

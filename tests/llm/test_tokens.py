@@ -123,3 +123,22 @@ def test_two_documents_replace_the_smallest():
     assert total == 2
     sequence, _ = plan.place(np.array([60, 20, 20]), np.array([0, 0, 1]))
     assert len(set(sequence.tolist())) == 1
+
+
+def test_a_worker_keeps_one_operators_memory():
+    from augury.llm import ngram_join, radix_dedup, shared, toxicity
+    from augury.llm.packing import _tokenizer
+
+    def left(work):
+        own = _tokenizer(WORDS)
+        assert _tokenizer(WORDS) is own and own in shared._KEPT.values()
+        list(work)
+        return own in shared._KEPT.values()
+
+    assert not left(toxicity._term_counts(iter([])))
+    assert not left(radix_dedup._heads(iter([])))
+    own = _tokenizer(WORDS)
+    shared.kept("other", list)
+    assert own not in shared._KEPT.values() and len(shared._KEPT) == 1
+    shared.forget()
+    assert not shared._KEPT and ngram_join.forget is shared.forget
