@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
@@ -48,7 +49,9 @@ def prefilter_text(text: Column) -> Column:
             F.array_join(F.slice(words, F.lit(1), keep), " ")
         )
 
-    return let(F.split(strip(text), WORD_BREAK, -1), cut)
+    # A word and its gap take two characters at least, so that short texts need no count of words.
+    short = F.length(text) <= 2 * fixed.PREFILTER_MAX_WORDS
+    return F.when(short, text).otherwise(let(F.split(strip(text), WORD_BREAK, -1), cut))
 
 
 def render_requests(exhibits: DataFrame) -> DataFrame:
@@ -93,15 +96,27 @@ def extract_with_model(
                 content, used_in, used_out = client.complete(INSTRUCTIONS, request)
                 return content, "ok", int(used_in), int(used_out)
             except Exception:
-                if attempt + 1 < attempts:
-                    time.sleep(wait ** (attempt + 1))
+                pause = wait ** (attempt + 1) if attempt + 1 < attempts else 0.0
+                if pause > 0:  # a sleep of no time would still change threads
+                    time.sleep(pause)
         return None, "failed", 0, 0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = client_factory()
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
             for batch in batches:
-                answers = list(pool.map(lambda r: call(client, r), batch["request"]))
+                # Each thread takes the next request: handing them out one by one costs more than short calls.
+                waiting, answers = deque(enumerate(batch["request"])), [None] * len(batch)
+
+                def work(_: int) -> None:
+                    while waiting:
+                        try:
+                            at, request = waiting.popleft()
+                        except IndexError:  # another thread took the last one
+                            return
+                        answers[at] = call(client, request)
+
+                list(pool.map(work, range(concurrency)))
                 out = batch.drop(columns="request")
                 out[["response", "status", "tokens_in", "tokens_out"]] = pd.DataFrame(
                     answers, index=batch.index, columns=["r", "s", "i", "o"]

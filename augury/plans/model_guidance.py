@@ -48,6 +48,26 @@ def _cost(outcomes: DataFrame | None) -> float:
     return (usage_cost(outcomes).agg(F.sum("cost")).first()[0] or 0.0) if outcomes is not None else 0.0
 
 
+def staged_requests(requests: DataFrame, wave_rows: int) -> DataFrame:
+    """The requests with their ``chunk_no``, as written: a folder for each commit of chunks.
+
+    The chunks of a commit are dealt over as many files as there are cores, so that a wave keeps
+    all of them busy. They are dealt by hash: dealing by ranges would render all requests once more.
+    A filing that comes several times is asked that often, all of it in its first chunk.
+    """
+    spark = requests.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    chunks = chunk_rows(requests.select("accession_number"), ["accession_number"], wave_rows)
+    first = chunks.groupBy("accession_number").agg(F.min("chunk_no").alias("chunk_no"))
+    dealt = requests.join(first, "accession_number").withColumn("commit_no", F.floor(F.col("chunk_no") / COMMIT_CHUNKS))
+    path = fresh_folder(spark, "requests")
+    rows = -(-COMMIT_CHUNKS * wave_rows // cores)
+    dealt.repartition("commit_no", F.pmod("chunk_no", F.lit(cores))).write.option("maxRecordsPerFile", rows).partitionBy(
+        "commit_no"
+    ).parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
+
+
 def call_model(
     exhibits: DataFrame,
     client_factory: Callable[[], ModelClient],
@@ -61,20 +81,14 @@ def call_model(
     """Append every outcome to a table and read it back.
 
     Calls are paid for, so nothing downstream may repeat them, and a job that fails keeps what
-    it has. Requests are written once, in order of their chunk of ``wave_rows`` filings. A wave
-    of chunks reads its own part of them and commits as it ends. With a cost cap, no wave starts
+    it has. Requests are written once, by their chunk of ``wave_rows`` filings. A wave of chunks
+    reads its own folder of them, on all cores, and commits as it ends. With a cost cap, no wave starts
     once the outcomes, those of earlier runs with them, have cost as much; a wave is as many
     chunks as half of what is left should pay for, by the price of the chunks before it, and
     the first is one chunk. Its cost is read from its own rows.
     """
     spark = exhibits.sparkSession
-    requests = render_requests(exhibits)
-    chunks = chunk_rows(requests.select("accession_number"), ["accession_number"], wave_rows)
-    path = fresh_folder(spark, "requests")
-    requests.join(chunks.select("accession_number", "chunk_no").distinct(), "accession_number").repartitionByRange(
-        "chunk_no", "accession_number"
-    ).sortWithinPartitions("chunk_no").write.parquet(path)
-    asked = spark.read.parquet(path)
+    asked = staged_requests(render_requests(exhibits), wave_rows)
     last = asked.agg(F.max("chunk_no")).first()[0]
     spent, run_id = _cost(outcomes_so_far(spark, outcomes_path)) if max_cost > 0 else 0.0, uuid.uuid4().hex
     before, following = spent, 0
@@ -84,7 +98,8 @@ def call_model(
             paid = (spent - before) / following if following else None
             size = 1 if not paid else max(1, min(size, int((max_cost - spent) / paid / 2)))
         wave = (F.col("chunk_no") >= following) & (F.col("chunk_no") < following + size)
-        out = extract_with_model(asked.filter(wave), client_factory, concurrency, wait=wait)
+        folders = F.col("commit_no").between(following // COMMIT_CHUNKS, (following + size - 1) // COMMIT_CHUNKS)
+        out = extract_with_model(asked.filter(folders & wave).drop("commit_no"), client_factory, concurrency, wait=wait)
         checked = with_parsed_response(out.withColumn("answer", F.col("response")), "answer")
         broken = (F.col("status") == "ok") & ~F.col("is_json")
         settled = checked.withColumns(

@@ -180,6 +180,55 @@ def test_waves_commit_as_they_end(spark, texts, monkeypatch):
     assert spark.read.parquet(path).count() == 6
 
 
+def test_a_wave_is_asked_on_all_cores_and_rendered_once(spark, texts, monkeypatch):
+    from augury.plans import model_guidance as plan
+
+    monkeypatch.setattr(plan, "COMMIT_CHUNKS", 16)
+    rendered = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            rendered.add(batch.num_rows)
+            yield batch
+
+    many = texts(*["fine"] * 200)
+    requests = model.render_requests(many)
+    asked = plan.staged_requests(requests.mapInArrow(counted, requests.schema), 5)
+    # Once for the numbers' range sample, once for the numbers, and once for the requests themselves.
+    assert rendered.value == 3 * 200
+    assert asked.select("accession_number").distinct().count() == asked.count() == 200
+    assert asked.groupBy("chunk_no").count().filter("count <> 5").count() == 0
+    wave = asked.filter("commit_no = 1").drop("commit_no")
+    assert wave.count() == 80 and wave.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    sizes = [n for n in wave.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert max(sizes) <= 20 and len(sizes) == spark.sparkContext.defaultParallelism
+
+
+def test_a_filing_that_comes_twice_is_asked_twice(spark, texts):
+    from augury.plans.model_guidance import staged_requests
+
+    twice = model.render_requests(texts("fine", "fine", "fine")).withColumn("accession_number", F.lit("a"))
+    asked = staged_requests(twice, 2).collect()
+    assert len(asked) == 3 and {r["chunk_no"] for r in asked} == {0}
+
+
+def test_requests_are_answered_each_once_by_so_many_at_a_time(spark, texts, tmp_path):
+    folder = str(tmp_path)
+
+    class Slow:
+        def complete(self, instructions, request):
+            import os, threading, time
+
+            open(f"{folder}/{os.getpid()}-{threading.get_ident()}", "w").close()
+            time.sleep(0.02)
+            return request[-4:], 1, 1
+
+    asked = model.render_requests(texts(*[f"{i:04d}" for i in range(60)])).coalesce(1)
+    rows = model.extract_with_model(asked, Slow, concurrency=5, wait=0.0).collect()
+    assert [int(r["response"]) for r in rows] == [int(r["accession_number"][2:]) for r in rows]
+    assert sorted(int(r["response"]) for r in rows) == list(range(60)) and len(list(tmp_path.iterdir())) == 5
+
+
 def test_texts_without_content_are_not_asked(spark, texts):
     df = texts("fine", None)
     assert call_model(df, Client, fresh_folder(spark, "outcomes"), wait=0.0).count() == 1
