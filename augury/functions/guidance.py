@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from augury.functions import fixed_values as fixed
 from augury.functions.text import (
-    any_of, fold, folded_pattern, let, match_offset, may_match, pattern, slice_text, truncate_sentence,
+    any_of, fold, folded_pattern, let, match_offset, may_match, pattern, slice_text,
 )
 
 # All but the last two are for folded text.
@@ -154,82 +154,3 @@ def period_window(context: Column, context_start: Column, at: Column) -> Column:
 
 def action_window(context: Column, context_start: Column, at: Column) -> Column:
     return _window(context, context_start, at, fixed.ACTION_WINDOW)
-
-
-# --- whole document ---------------------------------------------------------
-
-
-def _sentence_records(located: Column) -> Column:
-    """Records of one located sentence that carry a value; none without a guidance verb.
-
-    Sentence and context are folded once each. Folding goes code point by code point, so that
-    windows of a folded context are folded windows.
-    """
-
-    def told(folded: Column) -> Column:
-        return F.when(folded.rlike(VERB), _mentions(folded))
-
-    def of_mentions(mentions: Column) -> Column:
-        return F.when(F.size(mentions) > 0, let(fold(located["context"]), lambda c: of_context(mentions, c)))
-
-    def of_context(mentions: Column, context: Column) -> Column:
-        place = (context, located["context_start"])
-        snippets = F.transform(
-            mentions,
-            lambda m: F.struct(
-                m["metric_ord"].alias("metric_ord"),
-                m["metric"].alias("metric"),
-                value_window(*place, located["sent_start"] + m["metric_offset"]).alias("snippet"),
-            ),
-        )
-        return F.transform(
-            F.filter(snippets, lambda m: has_amount(m["snippet"])),
-            lambda m: let(
-                _amounts(m["snippet"]),
-                # Sort keys first: see first_of_each_key.
-                lambda v: F.struct(
-                    m["metric_ord"].alias("metric_ord"),
-                    v["val1"].alias("val1"),
-                    v["val2"].alias("val2"),
-                    located["sent_ord"].alias("sent_ord"),
-                    m["metric"].alias("metric"),
-                    v["is_range"].alias("is_range"),
-                    truncate_sentence(located["sentence"], fixed.SENTENCE_CHARS).alias("sentence"),
-                    period_window(*place, located["sent_start"]).alias("around"),
-                    (located["sent_start"] - located["context_start"]).alias("lead"),
-                ),
-            ),
-        )
-
-    return let(let(fold(located["sentence"]), told), of_mentions)
-
-
-def first_of_each_key(records: Column) -> Column:
-    """First record per (metric, val1, val2) of a document, without a shuffle.
-
-    Sorting puts copies side by side with the earliest sentence in front, so one
-    look at the neighbour decides: n log n for a document, no window over rows.
-    """
-
-    def keep(ordered: Column) -> Column:
-        def differs(r: Column, i: Column) -> Column:
-            before = F.get(ordered, i - 1)
-            same = (
-                (before["metric_ord"] == r["metric_ord"])
-                & (before["val1"] == r["val1"])
-                & (before["val2"] == r["val2"])
-            )
-            return (i == 0) | ~same
-
-        return F.filter(ordered, differs)
-
-    return let(F.sort_array(records), keep)
-
-
-def document_records(located: Column) -> Column:
-    """All guidance records of one text's located sentences, each (metric, val1, val2) once.
-
-    ``around``, what the labels are read from, is folded.
-    """
-    found = F.transform(located, _sentence_records)
-    return first_of_each_key(F.flatten(F.filter(found, lambda r: r.isNotNull())))

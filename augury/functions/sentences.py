@@ -105,7 +105,7 @@ def located(text: str, priced: bool) -> Iterator[tuple[int, str, int, int, str]]
         yield number, piece, start, first, text[first:stop]
 
 
-def _parts(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+def parts_of(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
     """A batch in slices of about ``_PART_BYTES`` of text, at least one row each."""
     widths = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
     cuts = np.flatnonzero(np.diff(np.cumsum(widths, dtype=np.int64) // _PART_BYTES)) + 1
@@ -122,7 +122,7 @@ def locate_batches(text: str, priced: bool):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in _parts(whole, whole.schema.names.index(text))):
+        for batch in (part for whole in batches for part in parts_of(whole, whole.schema.names.index(text))):
             at = batch.schema.names.index(text)
             rows, ends = [], [0]
             for value in batch.column(at):

@@ -9,8 +9,8 @@ from pyspark.sql import types as T
 
 from augury.functions import fixed_values as fixed
 from augury.functions import guidance as g
+from augury.functions.records import RECORD_TYPE, record_batches
 from augury.functions.sentences import LOCATED_DDL, locate_batches
-from augury.functions.text import let
 from augury.functions.text import truncate_sentence as truncated
 from augury.operators.derive import add_parse_midpoint, add_range_width
 from augury.operators.filings import filter_min_length
@@ -94,27 +94,16 @@ def _able(df: DataFrame, text: str) -> DataFrame:
 def extract_guidance(df: DataFrame, text: str = "text") -> DataFrame:
     """Texts to guidance records, with the columns that came beside the text.
 
-    One narrow stage. Sentences are located in time that follows the text's length; those
-    with a dollar sign near go on. Labels are read after the in-document dedup, for records only.
+    One narrow stage: texts go to Python, records come back. Sentences are located in time that
+    follows the text's length; those with a dollar sign near go on. Labels are read after the
+    in-document dedup, for records only.
     """
     others = [c for c in df.columns if c != text]
-    # The expression is inlined itself, not a column of it: from a column Spark infers
-    # "not empty" filters, pushes them below, and reads every sentence again for each.
-    rows = locate(_able(df, text), text, priced=True).select(
-        *others, F.inline(g.document_records(F.col("located")))
-    )
-    lead = fixed.ACTION_WINDOW[0]
-    action_from = F.greatest(F.col("lead") - lead, F.lit(0))
-    action_text = F.substring(
-        F.col("around"), action_from + 1, F.col("lead") + fixed.ACTION_WINDOW[1] - action_from
-    )
-    labelled = add_range_width(add_parse_midpoint(rows)).withColumns(
-        {
-            "pdicity": g.folded_period(F.col("around")),
-            "fiscal_year": g.detect_fiscal_year(F.col("around")),
-            "action": let(action_text, g.folded_action),
-        }
-    )
+    importable(df.sparkSession)
+    fields = [f for f in df.schema.fields if f.name != text]
+    schema = T.StructType([*fields, *RECORD_TYPE.fields])
+    rows = _able(df, text).select(*others, text).mapInArrow(record_batches(text), schema)
+    labelled = add_range_width(add_parse_midpoint(rows))
     return labelled.select(
         *others, "metric", "val1", "val2", "is_range", "midpoint", "range_width", "pdicity",
         "fiscal_year", "action", "sentence", "sent_ord", "metric_ord",

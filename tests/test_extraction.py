@@ -206,3 +206,38 @@ def test_staged_files_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(queries, "FILE_ROWS", 10)
     back = queries.written(spark.range(95).coalesce(1), "many")
     assert back.count() == 95 and len(back.inputFiles()) == 10
+
+
+ODD_TEXTS = [
+    "We expect revenue of $5 million. Sales raises² of $3 to $4 billion; cut́ and recut, raise_ it. \U0001f600 Outlook provides initial EPS of ($0.45) to ($0.50)",
+    "İ expects K EPſ of $1,234.5 million. Σας targets capex of $ 3 k. Expects capex of $3 k. We see cash flow between $1 and $2 billion in Q2 2026",
+    "Guides net sales of $1,23 and $2.12345. Loweredé sales of $7—8 mm, reduced. Projects gross margin of 5%. It narrows EBIT of $9! Narrows EBIT of $9! 20255 H1",
+    "x " * 400 + "expects sales of $4. " + "y " * 400 + "first half. expects sales of $4. " + "We lowered it. " * 30 + "Anticipates FFO of $2\xa0b",
+]
+
+
+def test_records_of_texts_are_those_of_the_steps_on_rows(spark, texts):
+    # G1 to G8 and D1 as column expressions, against the one pass that reads whole texts.
+    df = texts(*[f"{x} {y} {x}" for x in ODD_TEXTS for y in ODD_TEXTS]).select("accession_number", "text")
+    valued = ops.extract_values(ops.detect_metrics(ops.filter_guidance_sentences(ops.split_sentences(df))))
+    steps = ops.truncate_sentence(ops.detect_action(ops.detect_fiscal_year(ops.detect_period(ops.dedup_in_document(valued)))))
+    whole = ops.extract_guidance(df)
+    columns = [c for c in whole.columns if c not in ("midpoint", "range_width")]
+    assert sorted(map(str, whole.select(columns).collect())) == sorted(map(str, steps.select(columns).collect()))
+    assert whole.count() > 60
+
+
+def test_texts_are_read_in_one_pass_in_python(spark, texts):
+    # Records as lambdas over arrays took three times as long, and contexts went to Python and back.
+    plan = ops.extract_guidance(texts(ODD_TEXTS[0]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Generate" not in plan and "lambda" not in plan
+
+
+def test_white_space_and_lower_case_are_the_same_in_python():
+    from augury.functions import records
+    from augury.functions.text import WHITE_CHARACTERS
+
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert {c for c in every if c.isspace()} == set(WHITE_CHARACTERS) == {c for c in every if records.re.match(r"\s", c)}
+    assert all(len(records.fold(c)) == 1 for c in every)
+    assert {c for c in every if not c.isascii() and records.fold(c).isascii()} == set("İıſK")
