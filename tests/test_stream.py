@@ -119,3 +119,45 @@ def test_batch_that_failed_after_it_was_written_is_told_once(spark, texts, monke
     run.go()
     run.go()
     assert run.told() == [(n, "2025-01-10") for n in range(1, 10)]
+
+
+def test_a_part_is_read_as_frames_and_its_first_records_told():
+    import pandas as pd
+
+    class State:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    class Handle:
+        timers = []
+
+        def getValueState(self, name, schema):
+            return State()
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Clock:
+        def getCurrentWatermarkInMs(self):
+            return 100
+
+    def frame(*rows):
+        names = ["accession_number", "exhibit_url", "metric", "val1", "val2", "sent_ord", "metric_ord", "filed_ms"]
+        return pd.DataFrame([dict(zip(names, r)) for r in rows])
+
+    told = guidance_stream.FirstRecords()
+    told.init(Handle())
+    late, new = ("a", "u", "EPS", 1.0, 2.0, 5, 0, 300), ("a", None, "EPS", 1.0, 2.0, 3, 0, 200)
+    old, undated = ("a", "u", "EPS", 1.0, 2.0, 9, 0, 50), (None, "u", "EPS", 1.0, 2.0, 1, 0, None)
+    out = pd.concat(told.handleInputRows((0,), iter([frame(late, old), frame(new, undated, undated)]), Clock()))
+    rows = [(r.accession_number, r.sent_ord, bool(r.settled)) for r in out.itertuples()]
+    # The first in order is told; what is behind the watermark or has no date goes on unsettled, each time.
+    assert rows == [(None, 1, False), (None, 1, False), ("a", 3, True), ("a", 9, False)]
+    assert told.told.value == (["'a'|'EPS'|1.0|2.0"], [200]) and Handle.timers == [200]
+    again = pd.concat(told.handleInputRows((0,), iter([frame(late)]), Clock()))
+    assert len(again) == 0 and told.told.value[1] == [200]
